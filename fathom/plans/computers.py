@@ -1,20 +1,487 @@
-"""Computer-catalog queries: product, pc, laptop, printer."""
+"""Computer-catalog queries over ``product``, ``pc``, ``laptop``, ``printer``.
+
+Money is decimal(18,2).  Averages of money are taken over the value as a
+double: prices are whole tens, so every partial sum is exact in binary
+floating point and the mean is the same correctly rounded double whatever
+the order of summation (and the same on any engine).
+"""
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from fathom.functions import dialect
+from fathom.operators.aggregates import divides, null_poisoned_max, top_with_ties
+from fathom.operators.setops import except_distinct, intersect_distinct, union_all, union_distinct
+from fathom.operators.shares import share_of_group
+from fathom.operators.subquery import filter_all
+from fathom.operators.windows import global_row_number
 from fathom.plans.registry import query
 
+# Parameters of the catalog queries (chosen for the value ranges of the views).
+CHEAP = 960
+PRICEY = 960
+MAKER = "Brand#1-0"
+FAST = 750
+
+
+def _avg_money(col: str, name: str):
+    return F.avg(F.col(col).cast("double")).alias(name)
+
+
+def _models_of(v, maker: str):
+    return v.product.filter(F.col("maker") == maker).select("model")
+
+
+@query("e01_filter", sql=f"SELECT model, speed, hd FROM pc WHERE price < {CHEAP}")
+def e01_filter(v):
+    """PCs under a price: model, speed, hd."""
+    return v.pc.filter(F.col("price") < CHEAP).select("model", "speed", "hd")
+
+
+@query("e02_distinct", sql="SELECT DISTINCT maker FROM product WHERE type = 'Printer'")
+def e02_distinct(v):
+    """Makers of printers."""
+    return v.product.filter(F.col("type") == "Printer").select("maker").distinct()
+
+
+@query("e03_filter_gt", sql=f"SELECT model, ram, screen FROM laptop WHERE price > {PRICEY}")
+def e03_filter_gt(v):
+    """Laptops over a price: model, ram, screen."""
+    return v.laptop.filter(F.col("price") > PRICEY).select("model", "ram", "screen")
+
+
+@query("e04_select_all", sql="SELECT * FROM printer WHERE color = 'y'")
+def e04_select_all(v):
+    """All columns of colour printers."""
+    return v.printer.filter(F.col("color") == "y")
+
+
+@query(
+    "e05_in_list",
+    sql=f"SELECT model, speed, hd FROM pc WHERE cd IN ('12x', '24x') AND price < {CHEAP}",
+)
+def e05_in_list(v):
+    """PCs with a 12x or 24x CD under a price."""
+    return v.pc.filter(F.col("cd").isin("12x", "24x") & (F.col("price") < CHEAP)).select("model", "speed", "hd")
+
+
+@query(
+    "e06_join_distinct",
+    sql="SELECT DISTINCT a.maker, b.speed FROM product a JOIN laptop b ON a.model = b.model WHERE b.hd >= 10",
+)
+def e06_join_distinct(v):
+    """Maker and speed of laptops with a disk of at least 10."""
+    big = v.laptop.filter(F.col("hd") >= 10).select("model", "speed")
+    return v.product.join(big, "model").select("maker", "speed").distinct()
+
+
+@query(
+    "e07_union_join",
+    sql=f"""
+    SELECT b.model, b.price
+    FROM product p
+    JOIN (SELECT model, price FROM pc UNION SELECT model, price FROM laptop UNION SELECT model, price FROM printer) b
+      ON p.model = b.model
+    WHERE p.maker = '{MAKER}'""",
+)
+def e07_union_join(v):
+    """Model and price of every product of one maker.
+
+    The maker filter is applied to each branch (a semi join on the maker's
+    models; ``model`` is the product key) before the UNION, so the distinct
+    runs over one maker's rows, not over the whole catalog.
+    """
+    models = _models_of(v, MAKER)
+    branches = [t.select("model", "price").join(models, "model", "left_semi") for t in (v.pc, v.laptop, v.printer)]
+    return union_distinct(*branches)
+
+
+@query(
+    "e08_except",
+    sql="SELECT maker FROM product WHERE type = 'PC' EXCEPT SELECT maker FROM product WHERE lower(type) = 'laptop'",
+)
+def e08_except(v):
+    """Makers of PCs but not of laptops (type compared case-insensitively)."""
+    pcs = v.product.filter(F.col("type") == "PC").select("maker")
+    laptops = v.product.filter(dialect.ci_equals(F.col("type"), "laptop")).select("maker")
+    return except_distinct(pcs, laptops)
+
+
+def _fast_pc_makers(v, speed: int):
+    fast = v.pc.filter(F.col("speed") >= speed).select("model")
+    return v.product.join(fast, "model").select("maker").distinct()
+
+
+@query(
+    "e09_join_subquery",
+    sql="SELECT DISTINCT maker FROM product a JOIN (SELECT * FROM pc WHERE speed >= 800) b ON a.model = b.model",
+)
+def e09_join_subquery(v):
+    """Makers of PCs with speed >= 800 (the threshold as written in the SQL)."""
+    return _fast_pc_makers(v, 800)
+
+
+@query(
+    "e09_task",
+    sql="SELECT DISTINCT maker FROM product a JOIN (SELECT * FROM pc WHERE speed >= 900) b ON a.model = b.model",
+)
+def e09_task(v):
+    """Makers of PCs with speed >= 900 (the threshold the task text asks for)."""
+    return _fast_pc_makers(v, 900)
+
+
+@query("e10_in_max", sql="SELECT model, price FROM printer WHERE price IN (SELECT max(price) FROM printer)")
+def e10_in_max(v):
+    """Printers at the maximum price, ties kept."""
+    return top_with_ties(v.printer.select("model", "price"), "price")
+
+
+@query("e11_avg", sql="SELECT avg(speed) AS avg_speed FROM pc")
+def e11_avg(v):
+    """Mean PC speed."""
+    return v.pc.agg(F.avg("speed").alias("avg_speed"))
+
+
+@query("e12_avg_filter", sql=f"SELECT avg(speed) AS avg_speed FROM laptop WHERE price > {PRICEY}")
+def e12_avg_filter(v):
+    """Mean speed of laptops over a price."""
+    return v.laptop.filter(F.col("price") > PRICEY).agg(F.avg("speed").alias("avg_speed"))
+
 
 @query(
     "e13_avg_join",
-    sql="""
+    sql=f"""
     SELECT avg(pc.speed) AS avg_speed
     FROM pc JOIN product ON pc.model = product.model
-    WHERE product.maker = 'Brand#1-0'""",
+    WHERE product.maker = '{MAKER}'""",
 )
 def e13_avg_join(v):
     """Mean PC speed of one maker (join, filter, global average)."""
-    makers = v.product.filter(F.col("maker") == "Brand#1-0").select("model")
-    return v.pc.join(makers, "model").agg(F.avg("speed").alias("avg_speed"))
+    return v.pc.join(_models_of(v, MAKER), "model").agg(F.avg("speed").alias("avg_speed"))
+
+
+@query("e15_having", sql="SELECT hd FROM pc GROUP BY hd HAVING count(code) >= 2")
+def e15_having(v):
+    """Disk sizes shared by at least two PCs."""
+    return v.pc.groupBy("hd").agg(F.count("code").alias("n")).filter(F.col("n") >= 2).select("hd")
+
+
+@query(
+    "e16_self_pairs",
+    sql="""
+    SELECT DISTINCT a.model AS model1, b.model AS model2, a.speed, a.ram
+    FROM pc a, pc b
+    WHERE a.speed = b.speed AND a.ram = b.ram AND a.model > b.model""",
+)
+def e16_self_pairs(v):
+    """Pairs of PC models with equal speed and RAM, each pair once.
+
+    The answer is the set of pairs, so its size is quadratic in the group
+    size by definition.  (model, speed, ram) is made distinct *before* the
+    self join, so no duplicate pair is ever produced and then thrown away;
+    the join itself is an equi join on (speed, ram) with ``>`` as residual.
+    """
+    m = v.pc.select("model", "speed", "ram").distinct()
+    a, b = m.alias("a"), m.alias("b")
+    pairs = a.join(
+        b,
+        (F.col("a.speed") == F.col("b.speed")) & (F.col("a.ram") == F.col("b.ram")) & (F.col("a.model") > F.col("b.model")),
+    )
+    return pairs.select(
+        F.col("a.model").alias("model1"), F.col("b.model").alias("model2"), F.col("a.speed").alias("speed"), F.col("a.ram").alias("ram")
+    )
+
+
+@query(
+    "e17_lt_all",
+    sql="""
+    SELECT DISTINCT a.type, b.model, b.speed
+    FROM product a, laptop b
+    WHERE a.model = b.model AND b.speed < ALL (SELECT speed FROM pc)""",
+)
+def e17_lt_all(v):
+    """Laptops slower than every PC (``< ALL``, empty and NULL aware)."""
+    slow = filter_all(v.laptop.select("model", "speed"), F.col("speed"), "<", v.pc, "speed")
+    return v.product.join(slow, "model").select("type", "model", "speed").distinct()
+
+
+@query(
+    "e18_eq_min",
+    sql="""
+    SELECT DISTINCT maker, price
+    FROM product a, printer b
+    WHERE a.model = b.model AND b.color = 'y'
+      AND b.price = (SELECT min(price) FROM printer WHERE color = 'y')""",
+)
+def e18_eq_min(v):
+    """Makers of the cheapest colour printers."""
+    colour = v.printer.filter(F.col("color") == "y").select("model", "price")
+    cheapest = top_with_ties(colour, "price", largest=False)
+    return v.product.join(cheapest, "model").select("maker", "price").distinct()
+
+
+@query(
+    "e19_avg_group",
+    sql="SELECT maker, avg(screen) AS avg_screen FROM product a, laptop b WHERE a.model = b.model GROUP BY maker",
+)
+def e19_avg_group(v):
+    """Mean laptop screen per maker."""
+    return v.product.join(v.laptop.select("model", "screen"), "model").groupBy("maker").agg(F.avg("screen").alias("avg_screen"))
+
+
+@query(
+    "e20_count_having",
+    sql="SELECT maker, count(model) AS number FROM product WHERE type = 'PC' GROUP BY maker HAVING count(model) >= 3",
+)
+def e20_count_having(v):
+    """Makers with at least three PC rows (COUNT(model), as written)."""
+    pcs = v.product.filter(F.col("type") == "PC")
+    return pcs.groupBy("maker").agg(F.count("model").alias("number")).filter(F.col("number") >= 3)
+
+
+@query(
+    "e20_task",
+    sql="SELECT maker, count(DISTINCT model) AS number FROM product WHERE type = 'PC' GROUP BY maker HAVING count(DISTINCT model) >= 3",
+)
+def e20_task(v):
+    """Makers with at least three *different* PC models (the task text)."""
+    pcs = v.product.filter(F.col("type") == "PC")
+    return pcs.groupBy("maker").agg(F.count_distinct("model").alias("number")).filter(F.col("number") >= 3)
+
+
+@query(
+    "e21_max_group",
+    sql="SELECT maker, max(price) AS max_price FROM product a, pc b WHERE a.model = b.model GROUP BY maker",
+)
+def e21_max_group(v):
+    """Highest PC price per maker."""
+    return v.product.join(v.pc.select("model", "price"), "model").groupBy("maker").agg(F.max("price").alias("max_price"))
+
+
+@query(
+    "e22_avg_by_speed",
+    sql="SELECT speed, avg(CAST(price AS DOUBLE)) AS avg_price FROM pc WHERE speed > 600 GROUP BY speed",
+)
+def e22_avg_by_speed(v):
+    """Mean PC price per speed above 600."""
+    return v.pc.filter(F.col("speed") > 600).groupBy("speed").agg(_avg_money("price", "avg_price"))
+
+
+@query(
+    "e23_intersect",
+    sql=f"""
+    SELECT DISTINCT maker FROM product a, laptop b WHERE a.model = b.model AND b.speed >= {FAST}
+    INTERSECT
+    SELECT DISTINCT maker FROM product a, pc b WHERE a.model = b.model AND b.speed >= {FAST}""",
+)
+def e23_intersect(v):
+    """Makers of both fast PCs and fast laptops."""
+
+    def makers(t):
+        return v.product.join(t.filter(F.col("speed") >= FAST).select("model"), "model").select("maker")
+
+    return intersect_distinct(makers(v.laptop), makers(v.pc))
+
+
+@query(
+    "e24_cte_union_max",
+    sql="""
+    WITH all_models AS (SELECT price, model FROM pc UNION SELECT price, model FROM laptop UNION SELECT price, model FROM printer)
+    SELECT model FROM all_models WHERE price = (SELECT max(price) FROM all_models)""",
+)
+def e24_cte_union_max(v):
+    """Models (of any type) at the highest price of the whole catalog.
+
+    The maximum of a UNION equals the maximum of the UNION ALL, so it is one
+    scalar aggregate over the three tables; the distinct then runs only on
+    the rows at that price rather than on the whole catalog.
+    """
+    branches = [t.select("price", "model") for t in (v.pc, v.laptop, v.printer)]
+    top = union_all(*branches).agg(F.max("price")).scalar()
+    return union_distinct(*[b.filter(F.col("price") == top) for b in branches]).select("model")
+
+
+@query(
+    "e25_nested_in",
+    sql="""
+    SELECT DISTINCT maker FROM product
+    WHERE type = 'Printer' AND maker IN (
+      SELECT maker FROM product WHERE model IN (
+        SELECT model FROM pc
+        WHERE ram = (SELECT min(ram) FROM pc)
+          AND speed = (SELECT max(speed) FROM pc WHERE ram = (SELECT min(ram) FROM pc))))""",
+)
+def e25_nested_in(v):
+    """Printer makers who make a fastest PC among the PCs with the least RAM."""
+    least_ram = v.pc.agg(F.min("ram")).scalar()
+    low = v.pc.filter(F.col("ram") == least_ram).select("model", "speed")
+    best = top_with_ties(low, "speed").select("model")
+    pc_makers = v.product.join(best, "model", "left_semi").select("maker")
+    printers = v.product.filter(F.col("type") == "Printer").select("maker")
+    return printers.join(pc_makers, "maker", "left_semi").distinct()
+
+
+@query(
+    "e26_avg_union_all",
+    sql=f"""
+    SELECT avg(CAST(price AS DOUBLE)) AS avg_price FROM (
+      SELECT maker, price FROM product a
+      JOIN (SELECT price, model FROM pc UNION ALL SELECT price, model FROM laptop) b ON a.model = b.model
+      WHERE maker = '{MAKER}') f""",
+)
+def e26_avg_union_all(v):
+    """Mean price over the PCs and laptops of one maker."""
+    both = union_all(v.pc.select("price", "model"), v.laptop.select("price", "model"))
+    return both.join(_models_of(v, MAKER), "model").agg(_avg_money("price", "avg_price"))
+
+
+@query(
+    "e27_avg_semi",
+    sql="""
+    SELECT maker, avg(hd) AS avg_hd
+    FROM (SELECT maker, hd FROM product a JOIN (SELECT model, hd FROM pc) b ON a.model = b.model) c
+    WHERE maker IN (SELECT DISTINCT maker FROM product WHERE type = 'Printer')
+    GROUP BY maker""",
+)
+def e27_avg_semi(v):
+    """Mean PC disk per maker that also makes printers."""
+    printer_makers = v.product.filter(F.col("type") == "Printer").select("maker")
+    disks = v.product.join(v.pc.select("model", "hd"), "model").join(printer_makers, "maker", "left_semi")
+    return disks.groupBy("maker").agg(F.avg("hd").alias("avg_hd"))
+
+
+@query(
+    "e28_count_groups",
+    sql="""
+    SELECT count(maker) AS qty FROM (
+      SELECT maker, count(model) AS number FROM product GROUP BY maker HAVING count(model) = 1) a""",
+)
+def e28_count_groups(v):
+    """Number of makers with exactly one model (an aggregate of an aggregate)."""
+    single = v.product.groupBy("maker").agg(F.count("model").alias("number")).filter(F.col("number") == 1)
+    return single.agg(F.count("maker").alias("qty"))
+
+
+@query(
+    "e35_char_class",
+    sql="""
+    SELECT model, type FROM product
+    WHERE NOT regexp_matches(model, '[^0-9]') OR NOT regexp_matches(model, '[^a-zA-Z]')""",
+)
+def e35_char_class(v):
+    """Models made only of digits or only of Latin letters."""
+    m = F.col("model")
+    return v.product.filter(dialect.only_digits(m) | dialect.only_latin_letters(m)).select("model", "type")
+
+
+@query(
+    "e40_single_type",
+    sql="""
+    SELECT maker, type FROM product
+    WHERE maker IN (SELECT maker FROM product GROUP BY maker HAVING count(DISTINCT type) = 1)
+    GROUP BY maker, type HAVING count(model) > 1""",
+)
+def e40_single_type(v):
+    """Makers with more than one model, all of a single type.
+
+    One grouped aggregate to (maker, type) counts; the per-maker number of
+    distinct types is then a window count over those few rows (each row is
+    one distinct type, and COUNT skips a NULL type as COUNT DISTINCT does).
+    """
+    counts = v.product.groupBy("maker", "type").agg(F.count("model").alias("n"))
+    types = F.count("type").over(Window.partitionBy("maker"))
+    return counts.select("maker", "type", "n", types.alias("nt")).filter((F.col("nt") == 1) & (F.col("n") > 1)).select("maker", "type")
+
+
+@query(
+    "e41_null_poison_max",
+    sql="""
+    WITH all_m AS (SELECT model, price FROM pc UNION ALL SELECT model, price FROM laptop UNION ALL SELECT model, price FROM printer)
+    SELECT maker, CASE WHEN max(CASE WHEN price IS NULL THEN 1 ELSE 0 END) = 0 THEN max(price) END AS max_price
+    FROM product JOIN all_m ON product.model = all_m.model
+    GROUP BY maker""",
+)
+def e41_null_poison_max(v):
+    """Highest price per maker, NULL when any of its prices is unknown."""
+    all_m = union_all(*[t.select("model", "price") for t in (v.pc, v.laptop, v.printer)])
+    joined = v.product.select("maker", "model").join(all_m, "model")
+    return joined.groupBy("maker").agg(null_poisoned_max(F.col("price")).alias("max_price"))
+
+
+PC_ATTRS = ("model", "speed", "ram", "hd", "cd", "price")
+
+
+@query(
+    "e41_unpivot",
+    sql="WITH top_pc AS (SELECT * FROM pc WHERE code = (SELECT max(code) FROM pc))\n"
+    + "\nUNION ALL\n".join(f"SELECT '{c}' AS attr, CAST({c} AS VARCHAR) AS value FROM top_pc" for c in PC_ATTRS),
+)
+def e41_unpivot(v):
+    """Every attribute but the code of the PC with the highest code, as
+    (attr, value) rows; a NULL value stays a row."""
+    top = v.pc.filter(F.col("code") == v.pc.agg(F.max("code")).scalar())
+    as_text = top.select(*[F.col(c).cast("string").alias(c) for c in PC_ATTRS])
+    return as_text.unpivot([], list(PC_ATTRS), "attr", "value")
+
+
+@query(
+    "e58_share",
+    sql="""
+    WITH maker_models AS (
+      SELECT pt.maker, pt.type, p.model
+      FROM (SELECT DISTINCT a.maker, b.type FROM product a, product b) pt
+      LEFT JOIN product p ON pt.maker = p.maker AND pt.type = p.type)
+    SELECT DISTINCT maker, type,
+      CAST(round(count(model) OVER (PARTITION BY maker, type) * 100.0
+                 / count(model) OVER (PARTITION BY maker), 2) AS DECIMAL(5,2)) AS fin
+    FROM maker_models""",
+)
+def e58_share(v):
+    """Percent of each product type in each maker's models, 0 included."""
+    return share_of_group(v.product, "maker", "type", "model", "fin")
+
+
+@query(
+    "e65_numbered",
+    sql="""
+    SELECT row_number() OVER (ORDER BY maker, ord, type) AS numb,
+           CASE WHEN num = 1 THEN maker ELSE '' END AS maker,
+           type
+    FROM (
+      SELECT row_number() OVER (PARTITION BY maker ORDER BY ord, type) AS num, maker, type, ord
+      FROM (SELECT DISTINCT maker, type,
+                   CASE WHEN lower(type) = 'pc' THEN 1 WHEN lower(type) = 'laptop' THEN 2 ELSE 3 END AS ord
+            FROM product) a) b""",
+)
+def e65_numbered(v):
+    """Number the distinct (maker, type) pairs by maker, then PC, Laptop,
+    Printer; print each maker only on its first row.
+
+    The global numbering uses ``global_row_number`` (range partitions +
+    offsets), never a window over a single partition.
+    """
+    t = F.lower(F.col("type"))
+    ord_ = F.when(t == "pc", 1).when(t == "laptop", 2).otherwise(3)
+    pairs = v.product.select("maker", "type", ord_.alias("ord")).distinct()
+    within = F.row_number().over(Window.partitionBy("maker").orderBy("ord", "type"))
+    labelled = pairs.select("maker", "type", "ord", within.alias("num"))
+    numbered = global_row_number(labelled, [F.col("maker"), F.col("ord"), F.col("type")], "numb")
+    return numbered.select(
+        "numb", F.when(F.col("num") == 1, F.col("maker")).otherwise(F.lit("")).alias("maker"), "type"
+    )
+
+
+@query(
+    "e71_division",
+    sql="""
+    SELECT DISTINCT maker FROM product p
+    WHERE type = 'PC' AND NOT EXISTS (
+      SELECT 1 FROM product q
+      WHERE q.maker = p.maker AND q.type = 'PC'
+        AND NOT EXISTS (SELECT 1 FROM pc WHERE pc.model = q.model))""",
+)
+def e71_division(v):
+    """PC makers all of whose PC models occur in the PC table (division)."""
+    return divides(v.product.filter(F.col("type") == "PC"), "maker", "model", v.pc, "model")
