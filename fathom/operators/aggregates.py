@@ -26,9 +26,9 @@ def top_with_ties(df: DataFrame, value: str, by: list[str] | tuple[str, ...] = (
     pick = F.max if largest else F.min
     if not by:
         return df.filter(F.col(value) == df.agg(pick(value)).scalar())
-    best = df.groupBy(*by).agg(pick(value).alias("__best"))
-    cond = [df[c] == best[c] for c in by] + [df[value] == best["__best"]]
-    return df.join(best, cond, "inner").select(*[df[c] for c in df.columns])
+    best = df.groupBy(*[F.col(c).alias(f"__by_{c}") for c in by]).agg(pick(value).alias("__best"))
+    cond = [F.col(c) == F.col(f"__by_{c}") for c in by] + [F.col(value) == F.col("__best")]
+    return df.join(best, cond, "inner").select(*df.columns)
 
 
 def groups_with_single_value(df: DataFrame, group: str, value: str) -> DataFrame:

@@ -1 +1,526 @@
-"""placeholder"""
+"""Fleet queries over ``classes``, ``ships``, ``battles``, ``outcomes``.
+
+A ship is known either from ``ships`` (with its class) or only from
+``outcomes``; an outcome ship whose name is a class name is that class's lead
+ship.  Queries that attach a class to an outcome therefore match
+``classes.class = ships.class OR classes.class = outcomes.ship``; that OR join
+is run as equi-joins by ``either_key_join``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from fathom.functions import dialect
+from fathom.operators.aggregates import top_with_ties
+from fathom.operators.asof import first_event_from
+from fathom.operators.entities import all_ships
+from fathom.operators.joins import either_key_join, not_in
+from fathom.operators.setops import intersect_distinct, union_distinct
+from fathom.plans.registry import query
+
+# Parameters of the fleet queries (chosen for the value ranges of the views).
+BATTLE = "B199701"
+TREATY_YEAR = 1995
+TREATY_TONS = 35000
+PREFIX = "N"
+KONGO = "NATION_5"
+HOME = "ASIA"
+ABSENT = "RUSSIA"
+
+OUTCOME_CLASS_SQL = """
+    FROM outcomes o
+    LEFT JOIN ships s ON o.ship = s.name
+    JOIN classes c ON c.class = s.class OR c.class = o.ship"""
+
+
+def _prefixed_classes(v):
+    return v.classes.select(*[F.col(c).alias(f"c_{c}") for c in v.classes.columns])
+
+
+def outcome_classes(v, outs, how: str = "inner"):
+    """``outs LEFT JOIN ships ON ship = name`` then classes on either key.
+
+    Output: the columns of ``outs`` plus ``s_class`` and ``c_*`` class columns.
+    """
+    s = v.ships.select(F.col("name").alias("s_name"), F.col("class").alias("s_class"))
+    left = outs.join(s, outs["ship"] == s["s_name"], "left").drop("s_name")
+    return either_key_join(left, _prefixed_classes(v), ["s_class", "ship"], "c_class", how)
+
+
+def maybe(cond, col):
+    """Predicate that also accepts an unknown (NULL) value."""
+    return cond | col.isNull()
+
+
+@query(
+    "e14_join_filter",
+    sql="SELECT ships.class, name, country FROM ships JOIN classes ON classes.class = ships.class WHERE numGuns >= 10",
+)
+def e14_join_filter(v):
+    """Class, name and country of ships with at least ten guns."""
+    big = v.classes.filter(F.col("numGuns") >= 10).select("class", "country")
+    return v.ships.join(big, "class").select("class", "name", "country")
+
+
+@query("e31_filter_class", sql="SELECT class, country FROM classes WHERE bore >= 16")
+def e31_filter_class(v):
+    """Classes with a bore of at least 16."""
+    return v.classes.filter(F.col("bore") >= 16).select("class", "country")
+
+
+@query(
+    "e32_avg_pow",
+    sql="""
+    SELECT country, CAST(avg(power(bore, 3) * 0.5) AS DECIMAL(6,2)) AS mw
+    FROM (SELECT name, class FROM ships UNION SELECT ship AS name, ship AS class FROM outcomes) a
+    JOIN classes USING (class)
+    GROUP BY country""",
+)
+def e32_avg_pow(v):
+    """Mean of bore^3 / 2 over all ships of each country, two decimals."""
+    fleet = all_ships(v.ships, v.outcomes, v.classes).join(v.classes.select("class", "country", "bore"), "class")
+    mw = F.avg(dialect.power(F.col("bore"), 3) * F.lit(0.5)).cast("decimal(6,2)")
+    return fleet.groupBy("country").agg(mw.alias("mw"))
+
+
+@query("e33_two_preds", sql=f"SELECT ship FROM outcomes WHERE result = 'sunk' AND battle = '{BATTLE}'")
+def e33_two_preds(v):
+    """Ships sunk in one battle."""
+    return v.outcomes.filter((F.col("result") == "sunk") & (F.col("battle") == BATTLE)).select("ship")
+
+
+@query(
+    "e34_using_filter",
+    sql=f"""
+    SELECT DISTINCT name FROM ships JOIN classes USING (class)
+    WHERE launched >= {TREATY_YEAR} AND displacement > {TREATY_TONS} AND type = 'bb'""",
+)
+def e34_using_filter(v):
+    """Battleships launched from a year on, heavier than a limit."""
+    heavy = v.classes.filter((F.col("displacement") > TREATY_TONS) & (F.col("type") == "bb")).select("class")
+    return v.ships.filter(F.col("launched") >= TREATY_YEAR).join(heavy, "class").select("name").distinct()
+
+
+@query(
+    "e36_union_in",
+    sql="""
+    SELECT name FROM ships WHERE name = class
+    UNION
+    SELECT ship FROM outcomes WHERE ship IN (SELECT DISTINCT class FROM classes)""",
+)
+def e36_union_in(v):
+    """Lead ships (named like their class) from both tables."""
+    listed = v.ships.filter(F.col("name") == F.col("class")).select("name")
+    known = v.classes.select(F.col("class").alias("ship"))
+    fought = v.outcomes.select("ship").join(known, "ship", "left_semi")
+    return union_distinct(listed, fought)
+
+
+@query(
+    "e37_union_having",
+    sql="""
+    SELECT b.class
+    FROM (SELECT name, class FROM ships UNION SELECT DISTINCT ship, ship AS class FROM outcomes) a
+    JOIN classes b ON a.class = b.class
+    GROUP BY b.class HAVING count(name) = 1""",
+)
+def e37_union_having(v):
+    """Classes with exactly one ship, counting ships known only from outcomes."""
+    fleet = all_ships(v.ships, v.outcomes, v.classes)
+    return fleet.groupBy("class").agg(F.count("name").alias("n")).filter(F.col("n") == 1).select("class")
+
+
+@query(
+    "e38_intersect_type",
+    sql="SELECT country FROM classes WHERE type = 'bb' INTERSECT SELECT country FROM classes WHERE type = 'bc'",
+)
+def e38_intersect_type(v):
+    """Countries that had both battleship and cruiser classes."""
+    c = v.classes
+    return intersect_distinct(
+        c.filter(F.col("type") == "bb").select("country"), c.filter(F.col("type") == "bc").select("country")
+    )
+
+
+@query(
+    "e39_later_battle",
+    sql="""
+    SELECT DISTINCT t1.ship
+    FROM (SELECT o.ship, b.date FROM outcomes o JOIN battles b ON o.battle = b.name WHERE o.result = 'damaged') t1
+    JOIN (SELECT o.ship, b.date FROM outcomes o JOIN battles b ON o.battle = b.name) t2 ON t1.ship = t2.ship
+    WHERE t1.date < t2.date""",
+)
+def e39_later_battle(v):
+    """Ships damaged in a battle that fought again in a later one.
+
+    "Some damage date < some battle date of the same ship" is
+    ``min(damage date) < max(battle date)`` per ship: one grouped aggregate
+    with map-side combine, instead of a self join whose output grows with
+    the square of a ship's number of battles.
+    """
+    dated = v.outcomes.join(v.battles.select(F.col("name").alias("battle"), "date"), "battle")
+    per_ship = dated.groupBy("ship").agg(
+        F.min(F.when(F.col("result") == "damaged", F.col("date"))).alias("first_damage"),
+        F.max("date").alias("last_battle"),
+    )
+    return per_ship.filter(F.col("first_damage") < F.col("last_battle")).select("ship")
+
+
+@query("e42_sunk", sql="SELECT ship, battle FROM outcomes WHERE result = 'sunk'")
+def e42_sunk(v):
+    """Sunk ships and the battle they were sunk in."""
+    return v.outcomes.filter(F.col("result") == "sunk").select("ship", "battle")
+
+
+@query(
+    "e43_not_in",
+    sql="SELECT name FROM battles WHERE year(date) NOT IN (SELECT launched FROM ships WHERE launched IS NOT NULL)",
+)
+def e43_not_in(v):
+    """Battles in years in which no ship was launched (null-aware NOT IN)."""
+    launched = v.ships.filter(F.col("launched").isNotNull()).select("launched")
+    return not_in(v.battles, dialect.year_of(F.col("date")), launched, "launched").select("name")
+
+
+def _names_like(v, pattern: str):
+    listed = v.ships.filter(F.col("name").like(pattern)).select("name")
+    fought = v.outcomes.filter(F.col("ship").like(pattern)).select("ship")
+    return union_distinct(listed, fought)
+
+
+@query(
+    "e44_prefix",
+    sql=f"SELECT name FROM ships WHERE name LIKE '{PREFIX}%' UNION SELECT ship FROM outcomes WHERE ship LIKE '{PREFIX}%'",
+)
+def e44_prefix(v):
+    """All ship names starting with a letter (prefix LIKE, pushed to the scan)."""
+    return _names_like(v, f"{PREFIX}%")
+
+
+@query(
+    "e45_three_words",
+    sql="SELECT name FROM ships WHERE name LIKE '% % %' UNION SELECT ship FROM outcomes WHERE ship LIKE '% % %'",
+)
+def e45_three_words(v):
+    """Ship names of three or more words."""
+    return _names_like(v, "% % %")
+
+
+@query(
+    "e46_either_key_left",
+    sql=f"""
+    SELECT o.ship, c.displacement, c.numGuns
+    FROM outcomes o
+    LEFT JOIN ships s ON o.ship = s.name
+    LEFT JOIN classes c ON s.class = c.class OR o.ship = c.class
+    WHERE o.battle = '{BATTLE}'""",
+)
+def e46_either_key_left(v):
+    """Displacement and guns of every ship in one battle (either-key LEFT JOIN)."""
+    outs = v.outcomes.filter(F.col("battle") == BATTLE).select("ship")
+    joined = outcome_classes(v, outs, how="left")
+    return joined.select("ship", F.col("c_displacement").alias("displacement"), F.col("c_numGuns").alias("numGuns"))
+
+
+@query(
+    "e47_all_lost",
+    sql=f"""
+    WITH all_fleet AS (SELECT ship, ship AS class FROM outcomes UNION SELECT name, class FROM ships),
+    fleet_by_country AS (
+      SELECT country, count(*) AS number FROM classes c JOIN all_fleet a ON c.class = a.class GROUP BY country),
+    sunk_by_country AS (
+      SELECT country, count(*) AS number {OUTCOME_CLASS_SQL}
+      WHERE result = 'sunk' GROUP BY country)
+    SELECT country FROM (SELECT * FROM sunk_by_country INTERSECT SELECT * FROM fleet_by_country) f""",
+)
+def e47_all_lost(v):
+    """Countries whose number of sunk ships equals their number of ships."""
+    fleet = all_ships(v.ships, v.outcomes, v.classes).join(v.classes.select("class", "country"), "class")
+    fleet_by_country = fleet.groupBy("country").agg(F.count(F.lit(1)).alias("number"))
+    sunk = outcome_classes(v, v.outcomes.filter(F.col("result") == "sunk").select("ship"))
+    sunk_by_country = sunk.groupBy(F.col("c_country").alias("country")).agg(F.count(F.lit(1)).alias("number"))
+    return intersect_distinct(sunk_by_country, fleet_by_country).select("country")
+
+
+@query(
+    "e48_class_sunk",
+    sql=f"SELECT DISTINCT c.class {OUTCOME_CLASS_SQL} WHERE result = 'sunk'",
+)
+def e48_class_sunk(v):
+    """Classes with at least one sunk ship."""
+    sunk = outcome_classes(v, v.outcomes.filter(F.col("result") == "sunk").select("ship"))
+    return sunk.select(F.col("c_class").alias("class")).distinct()
+
+
+@query(
+    "e49_bore16",
+    sql="""
+    SELECT name FROM classes c JOIN ships s ON c.class = s.class WHERE bore = 16
+    UNION
+    SELECT class FROM classes c JOIN outcomes o ON c.class = o.ship WHERE bore = 16""",
+)
+def e49_bore16(v):
+    """Names of ships with 16-inch guns, from both tables."""
+    big = v.classes.filter(F.col("bore") == 16).select("class")
+    listed = v.ships.join(big, "class").select("name")
+    fought = v.outcomes.select("ship").join(big, F.col("ship") == F.col("class")).select("class")
+    return union_distinct(listed, fought)
+
+
+@query(
+    "e50_battles_of_class",
+    sql=f"SELECT DISTINCT o.battle FROM outcomes o JOIN ships s ON s.name = o.ship WHERE class = '{KONGO}'",
+)
+def e50_battles_of_class(v):
+    """Battles fought by ships of one class."""
+    members = v.ships.filter(F.col("class") == KONGO).select(F.col("name").alias("ship"))
+    return v.outcomes.join(members, "ship").select("battle").distinct()
+
+
+@query(
+    "e51_group_max",
+    sql="""
+    WITH fleet AS (
+      SELECT ship, displacement, numGuns FROM outcomes o JOIN classes c ON c.class = o.ship
+      UNION
+      SELECT name, displacement, numGuns FROM ships s JOIN classes c ON c.class = s.class),
+    max_guns AS (SELECT displacement, max(numGuns) AS maxg FROM fleet GROUP BY displacement)
+    SELECT ship FROM fleet f JOIN max_guns m ON f.displacement = m.displacement AND f.numGuns = m.maxg""",
+)
+def e51_group_max(v):
+    """Ships with the most guns among ships of the same displacement.
+
+    Top-with-ties per displacement as aggregate + join-back: displacement has
+    a handful of values, so a window partitioned by it would put whole
+    fleets into single tasks; the per-displacement maxima are a few rows.
+    """
+    c = v.classes.select("class", "displacement", "numGuns")
+    fought = v.outcomes.select("ship").join(c, F.col("ship") == F.col("class")).select("ship", "displacement", "numGuns")
+    listed = v.ships.join(c, "class").select(F.col("name").alias("ship"), "displacement", "numGuns")
+    fleet = union_distinct(fought, listed)
+    return top_with_ties(fleet, "numGuns", by=["displacement"]).select("ship")
+
+
+@query(
+    "e52_maybe",
+    sql=f"""
+    SELECT name FROM ships s JOIN classes c ON c.class = s.class
+    WHERE country = '{HOME}'
+      AND (numGuns >= 9 OR numGuns IS NULL)
+      AND (bore < 17 OR bore IS NULL)
+      AND (displacement <= 42000 OR displacement IS NULL)
+      AND type = 'bb'""",
+)
+def e52_maybe(v):
+    """Ships that may satisfy limits when unknown values count as possible."""
+    c = v.classes
+    ok = c.filter(
+        (F.col("country") == HOME)
+        & maybe(F.col("numGuns") >= 9, F.col("numGuns"))
+        & maybe(F.col("bore") < 17, F.col("bore"))
+        & maybe(F.col("displacement") <= 42000, F.col("displacement"))
+        & (F.col("type") == "bb")
+    ).select("class")
+    return v.ships.join(ok, "class").select("name")
+
+
+@query(
+    "e53_avg_numeric",
+    sql="SELECT CAST(avg(numGuns) AS DECIMAL(4,2)) AS avg_guns FROM classes WHERE type = 'bb'",
+)
+def e53_avg_numeric(v):
+    """Mean number of guns of battleship classes as NUMERIC(4,2).
+
+    The mean is taken without integer truncation (a double mean of integer
+    inputs is exact up to the final rounding) and cast once to (4,2).
+    """
+    return v.classes.filter(F.col("type") == "bb").agg(F.avg("numGuns").cast("decimal(4,2)").alias("avg_guns"))
+
+
+@query(
+    "e54_avg_union",
+    sql="""
+    WITH tab AS (
+      SELECT c.class, ship, type, numGuns FROM classes c JOIN (SELECT DISTINCT ship FROM outcomes) o ON c.class = o.ship
+      UNION
+      SELECT c.class, name, type, numGuns FROM classes c JOIN ships s ON c.class = s.class)
+    SELECT CAST(avg(numGuns) AS DECIMAL(4,2)) AS avg_guns FROM tab WHERE type = 'bb'""",
+)
+def e54_avg_union(v):
+    """Mean number of guns over all battleships, lead ships from outcomes included."""
+    bb = v.classes.filter(F.col("type") == "bb").select("class", "type", "numGuns")
+    fought = v.outcomes.select("ship").distinct().join(bb, F.col("ship") == F.col("class")).select("class", "ship", "type", "numGuns")
+    listed = v.ships.join(bb, "class").select("class", "name", "type", "numGuns")
+    return union_distinct(fought, listed).agg(F.avg("numGuns").cast("decimal(4,2)").alias("avg_guns"))
+
+
+@query(
+    "e55_min_launch",
+    sql="""
+    SELECT c.class, min(launched) AS min_launched
+    FROM classes c LEFT JOIN ships s ON c.class = s.class LEFT JOIN outcomes o ON c.class = o.ship
+    GROUP BY c.class""",
+)
+def e55_min_launch(v):
+    """Earliest launch year per class (the SQL as written: a plain MIN).
+
+    The second LEFT JOIN of the SQL only repeats rows, which cannot change a
+    MIN, so ships are aggregated per class first and joined to classes once.
+    """
+    first = v.ships.groupBy("class").agg(F.min("launched").alias("min_launched"))
+    return v.classes.select("class").join(first, "class", "left")
+
+
+@query(
+    "e55_task",
+    sql="""
+    SELECT c.class, coalesce(max(CASE WHEN s.name = c.class THEN s.launched END), min(s.launched)) AS launch_year
+    FROM classes c LEFT JOIN ships s ON c.class = s.class
+    GROUP BY c.class""",
+)
+def e55_task(v):
+    """Launch year of each class's lead ship, else the earliest of the class."""
+    per = v.ships.groupBy("class").agg(
+        F.max(F.when(F.col("name") == F.col("class"), F.col("launched"))).alias("lead"),
+        F.min("launched").alias("first"),
+    )
+    joined = v.classes.select("class").join(per, "class", "left")
+    return joined.select("class", F.coalesce("lead", "first").alias("launch_year"))
+
+
+@query(
+    "e56_count_sunk",
+    sql="""
+    SELECT c.class, count(DISTINCT ship) AS sunked
+    FROM classes c
+    LEFT JOIN ships s ON c.class = s.class
+    LEFT JOIN (SELECT ship FROM outcomes WHERE result = 'sunk') o ON o.ship = s.name OR o.ship = c.class
+    GROUP BY c.class""",
+)
+def e56_count_sunk(v):
+    """Number of sunk ships per class, 0 kept.
+
+    A class's sunk ships are those named like one of its ships or like the
+    class itself.  Both routes are equi-joins against the distinct sunk
+    ships; their union is counted per class and joined back to all classes.
+    """
+    sunk = v.outcomes.filter(F.col("result") == "sunk").select("ship").distinct()
+    by_member = v.ships.select("name", "class").join(sunk, F.col("name") == F.col("ship")).select("class", "ship")
+    by_class = v.classes.select("class").join(sunk, F.col("class") == F.col("ship")).select("class", "ship")
+    counts = by_member.unionByName(by_class).groupBy("class").agg(F.count_distinct("ship").alias("sunked"))
+    joined = v.classes.select("class").join(counts, "class", "left")
+    return joined.select("class", F.coalesce(F.col("sunked"), F.lit(0).cast("long")).alias("sunked"))
+
+
+@query(
+    "e57_sunk_of_three",
+    sql=f"""
+    WITH fleet AS (
+      SELECT c.class, name FROM classes c JOIN ships s ON c.class = s.class
+      UNION
+      SELECT c.class, ship FROM outcomes o JOIN classes c ON c.class = o.ship),
+    sunk_ships AS (
+      SELECT c.class, count(*) AS cnt {OUTCOME_CLASS_SQL}
+      WHERE result = 'sunk' GROUP BY c.class)
+    SELECT * FROM sunk_ships WHERE class IN (SELECT class FROM fleet GROUP BY class HAVING count(*) >= 3)""",
+)
+def e57_sunk_of_three(v):
+    """Classes with losses and at least three ships: class, number sunk."""
+    fleet = all_ships(v.ships, v.outcomes, v.classes)
+    big = fleet.groupBy("class").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= 3).select("class")
+    sunk = outcome_classes(v, v.outcomes.filter(F.col("result") == "sunk").select("ship"))
+    per = sunk.groupBy(F.col("c_class").alias("class")).agg(F.count(F.lit(1)).alias("cnt"))
+    return per.join(big, "class", "left_semi")
+
+
+@query(
+    "e70_three_of_country",
+    sql=f"""
+    SELECT DISTINCT battle FROM (
+      SELECT o.battle, c.country, count(DISTINCT o.ship) AS n {OUTCOME_CLASS_SQL}
+      GROUP BY o.battle, c.country) t
+    WHERE n >= 3""",
+)
+def e70_three_of_country(v):
+    """Battles with at least three ships of one country."""
+    part = outcome_classes(v, v.outcomes.select("ship", "battle"))
+    per = part.groupBy("battle", "c_country").agg(F.count_distinct("ship").alias("n"))
+    return per.filter(F.col("n") >= 3).select("battle").distinct()
+
+
+@query(
+    "e73_absent_battles",
+    sql=f"""
+    SELECT c.country, b.name AS battle FROM (SELECT DISTINCT country FROM classes) c, battles b
+    EXCEPT
+    SELECT DISTINCT c.country, o.battle {OUTCOME_CLASS_SQL}""",
+)
+def e73_absent_battles(v):
+    """(country, battle) pairs where no ship of the country took part.
+
+    The answer ranges over the country x battle grid.  Countries are the
+    domain of ``classes.country`` (one per class at most); they travel as one
+    scalar array, are exploded per battle, and the present pairs are removed
+    with an anti join.
+    """
+    countries = v.classes.agg(F.array_sort(F.collect_set("country"))).scalar()
+    grid = v.battles.select(F.explode(countries).alias("country"), F.col("name").alias("battle"))
+    present = outcome_classes(v, v.outcomes.select("ship", "battle")).select(
+        F.col("c_country").alias("country"), "battle"
+    )
+    return grid.join(present, ["country", "battle"], "left_anti")
+
+
+def _fallback(v, country: str):
+    c = v.classes
+    has_country = c.filter(F.col("country") == country).exists()
+    return c.filter((F.col("country") == country) | ~has_country).select("country", "class")
+
+
+@query(
+    "e74_fallback",
+    sql=f"""
+    SELECT country, class FROM classes
+    WHERE country = '{HOME}' OR NOT EXISTS (SELECT 1 FROM classes WHERE country = '{HOME}')""",
+)
+def e74_fallback(v):
+    """Classes of one country, or of all countries when it has none (present)."""
+    return _fallback(v, HOME)
+
+
+@query(
+    "e74_fallback_absent",
+    sql=f"""
+    SELECT country, class FROM classes
+    WHERE country = '{ABSENT}' OR NOT EXISTS (SELECT 1 FROM classes WHERE country = '{ABSENT}')""",
+)
+def e74_fallback_absent(v):
+    """Same query for a country without classes: every class is returned."""
+    return _fallback(v, ABSENT)
+
+
+@query(
+    "e75_asof_forward",
+    sql="""
+    SELECT s.name, s.launched,
+      CASE WHEN s.launched IS NULL THEN (SELECT name FROM battles ORDER BY date DESC LIMIT 1)
+           ELSE (SELECT b.name FROM battles b WHERE year(b.date) >= s.launched ORDER BY b.date LIMIT 1)
+      END AS battle
+    FROM ships s""",
+)
+def e75_asof_forward(v):
+    """Per ship: first battle in or after its launch year; latest battle when
+    the year is unknown; NULL when no battle is late enough.
+
+    Forward as-of on the year: distinct launch years are mapped to their
+    first battle (``first_event_from`` works on distinct years only), then
+    ships equi-join that small map.
+    """
+    ships = v.ships.select("name", "launched")
+    battles = v.battles.select(F.col("name").alias("battle"), "date", dialect.year_of(F.col("date")).alias("year"))
+    year_map = first_event_from(ships, "launched", battles, "year", "battle", "date")
+    latest = v.battles.agg(F.max_by("name", "date")).scalar()
+    joined = ships.join(year_map, "launched", "left")
+    chosen = F.when(F.col("launched").isNull(), latest).otherwise(F.col("battle"))
+    return joined.select("name", "launched", chosen.alias("battle"))
