@@ -1 +1,176 @@
-"""placeholder"""
+"""Cash-point ledgers: ``income``/``outcome`` (many rows per day) and the
+daily ``income_o``/``outcome_o`` (one row per point and day).
+
+A cash point has few distinct values, so nothing here partitions raw ledger
+rows by point alone: sums are combined map-side (partial aggregation) and
+the only window runs over one row per (point, day).
+Sums of money are reported as decimal(38,2).
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from fathom.functions import dialect
+from fathom.operators.ledger import full_join_using, merge_ledgers, one_sided_days
+from fathom.operators.windows import running_total
+from fathom.plans.registry import query
+
+# Parameter: the cut-off day (the text's 15/04/01 read as 15 April 2001).
+CUTOFF = dt.date(2001, 4, 15)
+CUTOFF_SQL = "DATE '2001-04-15'"
+MONEY = "decimal(38,2)"
+
+
+def _remain():
+    return (F.coalesce(F.sum("inc"), F.lit(0)) - F.coalesce(F.sum("out"), F.lit(0))).cast(MONEY).alias("remain")
+
+
+def _daily_full(v, before: dt.date | None):
+    inc, out = v.income_o, v.outcome_o
+    if before is not None:
+        # WHERE date < c on the USING key (coalesce of both sides) keeps exactly
+        # the rows whose present side is before c, so it can be applied to
+        # each side before the join.
+        inc = inc.filter(F.col("date") < F.lit(before))
+        out = out.filter(F.col("date") < F.lit(before))
+    return full_join_using(inc, out, ["point", "date"])
+
+
+@query(
+    "e29_ledger_min",
+    sql="""
+    SELECT point, date, min(inc) AS inc, min(out) AS out
+    FROM (SELECT point, date, inc, NULL AS out FROM income_o
+          UNION ALL
+          SELECT point, date, NULL AS inc, out FROM outcome_o) a
+    GROUP BY point, date""",
+)
+def e29_ledger_min(v):
+    """Daily ledgers merged into (point, date, inc, out) by a padded union."""
+    return merge_ledgers(v.income_o, v.outcome_o, ["point", "date"], "inc", "out", agg=F.min)
+
+
+@query(
+    "e30_ledger_sum",
+    sql="""
+    SELECT point, date, CAST(sum(out) AS DECIMAL(38,2)) AS out, CAST(sum(inc) AS DECIMAL(38,2)) AS inc
+    FROM (SELECT point, date, inc, NULL AS out FROM income
+          UNION ALL
+          SELECT point, date, NULL AS inc, out FROM outcome) a
+    GROUP BY point, date""",
+)
+def e30_ledger_sum(v):
+    """Per point and day: total outgo and total income, NULL when absent."""
+    merged = merge_ledgers(v.income, v.outcome, ["point", "date"], "inc", "out")
+    return merged.select("point", "date", F.col("out").cast(MONEY).alias("out"), F.col("inc").cast(MONEY).alias("inc"))
+
+
+def _balance(v, key_expr):
+    inc = v.income_o.groupBy("point").agg(F.sum("inc").alias("inc"))
+    out = v.outcome_o.groupBy(F.col("point").alias("o_point")).agg(F.sum("out").alias("out"))
+    joined = inc.join(out, inc["point"] == out["o_point"], "full")
+    balance = dialect.isnull_default(F.col("inc"), 0) - dialect.isnull_default(F.col("out"), 0)
+    return joined.select(key_expr.alias("point"), balance.cast(MONEY).alias("balans"))
+
+
+@query(
+    "e59_balance",
+    sql="""
+    WITH i AS (SELECT point, sum(inc) AS inc FROM income_o GROUP BY point),
+         o AS (SELECT point, sum(out) AS out FROM outcome_o GROUP BY point)
+    SELECT i.point, CAST(coalesce(i.inc, 0) - coalesce(o.out, 0) AS DECIMAL(38,2)) AS balans
+    FROM i FULL JOIN o ON i.point = o.point""",
+)
+def e59_balance(v):
+    """Balance per point; as written, the point comes from the income side
+    (NULL for a point that only has outgo)."""
+    return _balance(v, F.col("point"))
+
+
+@query(
+    "e59_task",
+    sql="""
+    WITH i AS (SELECT point, sum(inc) AS inc FROM income_o GROUP BY point),
+         o AS (SELECT point, sum(out) AS out FROM outcome_o GROUP BY point)
+    SELECT coalesce(i.point, o.point) AS point, CAST(coalesce(i.inc, 0) - coalesce(o.out, 0) AS DECIMAL(38,2)) AS balans
+    FROM i FULL JOIN o ON i.point = o.point""",
+)
+def e59_task(v):
+    """Balance per point with the point taken from whichever side has it."""
+    return _balance(v, F.coalesce(F.col("point"), F.col("o_point")))
+
+
+@query(
+    "e60_balance_before",
+    sql=f"""
+    SELECT point, CAST(coalesce(sum(inc), 0) - coalesce(sum(out), 0) AS DECIMAL(38,2)) AS remain
+    FROM income_o FULL JOIN outcome_o USING (point, date)
+    WHERE date < {CUTOFF_SQL}
+    GROUP BY point""",
+)
+def e60_balance_before(v):
+    """Balance per point at the start of a day."""
+    return _daily_full(v, CUTOFF).groupBy("point").agg(_remain())
+
+
+@query(
+    "e61_total_balance",
+    sql="""
+    SELECT CAST(coalesce(sum(inc), 0) - coalesce(sum(out), 0) AS DECIMAL(38,2)) AS remain
+    FROM income_o FULL JOIN outcome_o USING (point, date)""",
+)
+def e61_total_balance(v):
+    """One balance over all points."""
+    return _daily_full(v, None).agg(_remain())
+
+
+@query(
+    "e62_total_before",
+    sql=f"""
+    SELECT CAST(coalesce(sum(inc), 0) - coalesce(sum(out), 0) AS DECIMAL(38,2)) AS remain
+    FROM income_o FULL JOIN outcome_o USING (point, date)
+    WHERE date < {CUTOFF_SQL}""",
+)
+def e62_total_before(v):
+    """One balance over all points at the start of a day."""
+    return _daily_full(v, CUTOFF).agg(_remain())
+
+
+@query(
+    "e64_one_sided_days",
+    sql="""
+    WITH i AS (SELECT point, date, 'inc' AS oper, sum(inc) AS msum FROM income GROUP BY point, date),
+         o AS (SELECT point, date, 'out' AS oper, sum(out) AS msum FROM outcome GROUP BY point, date)
+    SELECT point, date, coalesce(i.oper, o.oper) AS operation, CAST(coalesce(i.msum, o.msum) AS DECIMAL(38,2)) AS money_sum
+    FROM i FULL JOIN o USING (point, date)
+    WHERE i.msum IS NULL OR o.msum IS NULL""",
+)
+def e64_one_sided_days(v):
+    """Days on which a point had income but no outgo, or the reverse."""
+    days = one_sided_days(v.income, v.outcome, ["point", "date"], "inc", "out")
+    return days.select("point", "date", "operation", F.col("money_sum").cast(MONEY).alias("money_sum"))
+
+
+@query(
+    "e69_running_balance",
+    sql="""
+    SELECT DISTINCT point, strftime(date, '%d/%m/%Y') AS day,
+           CAST(sum(rev) OVER (PARTITION BY point ORDER BY date RANGE UNBOUNDED PRECEDING) AS DECIMAL(38,2)) AS rem
+    FROM (SELECT point, date, inc AS rev FROM income
+          UNION ALL
+          SELECT point, date, -out AS rev FROM outcome) op
+    ORDER BY point, day""",
+)
+def e69_running_balance(v):
+    """Balance of each point at the end of every day with operations,
+    day as dd/mm/yyyy text, sorted by (point, day text)."""
+    moves = v.income.select("point", "date", F.col("inc").alias("rev")).unionByName(
+        v.outcome.select("point", "date", (-F.col("out")).alias("rev"))
+    )
+    balance = running_total(moves, "point", "date", "rev", "rem")
+    return balance.select("point", dialect.day_text(F.col("date")).alias("day"), F.col("rem").cast(MONEY).alias("rem")).orderBy(
+        "point", "day"
+    )

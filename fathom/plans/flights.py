@@ -1 +1,161 @@
-"""placeholder"""
+"""Flight queries over ``trip``, ``pass_in_trip``, ``passenger``."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from fathom.functions import dialect
+from fathom.operators.aggregates import top_with_ties
+from fathom.operators.calendar import calendar_fill, date_spine
+from fathom.plans.registry import query
+
+# Parameters: the week and the departure town of the calendar query.
+WEEK_START = dt.date(1997, 1, 1)
+WEEK_END = dt.date(1997, 1, 7)
+TOWN = "NATION_5"
+DAY_MINUTES = 1440
+
+
+@query(
+    "e63_same_seat",
+    sql="""
+    SELECT name FROM passenger
+    WHERE id_psg IN (SELECT id_psg FROM pass_in_trip GROUP BY id_psg, place HAVING count(*) > 1)""",
+)
+def e63_same_seat(v):
+    """Passengers who sat on the same seat more than once."""
+    repeat = v.pass_in_trip.groupBy("id_psg", "place").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+    return v.passenger.join(repeat.select("id_psg"), "id_psg", "left_semi").select("name")
+
+
+def _week_trips(v):
+    return v.trip.filter(F.col("date").between(F.lit(WEEK_START), F.lit(WEEK_END)) & (F.col("town_from") == TOWN)).select(
+        "trip_no", "date"
+    )
+
+
+def _fill_week(v, counts):
+    return calendar_fill(date_spine(v.spark, WEEK_START, WEEK_END, "date"), counts, "date", "cnt", 0)
+
+
+@query(
+    "e66_calendar",
+    sql=f"""
+    SELECT CAST(d.day AS DATE) AS date, coalesce(t.cnt, 0) AS cnt
+    FROM generate_series(TIMESTAMP '{WEEK_START}', TIMESTAMP '{WEEK_END}', INTERVAL 1 DAY) AS d(day)
+    LEFT JOIN (SELECT date, count(DISTINCT trip_no) AS cnt
+               FROM trip JOIN pass_in_trip USING (trip_no)
+               WHERE date BETWEEN DATE '{WEEK_START}' AND DATE '{WEEK_END}' AND town_from = '{TOWN}'
+               GROUP BY date) t
+      ON CAST(d.day AS DATE) = t.date""",
+)
+def e66_calendar(v):
+    """Flights with passengers leaving a town on each day of a week, 0 filled.
+
+    The week's trips are few; joined to the passenger list (where AQE
+    broadcasts them once their size is known) they only filter, so the large
+    table is scanned but not shuffled.
+    """
+    flown = v.pass_in_trip.select("trip_no").join(_week_trips(v), "trip_no")
+    counts = flown.groupBy("date").agg(F.count_distinct("trip_no").alias("cnt"))
+    return _fill_week(v, counts)
+
+
+@query(
+    "e66_task",
+    sql=f"""
+    SELECT CAST(d.day AS DATE) AS date, coalesce(t.cnt, 0) AS cnt
+    FROM generate_series(TIMESTAMP '{WEEK_START}', TIMESTAMP '{WEEK_END}', INTERVAL 1 DAY) AS d(day)
+    LEFT JOIN (SELECT date, count(DISTINCT trip_no) AS cnt FROM trip
+               WHERE date BETWEEN DATE '{WEEK_START}' AND DATE '{WEEK_END}' AND town_from = '{TOWN}'
+               GROUP BY date) t
+      ON CAST(d.day AS DATE) = t.date""",
+)
+def e66_task(v):
+    """Flights leaving a town on each day of a week, with or without passengers."""
+    counts = _week_trips(v).groupBy("date").agg(F.count_distinct("trip_no").alias("cnt"))
+    return _fill_week(v, counts)
+
+
+def _top_route_count(routes):
+    return top_with_ties(routes, "cnt").agg(F.count(F.lit(1)).alias("qty"))
+
+
+@query(
+    "e67_top_routes",
+    sql="""
+    WITH tab AS (SELECT town_from, town_to, count(DISTINCT trip_no) AS cnt FROM trip GROUP BY town_from, town_to)
+    SELECT count(*) AS qty FROM tab WHERE cnt = (SELECT max(cnt) FROM tab)""",
+)
+def e67_top_routes(v):
+    """Number of directed routes served by the most flights."""
+    routes = v.trip.groupBy("town_from", "town_to").agg(F.count_distinct("trip_no").alias("cnt"))
+    return _top_route_count(routes)
+
+
+@query(
+    "e68_top_routes_undirected",
+    sql="""
+    WITH tab AS (
+      SELECT count(DISTINCT trip_no) AS cnt FROM trip
+      GROUP BY CASE WHEN town_from > town_to THEN town_from ELSE town_to END,
+               CASE WHEN town_from < town_to THEN town_from ELSE town_to END)
+    SELECT count(*) AS qty FROM tab WHERE cnt = (SELECT max(cnt) FROM tab)""",
+)
+def e68_top_routes_undirected(v):
+    """Same, with A-B and B-A counted as one route (IIF keys, NULL-exact)."""
+    a, b = F.col("town_from"), F.col("town_to")
+    routes = v.trip.groupBy(dialect.iif(a > b, a, b).alias("hi"), dialect.iif(a < b, a, b).alias("lo")).agg(
+        F.count_distinct("trip_no").alias("cnt")
+    )
+    return _top_route_count(routes)
+
+
+@query(
+    "e72_loyal_top",
+    sql="""
+    WITH per AS (
+      SELECT p.id_psg, count(*) AS flights
+      FROM pass_in_trip p JOIN trip t ON p.trip_no = t.trip_no
+      GROUP BY p.id_psg HAVING count(DISTINCT t.id_comp) = 1)
+    SELECT ps.name, per.flights FROM per JOIN passenger ps ON per.id_psg = ps.id_psg
+    WHERE per.flights = (SELECT max(flights) FROM per)""",
+)
+def e72_loyal_top(v):
+    """Among passengers who flew with one company only, those with the most
+    flights (ties kept): name, number of flights."""
+    flights = v.pass_in_trip.select("trip_no", "id_psg").join(v.trip.select("trip_no", "id_comp"), "trip_no")
+    per = flights.groupBy("id_psg").agg(
+        F.count_distinct("id_comp").alias("companies"), F.count(F.lit(1)).alias("flights")
+    )
+    loyal = per.filter(F.col("companies") == 1).select("id_psg", "flights")
+    return top_with_ties(loyal, "flights").join(v.passenger, "id_psg").select("name", "flights")
+
+
+@query(
+    "e76_flight_minutes",
+    sql=f"""
+    SELECT ps.name, x.minutes FROM (
+      SELECT p.id_psg,
+             CAST(sum(CASE WHEN t.min_in >= t.min_out THEN t.min_in - t.min_out
+                           ELSE t.min_in - t.min_out + {DAY_MINUTES} END) AS BIGINT) AS minutes
+      FROM pass_in_trip p JOIN trip t ON p.trip_no = t.trip_no
+      GROUP BY p.id_psg HAVING count(*) = count(DISTINCT p.place)) x
+    JOIN passenger ps ON x.id_psg = ps.id_psg""",
+)
+def e76_flight_minutes(v):
+    """Minutes in the air of passengers who never sat on the same seat twice.
+
+    A flight landing before its departure time of day lands the next day.
+    """
+    t = v.trip
+    span = F.col("min_in") - F.col("min_out")
+    minutes = F.when(F.col("min_in") >= F.col("min_out"), span).otherwise(span + DAY_MINUTES)
+    flights = v.pass_in_trip.join(t.select("trip_no", minutes.alias("minutes")), "trip_no")
+    per = flights.groupBy("id_psg").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("place").alias("seats"), F.sum("minutes").alias("minutes")
+    )
+    never_twice = per.filter(F.col("n") == F.col("seats")).select("id_psg", "minutes")
+    return never_twice.join(v.passenger, "id_psg").select("name", "minutes")
