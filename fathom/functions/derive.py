@@ -49,6 +49,18 @@ def product_type(part_type: Column) -> Column:
     return expr.otherwise(F.lit(OTHER_FAMILY))
 
 
+def family_filter(part_type: Column, family: str) -> Column:
+    """Predicate on the raw part type selecting one product family.
+
+    Written on the base column (``IN`` / ``NOT IN``) rather than on the
+    derived ``type`` so the Parquet scan receives it as a pushed filter.
+    """
+    sources = [src for src, fam in PART_TYPE_FAMILY.items() if fam == family]
+    if family == OTHER_FAMILY:
+        return ~part_type.isin(*PART_TYPE_FAMILY) | part_type.isNull()
+    return part_type.isin(*sources)
+
+
 def maker_name(brand: Column, key: Column) -> Column:
     block = F.floor(key / MODELS_PER_MAKER_BLOCK).cast("int").cast("string")
     return F.concat(brand, F.lit("-"), block)

@@ -126,7 +126,7 @@ def e68_top_routes_undirected(v):
 def e72_loyal_top(v):
     """Among passengers who flew with one company only, those with the most
     flights (ties kept): name, number of flights."""
-    flights = v.pass_in_trip.select("trip_no", "id_psg").join(v.trip.select("trip_no", "id_comp"), "trip_no")
+    flights = v.pass_in_trip.select("trip_no", "id_psg").join(v.trip_legs.select("trip_no", "id_comp"), "trip_no")
     per = flights.groupBy("id_psg").agg(
         F.count_distinct("id_comp").alias("companies"), F.count(F.lit(1)).alias("flights")
     )
@@ -150,7 +150,7 @@ def e76_flight_minutes(v):
 
     A flight landing before its departure time of day lands the next day.
     """
-    t = v.trip
+    t = v.trip_legs
     span = F.col("min_in") - F.col("min_out")
     minutes = F.when(F.col("min_in") >= F.col("min_out"), span).otherwise(span + DAY_MINUTES)
     flights = v.pass_in_trip.join(t.select("trip_no", minutes.alias("minutes")), "trip_no")

@@ -50,7 +50,7 @@ def load_all() -> dict[str, Query]:
 
 
 def run(spark: SparkSession, root: str, key: str) -> DataFrame:
-    return load_all()[key].build(Views(spark, root))
+    return load_all()[key].build(Views.shared(spark, root))
 
 
 def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -58,7 +58,7 @@ def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
     def bind(q: Query):
         def call(spark: SparkSession, root: str) -> DataFrame:
-            return q.build(Views(spark, root))
+            return q.build(Views.shared(spark, root))
 
         call.__name__ = q.key
         call.__doc__ = q.doc

@@ -93,7 +93,7 @@ VIEWS: dict[str, str] = {
                'NATION_' || CAST(o_orderkey % 25 AS VARCHAR) AS town_to,
                (o_orderkey * 37) % 1440 AS min_out,
                (o_orderkey * 37 + 45 + o_orderkey % 300) % 1440 AS min_in
-        FROM orders JOIN customer ON o_custkey = c_custkey""",
+        FROM orders LEFT JOIN customer ON o_custkey = c_custkey""",
     "pass_in_trip": """
         SELECT l_orderkey AS trip_no, l_partkey AS id_psg, l_suppkey * 10 + l_linenumber AS place
         FROM lineitem""",

@@ -29,10 +29,23 @@ from fathom.sources.tables import read_table
 class Views:
     """Lazily built domain DataFrames for one data directory."""
 
+    _shared: dict[tuple[int, str], "Views"] = {}
+
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root
 
+    @classmethod
+    def shared(cls, spark: SparkSession, root: str) -> "Views":
+        """One instance per (session, root): view DataFrames are immutable
+        plans, so queries can share them like catalog tables."""
+        key = (id(spark), root)
+        views = cls._shared.get(key)
+        if views is None or views.spark is not spark:
+            views = cls(spark, root)
+            cls._shared[key] = views
+        return views
+
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, self.root, name)
 
@@ -54,7 +67,13 @@ class Views:
         return self._parts().select("maker", "model", "type")
 
     def _family(self, family: str) -> DataFrame:
-        return self._parts().filter(F.col("type") == family)
+        p = self.table("part").filter(d.family_filter(F.col("p_type"), family))
+        return p.select(
+            F.col("p_partkey"),
+            F.col("p_size"),
+            d.model_text(F.col("p_partkey")).alias("model"),
+            d.money_price(F.col("p_retailprice")).alias("price"),
+        )
 
     @cached_property
     def pc(self) -> DataFrame:
@@ -187,20 +206,32 @@ class Views:
 
     # -------------------------------------------------------------------- flights
     @cached_property
-    def trip(self) -> DataFrame:
-        o = self.table("orders")
-        c = self.table("customer")
+    def trip_legs(self) -> DataFrame:
+        """``trip`` without ``town_from``: every column that comes from orders.
+
+        ``trip`` is orders LEFT JOIN customer on the customer primary key, so
+        it has exactly one row per order; queries that do not need the
+        departure town read this projection and skip that join entirely
+        (a full shuffle of both tables at scale).
+        """
         k = F.col("o_orderkey")
-        return o.join(c, o.o_custkey == c.c_custkey).select(
+        return self.table("orders").select(
             k.alias("trip_no"),
             (k % 3).alias("id_comp"),
             F.col("o_orderdate").cast("date").alias("date"),
-            d.nation_label(F.col("c_nationkey")).alias("town_from"),
+            F.col("o_custkey"),
             d.nation_label(k % 25).alias("town_to"),
             ((k * 37) % 1440).alias("min_out"),
             ((k * 37 + 45 + k % 300) % 1440).alias("min_in"),
         )
 
+    @cached_property
+    def trip(self) -> DataFrame:
+        c = self.table("customer").select("c_custkey", d.nation_label(F.col("c_nationkey")).alias("town_from"))
+        legs = self.trip_legs
+        joined = legs.join(c, legs.o_custkey == c.c_custkey, "left")
+        return joined.select("trip_no", "id_comp", "date", "town_from", "town_to", "min_out", "min_in")
+
     @cached_property
     def pass_in_trip(self) -> DataFrame:
         li = self.table("lineitem")
