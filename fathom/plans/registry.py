@@ -28,7 +28,7 @@ class Query:
 
 REGISTRY: dict[str, Query] = {}
 
-_MODULES = ("computers", "ships", "cash", "flights")
+_MODULES = ("computers", "ships", "cash", "flights", "metrics")
 
 
 def query(key: str, sql: str | None = None):
