@@ -79,12 +79,25 @@ def ship_name(cust_key: Column, cust_name: Column, nation_key: Column) -> Column
     )
 
 
-def order_result(status: Column) -> Column:
-    return (
-        F.when(status == "F", F.lit("sunk"))
-        .when(status == "P", F.lit("damaged"))
-        .otherwise(F.lit("OK"))
-    )
+# Battle results, in the order MIN picks them (text order:
+# "OK" < "damaged" < "sunk").
+RESULTS = ("OK", "damaged", "sunk")
+
+
+def order_result_code(status: Column) -> Column:
+    """Position of the result in ``RESULTS``: F -> sunk, P -> damaged, else OK.
+
+    Aggregating the small integer (instead of the text) keeps MIN inside a
+    hash aggregate; ``result_label`` turns it back into text.
+    """
+    return F.when(status == "F", F.lit(2)).when(status == "P", F.lit(1)).otherwise(F.lit(0))
+
+
+def result_label(code: Column) -> Column:
+    expr = F.when(code == 0, F.lit(RESULTS[0]))
+    for i, label in enumerate(RESULTS[1:], start=1):
+        expr = expr.when(code == i, F.lit(label))
+    return expr
 
 
 def null_if(value: Column, sentinel, dtype: str) -> Column:

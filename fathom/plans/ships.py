@@ -521,6 +521,9 @@ def e75_asof_forward(v):
     battles = v.battles.select(F.col("name").alias("battle"), "date", dialect.year_of(F.col("date")).alias("year"))
     year_map = first_event_from(ships, "launched", battles, "year", "battle", "date")
     latest = v.battles.agg(F.max_by("name", "date")).scalar()
-    joined = ships.join(year_map, "launched", "left")
+    # The map has one row per distinct launch year (a calendar-bounded
+    # count, independent of the number of ships), so broadcasting it is
+    # safe -- and a shuffle join on ~a dozen year values would be skewed.
+    joined = ships.join(F.broadcast(year_map), "launched", "left")
     chosen = F.when(F.col("launched").isNull(), latest).otherwise(F.col("battle"))
     return joined.select("name", "launched", chosen.alias("battle"))

@@ -157,19 +157,22 @@ class Views:
 
     @cached_property
     def outcomes(self) -> DataFrame:
-        # One row per (ship, battle).  Orders are first reduced to one row per
-        # (customer, month) -- a map-side combinable aggregate -- and only then
-        # joined to customers: a ship name is a function of the customer key,
-        # so grouping by the key equals grouping by the name, and the join
-        # sees at most one row per customer and month instead of every order.
-        o = self.table("orders")
-        per_month = o.groupBy(
-            F.col("o_custkey").alias("c_custkey"),
+        # One row per (ship, battle).  A ship name is a function of the
+        # customer key, so the rows are grouped by (customer key, name,
+        # battle).  The join comes first: at scale both sides are shuffled
+        # by the customer key once, and the aggregate -- whose keys start
+        # with that key -- runs in the join's stage without a further
+        # exchange (aggregating first would shuffle orders by (key, month)
+        # and then again by key for the join).
+        o = self.table("orders").select(
+            F.col("o_custkey"),
             self._battle_name(F.trunc("o_orderdate", "month")).alias("battle"),
-        ).agg(F.min(d.order_result(F.col("o_orderstatus"))).alias("result"))
-        return per_month.join(self._customer_ships(), "c_custkey").select(
-            F.col("name").alias("ship"), "battle", "result"
+            d.order_result_code(F.col("o_orderstatus")).alias("result"),
         )
+        ships = self._customer_ships()
+        joined = o.join(ships, o.o_custkey == ships.c_custkey)
+        per = joined.groupBy("c_custkey", "name", "battle").agg(F.min("result").alias("code"))
+        return per.select(F.col("name").alias("ship"), "battle", d.result_label(F.col("code")).alias("result"))
 
     # ----------------------------------------------------------------------- cash
     @cached_property
