@@ -21,6 +21,9 @@ CORE_CONF = {
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Reliable checkpoints written by global_row_number are removed once the
+    # DataFrame that owns them is garbage collected.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Python-side call-site capture costs a stack walk per DataFrame call;
     # plans here are built from library code, so it buys nothing.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
