@@ -11,7 +11,13 @@ def null_poisoned_max(value: Column) -> Column:
     return F.when(F.count_if(value.isNull()) == 0, F.max(value))
 
 
-def top_with_ties(df: DataFrame, value: str, by: list[str] | tuple[str, ...] = (), largest: bool = True) -> DataFrame:
+def top_with_ties(
+    df: DataFrame,
+    value: str,
+    by: list[str] | tuple[str, ...] = (),
+    largest: bool = True,
+    few_groups: bool = False,
+) -> DataFrame:
     """Rows holding the extreme ``value`` (per ``by`` group), ties kept.
 
     Global form: one scalar subquery (the extreme is a single value that
@@ -21,12 +27,17 @@ def top_with_ties(df: DataFrame, value: str, by: list[str] | tuple[str, ...] = (
     displacement values over millions of ships -- AQE broadcasts it and the
     large side is never shuffled; a window partitioned by the group would
     instead push each whole group through one task.  NULL groups and NULL
-    values never match, as with the SQL join-back.
+    values never match, as with the SQL join-back.  ``few_groups`` asserts
+    that the number of groups is bounded independently of the data (e.g.
+    groups taken from a fixed dimension) and broadcasts the maxima
+    explicitly instead of relying on the runtime size.
     """
     pick = F.max if largest else F.min
     if not by:
         return df.filter(F.col(value) == df.agg(pick(value)).scalar())
     best = df.groupBy(*[F.col(c).alias(f"__by_{c}") for c in by]).agg(pick(value).alias("__best"))
+    if few_groups:
+        best = F.broadcast(best)
     cond = [F.col(c) == F.col(f"__by_{c}") for c in by] + [F.col(value) == F.col("__best")]
     return df.join(best, cond, "inner").select(*df.columns)
 

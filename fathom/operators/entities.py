@@ -10,14 +10,15 @@ def all_ships(ships: DataFrame, outcomes: DataFrame, classes: DataFrame | None =
     """Distinct (name, class): ships as listed, plus ships from battle outcomes
     that are taken as their own class (``ship AS name, ship AS class``).
 
-    When ``classes`` is given, only ships whose class exists there are kept
+    When ``classes`` is given (a bounded dimension: it is broadcast), only
+    ships whose class exists there are kept
     -- applied to each branch *before* the union, so the distinct runs on
     the (few) outcome ships that name a class instead of on every outcome.
     """
     listed = ships.select("name", "class")
     from_outcomes = outcomes.select(F.col("ship").alias("name"), F.col("ship").alias("class"))
     if classes is not None:
-        known = classes.select(F.col("class").alias("__c"))
+        known = F.broadcast(classes.select(F.col("class").alias("__c")).distinct())
         listed = listed.join(known, listed["class"] == known["__c"], "left_semi")
         from_outcomes = from_outcomes.join(known, from_outcomes["class"] == known["__c"], "left_semi")
     return listed.union(from_outcomes).distinct()

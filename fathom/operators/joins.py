@@ -24,6 +24,7 @@ def either_key_join(
     left_keys: list[str],
     right_key: str,
     how: str = "inner",
+    broadcast_right: bool = False,
 ) -> DataFrame:
     """``left JOIN right ON right.k = left.a OR right.k = left.b [OR ...]``.
 
@@ -39,12 +40,16 @@ def either_key_join(
     overlap = set(left.columns) & set(right.columns)
     if overlap:
         raise ValueError(f"either_key_join needs disjoint columns, shared: {sorted(overlap)}")
+    if broadcast_right:
+        right = F.broadcast(right)
     keys = F.array_distinct(F.array(*[F.col(k) for k in left_keys]))
     expanded = left.withColumn(_KEY, F.explode(keys))
     matched = expanded.join(right, F.col(_KEY) == right[right_key], "inner").drop(_KEY)
     if how == "inner":
         return matched
     right_keys = right.select(F.col(right_key).alias(_KEY)).distinct()
+    if broadcast_right:
+        right_keys = F.broadcast(right_keys)
     unmatched = left
     for k in left_keys:
         unmatched = unmatched.join(right_keys, unmatched[k] == right_keys[_KEY], "left_anti")
@@ -60,7 +65,10 @@ def not_in(df: DataFrame, value: Column, sub: DataFrame, sub_col: str) -> DataFr
     NULL value); a NULL in the subquery makes the predicate never TRUE; a
     NULL value qualifies only for an empty subquery.
     """
-    keys = sub.select(F.col(sub_col).alias("__nin"))
+    # Distinct first: the anti join only needs each value once, and the
+    # map-side partial distinct shrinks e.g. every ship's launch year to the
+    # few distinct years before anything is shuffled.
+    keys = sub.select(F.col(sub_col).alias("__nin")).distinct()
     nonempty = keys.exists()
     has_null = keys.filter(F.col("__nin").isNull()).exists()
     kept = df.join(keys.filter(F.col("__nin").isNotNull()), value == F.col("__nin"), "left_anti")

@@ -45,7 +45,8 @@ def outcome_classes(v, outs, how: str = "inner"):
     """
     s = v.ships.select(F.col("name").alias("s_name"), F.col("class").alias("s_class"))
     left = outs.join(s, outs["ship"] == s["s_name"], "left").drop("s_name")
-    return either_key_join(left, _prefixed_classes(v), ["s_class", "ship"], "c_class", how)
+    # classes has one row per nation (bounded), so it is broadcast.
+    return either_key_join(left, _prefixed_classes(v), ["s_class", "ship"], "c_class", how, broadcast_right=True)
 
 
 def maybe(cond, col):
@@ -299,7 +300,8 @@ def e51_group_max(v):
     fought = v.outcomes.select("ship").join(c, F.col("ship") == F.col("class")).select("ship", "displacement", "numGuns")
     listed = v.ships.join(c, "class").select(F.col("name").alias("ship"), "displacement", "numGuns")
     fleet = union_distinct(fought, listed)
-    return top_with_ties(fleet, "numGuns", by=["displacement"]).select("ship")
+    # Displacement values come from classes (one per nation at most).
+    return top_with_ties(fleet, "numGuns", by=["displacement"], few_groups=True).select("ship")
 
 
 @query(

@@ -114,10 +114,13 @@ class Views:
     # ---------------------------------------------------------------------- fleet
     @cached_property
     def classes(self) -> DataFrame:
+        # One row per nation: the nation table has a fixed, data-volume
+        # independent size (25 rows in the TPC-H schema), so every join with
+        # a class is a broadcast -- never a shuffle on ~25 key values.
         n = self.table("nation")
         r = self.table("region")
         k = F.col("n_nationkey")
-        return n.join(r, n.n_regionkey == r.r_regionkey).select(
+        return F.broadcast(n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey)).select(
             F.col("n_name").alias("class"),
             F.when(k % 3 == 0, F.lit("bc")).otherwise(F.lit("bb")).alias("type"),
             F.col("r_name").alias("country"),
@@ -152,8 +155,10 @@ class Views:
 
     @cached_property
     def battles(self) -> DataFrame:
+        # One row per calendar month of the order dates: bounded by the date
+        # range (some tens of months), not by the number of orders.
         months = self.table("orders").select(F.trunc("o_orderdate", "month").alias("date")).distinct()
-        return months.select(self._battle_name(F.col("date")).alias("name"), "date")
+        return F.broadcast(months.select(self._battle_name(F.col("date")).alias("name"), "date"))
 
     @cached_property
     def outcomes(self) -> DataFrame:
