@@ -433,7 +433,8 @@ def e57_sunk_of_three(v):
     big = fleet.groupBy("class").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= 3).select("class")
     sunk = outcome_classes(v, v.outcomes.filter(F.col("result") == "sunk").select("ship"))
     per = sunk.groupBy(F.col("c_class").alias("class")).agg(F.count(F.lit(1)).alias("cnt"))
-    return per.join(big, "class", "left_semi")
+    # ``big`` holds known classes only (fleet is restricted to classes).
+    return per.join(F.broadcast(big), "class", "left_semi")
 
 
 @query(

@@ -163,21 +163,20 @@ class Views:
     @cached_property
     def outcomes(self) -> DataFrame:
         # One row per (ship, battle).  A ship name is a function of the
-        # customer key, so the rows are grouped by (customer key, name,
-        # battle).  The join comes first: at scale both sides are shuffled
-        # by the customer key once, and the aggregate -- whose keys start
-        # with that key -- runs in the join's stage without a further
-        # exchange (aggregating first would shuffle orders by (key, month)
-        # and then again by key for the join).
-        o = self.table("orders").select(
-            F.col("o_custkey"),
+        # customer key, so orders are first reduced to one row per (customer,
+        # month) -- an aggregate with map-side combine, so even a customer
+        # holding a large share of all orders leaves each map task as at most
+        # one row per month -- and only then joined to customers.  MIN runs
+        # over an integer severity code (hash aggregate, no sort), turned
+        # back into the result text at the end.
+        o = self.table("orders")
+        per_month = o.groupBy(
+            F.col("o_custkey").alias("c_custkey"),
             self._battle_name(F.trunc("o_orderdate", "month")).alias("battle"),
-            d.order_result_code(F.col("o_orderstatus")).alias("result"),
+        ).agg(F.min(d.order_result_code(F.col("o_orderstatus"))).alias("code"))
+        return per_month.join(self._customer_ships(), "c_custkey").select(
+            F.col("name").alias("ship"), "battle", d.result_label(F.col("code")).alias("result")
         )
-        ships = self._customer_ships()
-        joined = o.join(ships, o.o_custkey == ships.c_custkey)
-        per = joined.groupBy("c_custkey", "name", "battle").agg(F.min("result").alias("code"))
-        return per.select(F.col("name").alias("ship"), "battle", d.result_label(F.col("code")).alias("result"))
 
     # ----------------------------------------------------------------------- cash
     @cached_property

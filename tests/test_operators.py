@@ -122,3 +122,24 @@ def test_first_event_from_matches_brute_force(spark):
         expect = min(later, key=lambda e: e[2])[1] if later else None
         assert got[p] == expect, (p, got[p], expect)
     assert None not in got
+
+
+def test_hot_key_results_are_whole(spark):
+    """One key holding a third of the rows: results stay complete and exact."""
+    from fathom.operators.aggregates import top_with_ties
+
+    con = duckdb.connect()
+    rows = [(i, "hot" if i % 3 == 0 else f"k{i % 50}", i % 7) for i in range(3000)]
+    df = _frame(spark, con, "t", rows, "id int, g string, v int")
+    got = top_with_ties(df, "v", by=["g"])
+    want = con.sql("SELECT t.* FROM t JOIN (SELECT g, max(v) AS m FROM t GROUP BY g) x ON t.g = x.g AND t.v = x.m")
+    problems, n, _ = compare_frames(got, want)
+    assert not problems, problems
+    assert n > 0
+    right = _frame(spark, con, "r", [("hot", 1), ("k1", 2)], "k string, w int")
+    left = df.select("id", F.col("g").alias("a"), F.lit("k1").alias("b"))
+    con.execute("CREATE OR REPLACE TABLE l AS SELECT id, g AS a, 'k1' AS b FROM t")
+    got = either_key_join(left, right, ["a", "b"], "k", "left").select("id", "a", "b", "k", "w")
+    want = con.sql("SELECT l.id, l.a, l.b, r.k, r.w FROM l LEFT JOIN r ON r.k = l.a OR r.k = l.b")
+    problems, _, _ = compare_frames(got, want)
+    assert not problems, problems

@@ -50,3 +50,32 @@ def test_running_balance_window_sees_daily_rows(spark):
     text = df._jdf.queryExecution().optimizedPlan().toString()
     window_at = text.index("Window [")
     assert "Aggregate [point" in text[window_at:], "window input must be pre-aggregated per (point, date)"
+
+
+@pytest.fixture
+def no_auto_broadcast(spark):
+    keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    saved = {k: spark.conf.get(k, None) for k in keys}
+    for k in keys:
+        spark.conf.set(k, "-1")
+    yield
+    for k, v in saved.items():
+        if v is None:
+            spark.conf.unset(k)
+        else:
+            spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("key", ["e14_join_filter", "e46_either_key_left", "e48_class_sunk", "e51_group_max", "e57_sunk_of_three", "e75_asof_forward"])
+def test_bounded_dimensions_broadcast_without_size_estimates(spark, no_auto_broadcast, key):
+    """Even when nothing is small enough to broadcast by estimate (the 100 TB
+    case), joins against a bounded dimension (one row per nation, per
+    displacement value, per launch year) stay broadcast joins: no shuffle on
+    a handful of key values."""
+    import re
+
+    plan = executed(spark, key)
+    smj_keys = re.findall(r"SortMergeJoin(?: \w+)? \[([^\]]*)\]", plan)
+    for keys in smj_keys:
+        for low in ("class", "__either_key", "displacement", "launched"):
+            assert not re.match(rf"{low}#", keys.strip()), (key, keys)
