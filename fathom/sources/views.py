@@ -49,6 +49,23 @@ class Views:
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, self.root, name)
 
+    NAMES = (
+        "product", "pc", "laptop", "printer",
+        "classes", "ships", "battles", "outcomes",
+        "income", "outcome", "income_o", "outcome_o",
+        "trip", "pass_in_trip", "passenger",
+    )
+
+    def register(self, prefix: str = "") -> list[str]:
+        """Expose every domain table as a temporary view, so questions can
+        also be asked in Spark SQL (``spark.sql("SELECT ... FROM pc")``).
+        The views are the same lazy plans: nothing is computed here."""
+        names = []
+        for name in self.NAMES:
+            getattr(self, name).createOrReplaceTempView(prefix + name)
+            names.append(prefix + name)
+        return names
+
     # ------------------------------------------------------------------ computers
     def _parts(self) -> DataFrame:
         p = self.table("part")
