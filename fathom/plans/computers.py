@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from fathom.functions import dialect
 from fathom.operators.aggregates import divides, null_poisoned_max, top_with_ties
-from fathom.operators.setops import except_distinct, intersect_distinct, union_all, union_distinct
+from fathom.operators.setops import except_distinct, union_all, union_distinct
 from fathom.operators.shares import share_of_group
 from fathom.operators.subquery import filter_all
 from fathom.operators.windows import global_row_number
@@ -277,12 +277,24 @@ def e22_avg_by_speed(v):
     SELECT DISTINCT maker FROM product a, pc b WHERE a.model = b.model AND b.speed >= {FAST}""",
 )
 def e23_intersect(v):
-    """Makers of both fast PCs and fast laptops."""
+    """Makers of both fast PCs and fast laptops.
 
-    def makers(t):
-        return v.product.join(t.filter(F.col("speed") >= FAST).select("model"), "model").select("maker")
+    INTERSECT of two projections of the same join: the fast models of both
+    tables are tagged and unioned, joined to ``product`` once (one shuffle
+    of the big table instead of two), and a maker qualifies when both tags
+    occur.  GROUP BY keeps a NULL maker as one value, as INTERSECT does.
+    """
+
+    def fast(t, laptop: int):
+        return t.filter(F.col("speed") >= FAST).select(
+            "model", F.lit(laptop).alias("is_laptop"), F.lit(1 - laptop).alias("is_pc")
+        )
 
-    return intersect_distinct(makers(v.laptop), makers(v.pc))
+    tagged = union_all(fast(v.laptop, 1), fast(v.pc, 0))
+    flags = v.product.select("maker", "model").join(tagged, "model").groupBy("maker").agg(
+        F.max("is_laptop").alias("l"), F.max("is_pc").alias("p")
+    )
+    return flags.filter((F.col("l") == 1) & (F.col("p") == 1)).select("maker")
 
 
 @query(
@@ -386,13 +398,27 @@ def e35_char_class(v):
 def e40_single_type(v):
     """Makers with more than one model, all of a single type.
 
-    One grouped aggregate to (maker, type) counts; the per-maker number of
-    distinct types is then a window count over those few rows (each row is
-    one distinct type, and COUNT skips a NULL type as COUNT DISTINCT does).
+    One aggregate per maker (combined map-side, so a maker with a huge
+    number of rows shrinks before the shuffle): "one distinct non-NULL type"
+    is ``min(type) = max(type)``, and the models are counted separately for
+    the typed rows and for NULL-typed rows, which form their own
+    (maker, NULL) group exactly as GROUP BY maker, type does.
     """
-    counts = v.product.groupBy("maker", "type").agg(F.count("model").alias("n"))
-    types = F.count("type").over(Window.partitionBy("maker"))
-    return counts.select("maker", "type", "n", types.alias("nt")).filter((F.col("nt") == 1) & (F.col("n") > 1)).select("maker", "type")
+    t = F.col("type")
+    per = v.product.groupBy("maker").agg(
+        F.min(t).alias("lo"),
+        F.max(t).alias("hi"),
+        F.count(F.when(t.isNotNull(), F.col("model"))).alias("n_typed"),
+        F.count(F.when(t.isNull(), F.col("model"))).alias("n_untyped"),
+    )
+    single = per.filter(F.col("lo") == F.col("hi"))
+    groups = F.explode(
+        F.array(
+            F.struct(F.col("lo").alias("type"), F.col("n_typed").alias("n")),
+            F.struct(F.lit(None).cast("string").alias("type"), F.col("n_untyped").alias("n")),
+        )
+    )
+    return single.select("maker", groups.alias("g")).filter(F.col("g.n") > 1).select("maker", F.col("g.type").alias("type"))
 
 
 @query(
