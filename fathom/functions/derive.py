@@ -24,6 +24,13 @@ DIGIT_LETTERS = "abcdefghij"
 MISSING_PRICE = 950
 MODELS_PER_MAKER_BLOCK = 80
 
+# Ship class types (battleship, battlecruiser), CD drive
+# speeds and the colour flag of printers, as the queries spell them.
+BATTLESHIP = "bb"
+BATTLECRUISER = "bc"
+CD_SPEEDS = ("12x", "24x", "40x")
+COLOUR_YES, COLOUR_NO = "y", "n"
+
 
 def model_text(key: Column) -> Column:
     """Model number as text: mixed (``M123``), letters only, or digits only."""

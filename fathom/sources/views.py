@@ -101,9 +101,9 @@ class Views:
             (F.lit(400) + F.lit(100) * (size % 10)).alias("speed"),
             (F.lit(64) * (F.lit(1) + size % 4)).alias("ram"),
             (F.lit(5) * (F.lit(1) + size % 8)).cast("double").alias("hd"),
-            F.when(size % 3 == 0, F.lit("12x"))
-            .when(size % 3 == 1, F.lit("24x"))
-            .otherwise(F.lit("40x"))
+            F.when(size % 3 == 0, F.lit(d.CD_SPEEDS[0]))
+            .when(size % 3 == 1, F.lit(d.CD_SPEEDS[1]))
+            .otherwise(F.lit(d.CD_SPEEDS[2]))
             .alias("cd"),
             "price",
         )
@@ -124,7 +124,7 @@ class Views:
     def printer(self) -> DataFrame:
         return self._family("Printer").select(
             "model",
-            F.when(F.col("p_partkey") % 2 == 0, F.lit("y")).otherwise(F.lit("n")).alias("color"),
+            F.when(F.col("p_partkey") % 2 == 0, F.lit(d.COLOUR_YES)).otherwise(F.lit(d.COLOUR_NO)).alias("color"),
             "price",
         )
 
@@ -139,7 +139,7 @@ class Views:
         k = F.col("n_nationkey")
         return F.broadcast(n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey)).select(
             F.col("n_name").alias("class"),
-            F.when(k % 3 == 0, F.lit("bc")).otherwise(F.lit("bb")).alias("type"),
+            F.when(k % 3 == 0, F.lit(d.BATTLECRUISER)).otherwise(F.lit(d.BATTLESHIP)).alias("type"),
             F.col("r_name").alias("country"),
             d.null_if(F.lit(6) + k % 7, 8, "int").alias("numGuns"),
             (F.lit(12) + k % 7).cast("double").alias("bore"),
