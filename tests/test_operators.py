@@ -143,3 +143,23 @@ def test_hot_key_results_are_whole(spark):
     want = con.sql("SELECT l.id, l.a, l.b, r.k, r.w FROM l LEFT JOIN r ON r.k = l.a OR r.k = l.b")
     problems, _, _ = compare_frames(got, want)
     assert not problems, problems
+
+
+def test_global_row_number_spreads_a_hot_ordering_value(spark):
+    rows = [("hot" if i % 3 == 0 else f"k{i % 97:02d}", i) for i in range(6000)]
+    df = spark.createDataFrame(rows, "g string, i int")
+    got = global_row_number(df, [F.col("g")], "rn", buckets=8)
+    numbers = sorted(r.rn for r in got.collect())
+    assert numbers == list(range(1, 6001))
+    by_key = {}
+    for r in got.collect():
+        by_key.setdefault(r.g, []).append(r.rn)
+    order = sorted(by_key)
+    # every key occupies one contiguous block of numbers, blocks in key order
+    start = 1
+    for k in order:
+        block = sorted(by_key[k])
+        assert block == list(range(start, start + len(block)))
+        start += len(block)
+    sizes = got.select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+    assert len(sizes) > 1
