@@ -3,3 +3,6 @@
 from fathom.streaming.ledger import cash_moves, daily_ledger, start_daily_ledger, table_stream
 
 __all__ = ["cash_moves", "daily_ledger", "start_daily_ledger", "table_stream"]
+from fathom.streaming.balance import advance, start_running_balance  # noqa: E402
+
+__all__ += ["advance", "start_running_balance"]
