@@ -34,6 +34,11 @@ def either_key_join(
     matches that right row once; duplicated left rows stay duplicated; NULL
     keys never match.  For ``"left"``, a row without any match is emitted
     once with NULL right-hand columns.
+
+    ``broadcast_right`` is for a right side whose size is bounded
+    independently of the data volume (a dimension such as one row per
+    nation): it keeps the left side from being shuffled onto a handful of
+    key values.  Otherwise the join strategy is left to Spark/AQE.
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
