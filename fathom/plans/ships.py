@@ -80,7 +80,7 @@ def e31_filter_class(v):
 )
 def e32_avg_pow(v):
     """Mean of bore^3 / 2 over all ships of each country, two decimals."""
-    fleet = all_ships(v.ships, v.outcomes, v.classes).join(v.classes.select("class", "country", "bore"), "class")
+    fleet = all_ships(v.ships, v.outcome_ships, v.classes).join(v.classes.select("class", "country", "bore"), "class")
     mw = F.avg(dialect.power(F.col("bore"), 3) * F.lit(0.5)).cast("decimal(6,2)")
     return fleet.groupBy("country").agg(mw.alias("mw"))
 
@@ -114,7 +114,7 @@ def e36_union_in(v):
     """Lead ships (named like their class) from both tables."""
     listed = v.ships.filter(F.col("name") == F.col("class")).select("name")
     known = v.classes.select(F.col("class").alias("ship"))
-    fought = v.outcomes.select("ship").join(known, "ship", "left_semi")
+    fought = v.outcome_ships.join(known, "ship", "left_semi")
     return union_distinct(listed, fought)
 
 
@@ -128,7 +128,7 @@ def e36_union_in(v):
 )
 def e37_union_having(v):
     """Classes with exactly one ship, counting ships known only from outcomes."""
-    fleet = all_ships(v.ships, v.outcomes, v.classes)
+    fleet = all_ships(v.ships, v.outcome_ships, v.classes)
     return fleet.groupBy("class").agg(F.count("name").alias("n")).filter(F.col("n") == 1).select("class")
 
 
@@ -186,7 +186,7 @@ def e43_not_in(v):
 
 def _names_like(v, pattern: str):
     listed = v.ships.filter(F.col("name").like(pattern)).select("name")
-    fought = v.outcomes.filter(F.col("ship").like(pattern)).select("ship")
+    fought = v.outcome_ships.filter(F.col("ship").like(pattern))
     return union_distinct(listed, fought)
 
 
@@ -237,7 +237,7 @@ def e46_either_key_left(v):
 )
 def e47_all_lost(v):
     """Countries whose number of sunk ships equals their number of ships."""
-    fleet = all_ships(v.ships, v.outcomes, v.classes).join(v.classes.select("class", "country"), "class")
+    fleet = all_ships(v.ships, v.outcome_ships, v.classes).join(v.classes.select("class", "country"), "class")
     fleet_by_country = fleet.groupBy("country").agg(F.count(F.lit(1)).alias("number"))
     sunk = outcome_classes(v, v.outcomes.filter(F.col("result") == "sunk").select("ship"))
     sunk_by_country = sunk.groupBy(F.col("c_country").alias("country")).agg(F.count(F.lit(1)).alias("number"))
@@ -265,7 +265,7 @@ def e49_bore16(v):
     """Names of ships with 16-inch guns, from both tables."""
     big = v.classes.filter(F.col("bore") == 16).select("class")
     listed = v.ships.join(big, "class").select("name")
-    fought = v.outcomes.select("ship").join(big, F.col("ship") == F.col("class")).select("class")
+    fought = v.outcome_ships.join(big, F.col("ship") == F.col("class")).select("class")
     return union_distinct(listed, fought)
 
 
@@ -297,7 +297,7 @@ def e51_group_max(v):
     fleets into single tasks; the per-displacement maxima are a few rows.
     """
     c = v.classes.select("class", "displacement", "numGuns")
-    fought = v.outcomes.select("ship").join(c, F.col("ship") == F.col("class")).select("ship", "displacement", "numGuns")
+    fought = v.outcome_ships.join(c, F.col("ship") == F.col("class")).select("ship", "displacement", "numGuns")
     listed = v.ships.join(c, "class").select(F.col("name").alias("ship"), "displacement", "numGuns")
     fleet = union_distinct(fought, listed)
     # Displacement values come from classes (one per nation at most).
@@ -352,7 +352,7 @@ def e53_avg_numeric(v):
 def e54_avg_union(v):
     """Mean number of guns over all battleships, lead ships from outcomes included."""
     bb = v.classes.filter(F.col("type") == "bb").select("class", "type", "numGuns")
-    fought = v.outcomes.select("ship").distinct().join(bb, F.col("ship") == F.col("class")).select("class", "ship", "type", "numGuns")
+    fought = v.outcome_ships.join(bb, F.col("ship") == F.col("class")).select("class", "ship", "type", "numGuns")
     listed = v.ships.join(bb, "class").select("class", "name", "type", "numGuns")
     return union_distinct(fought, listed).agg(F.avg("numGuns").cast("decimal(4,2)").alias("avg_guns"))
 
@@ -429,7 +429,7 @@ def e56_count_sunk(v):
 )
 def e57_sunk_of_three(v):
     """Classes with losses and at least three ships: class, number sunk."""
-    fleet = all_ships(v.ships, v.outcomes, v.classes)
+    fleet = all_ships(v.ships, v.outcome_ships, v.classes)
     big = fleet.groupBy("class").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= 3).select("class")
     sunk = outcome_classes(v, v.outcomes.filter(F.col("result") == "sunk").select("ship"))
     per = sunk.groupBy(F.col("c_class").alias("class")).agg(F.count(F.lit(1)).alias("cnt"))

@@ -195,6 +195,20 @@ class Views:
             F.col("name").alias("ship"), "battle", d.result_label(F.col("code")).alias("result")
         )
 
+    @cached_property
+    def outcome_ships(self) -> DataFrame:
+        """The set of ships that appear in ``outcomes`` (one row per ship).
+
+        Queries that only need this set (entity unions, DISTINCT ship lists)
+        read it instead of ``outcomes``: a distinct over the customer key of
+        orders -- combined map-side, so a customer with a huge number of
+        orders collapses before the shuffle -- instead of the per-month
+        aggregate.  Names are unique per customer key, so the rows are
+        distinct.
+        """
+        buyers = self.table("orders").select(F.col("o_custkey").alias("c_custkey")).distinct()
+        return buyers.join(self._customer_ships(), "c_custkey").select(F.col("name").alias("ship"))
+
     # ----------------------------------------------------------------------- cash
     @cached_property
     def income(self) -> DataFrame:
