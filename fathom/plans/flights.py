@@ -10,6 +10,7 @@ from fathom.functions import dialect
 from fathom.operators.aggregates import top_with_ties
 from fathom.operators.calendar import calendar_fill, date_spine
 from fathom.plans.registry import query
+from fathom.session import ensure_checkpoint_dir
 
 # Parameters: the week and the departure town of the calendar query.
 WEEK_START = dt.date(1997, 1, 1)
@@ -80,7 +81,15 @@ def e66_task(v):
 
 
 def _top_route_count(routes):
-    return top_with_ties(routes, "cnt").agg(F.count(F.lit(1)).alias("qty"))
+    """How many routes have the largest flight count.
+
+    One pass: routes are counted per flight count, and the count belonging
+    to the largest flight count is picked by ``max_by`` (flight counts are
+    unique after that grouping).  A global aggregate always yields one row;
+    no routes at all gives 0, as ``count(*)`` does in SQL.
+    """
+    per_count = routes.groupBy("cnt").agg(F.count(F.lit(1)).alias("qty"))
+    return per_count.agg(F.coalesce(F.max_by("qty", "cnt"), F.lit(0).cast("long")).alias("qty"))
 
 
 @query(
@@ -130,7 +139,11 @@ def e72_loyal_top(v):
     per = flights.groupBy("id_psg").agg(
         F.count_distinct("id_comp").alias("companies"), F.count(F.lit(1)).alias("flights")
     )
-    loyal = per.filter(F.col("companies") == 1).select("id_psg", "flights")
+    # The maximum needs a pass over all loyal passengers before they can be
+    # filtered; checkpointing them (reliable, in the shared checkpoint
+    # directory) keeps the big join from being evaluated twice.
+    ensure_checkpoint_dir(v.spark)
+    loyal = per.filter(F.col("companies") == 1).select("id_psg", "flights").checkpoint(eager=True)
     return top_with_ties(loyal, "flights").join(v.passenger, "id_psg").select("name", "flights")
 
 

@@ -28,6 +28,8 @@ VARIANTS = {
     "no_ships": {"ships": []},
     # No battles: the as-of lookup and the latest battle are NULL.
     "no_battles": {"battles": []},
+    # No trips: route counts are 0 (one row), the calendar is all zeros.
+    "no_trips": {"trip": []},
 }
 
 
