@@ -74,7 +74,12 @@ def not_in(df: DataFrame, value: Column, sub: DataFrame, sub_col: str) -> DataFr
     # map-side partial distinct shrinks e.g. every ship's launch year to the
     # few distinct years before anything is shuffled.
     keys = sub.select(F.col(sub_col).alias("__nin")).distinct()
-    nonempty = keys.exists()
-    has_null = keys.filter(F.col("__nin").isNull()).exists()
+    # Both flags from one aggregate, evaluated once as a scalar subquery.
+    flags = keys.agg(
+        F.struct(
+            (F.count(F.lit(1)) > 0).alias("nonempty"),
+            (F.count_if(F.col("__nin").isNull()) > 0).alias("has_null"),
+        )
+    ).scalar()
     kept = df.join(keys.filter(F.col("__nin").isNotNull()), value == F.col("__nin"), "left_anti")
-    return kept.filter(~nonempty | (value.isNotNull() & ~has_null))
+    return kept.filter(~flags["nonempty"] | (value.isNotNull() & ~flags["has_null"]))
