@@ -163,3 +163,50 @@ def test_global_row_number_spreads_a_hot_ordering_value(spark):
         start += len(block)
     sizes = got.select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
     assert len(sizes) > 1
+
+
+@pytest.mark.parametrize("seed", [5, 6])
+def test_ledger_operators_match_full_join_sql(spark, seed):
+    from fathom.operators.ledger import merge_ledgers, one_sided_days
+
+    rng = random.Random(seed)
+    con = duckdb.connect()
+    inc_rows = [(rng.randint(1, 3), rng.randint(1, 8), _maybe(rng, list(range(1, 50)), 0.2)) for _ in range(40)]
+    out_rows = [(rng.randint(1, 3), rng.randint(1, 8), _maybe(rng, list(range(1, 50)), 0.2)) for _ in range(40)]
+    inc = _frame(spark, con, "i", inc_rows, "point int, d int, inc int")
+    out = _frame(spark, con, "o", out_rows, "point int, d int, out int")
+    got = merge_ledgers(inc, out, ["point", "d"], "inc", "out")
+    want = con.sql(
+        "SELECT point, d, CAST(sum(inc) AS BIGINT) AS inc, CAST(sum(out) AS BIGINT) AS out FROM "
+        "(SELECT point, d, inc, NULL AS out FROM i UNION ALL SELECT point, d, NULL, out FROM o) GROUP BY point, d"
+    )
+    problems, _, _ = compare_frames(got, want)
+    assert not problems, problems
+    got = one_sided_days(inc, out, ["point", "d"], "inc", "out")
+    want = con.sql(
+        "WITH a AS (SELECT point, d, 'inc' AS oper, CAST(sum(inc) AS BIGINT) AS msum FROM i GROUP BY 1, 2), "
+        "b AS (SELECT point, d, 'out' AS oper, CAST(sum(out) AS BIGINT) AS msum FROM o GROUP BY 1, 2) "
+        "SELECT point, d, coalesce(a.oper, b.oper) AS operation, coalesce(a.msum, b.msum) AS money_sum "
+        "FROM a FULL JOIN b USING (point, d) WHERE a.msum IS NULL OR b.msum IS NULL"
+    )
+    problems, _, _ = compare_frames(got, want)
+    assert not problems, problems
+
+
+@pytest.mark.parametrize("seed", [8, 9])
+def test_share_of_group_matches_window_sql(spark, seed):
+    from fathom.operators.shares import share_of_group
+
+    rng = random.Random(seed)
+    con = duckdb.connect()
+    rows = [(f"m{rng.randint(1, 6)}", f"x{i}", _maybe(rng, ["A", "B", "C"], 0.15)) for i in range(60)]
+    df = _frame(spark, con, "p", rows, "maker string, model string, type string")
+    got = share_of_group(df, "maker", "type", "model", "fin")
+    want = con.sql(
+        "WITH g AS (SELECT pt.maker, pt.type, p.model FROM (SELECT DISTINCT a.maker, b.type FROM p a, p b) pt "
+        "LEFT JOIN p ON pt.maker = p.maker AND pt.type = p.type) "
+        "SELECT DISTINCT maker, type, CAST(round(count(model) OVER (PARTITION BY maker, type) * 100.0 "
+        "/ count(model) OVER (PARTITION BY maker), 2) AS DECIMAL(5,2)) AS fin FROM g"
+    )
+    problems, _, _ = compare_frames(got, want)
+    assert not problems, problems
