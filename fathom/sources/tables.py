@@ -41,8 +41,13 @@ _CACHE: dict[tuple[int, str], DataFrame] = {}
 
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """Table ``name`` under ``root``: Parquet files, or with a root of the form
+    ``catalog:<database>`` the catalog table (e.g. the bucketed copies made
+    by ``fathom.sources.bucketed.write_bucketed``)."""
     if name not in TABLES:
         raise KeyError(f"unknown table {name!r}")
+    if root.startswith("catalog:"):
+        return spark.table(f"{root[len('catalog:'):]}.{name}")
     path = table_path(root, name)
     key = (id(spark), path)
     df = _CACHE.get(key)
