@@ -39,7 +39,8 @@ def write_bucketed(
     """Copy the base tables of ``root`` into ``database``; bucketed tables
     get ``buckets`` buckets sorted by their key.  ``location`` (shared
     storage) holds the files; otherwise the warehouse directory is used."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    where = f" LOCATION '{location}/_{database}.db'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{where}")
     written = []
     for name in tables:
         df = read_table(spark, root, name)
