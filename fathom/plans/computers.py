@@ -69,7 +69,7 @@ def e05_in_list(v):
 
 @query(
     "e06_join_distinct",
-    sql="SELECT DISTINCT a.maker, b.speed FROM product a JOIN laptop b ON a.model = b.model WHERE b.hd >= 10",
+    sql="SELECT DISTINCT p.maker, l.speed FROM laptop l JOIN product p ON p.model = l.model WHERE l.hd >= 10",
 )
 def e06_join_distinct(v):
     """Maker and speed of laptops with a disk of at least 10."""
@@ -80,11 +80,9 @@ def e06_join_distinct(v):
 @query(
     "e07_union_join",
     sql=f"""
-    SELECT b.model, b.price
-    FROM product p
-    JOIN (SELECT model, price FROM pc UNION SELECT model, price FROM laptop UNION SELECT model, price FROM printer) b
-      ON p.model = b.model
-    WHERE p.maker = '{MAKER}'""",
+    SELECT DISTINCT u.model, u.price
+    FROM (SELECT model, price FROM pc UNION ALL SELECT model, price FROM laptop UNION ALL SELECT model, price FROM printer) u
+    WHERE u.model IN (SELECT model FROM product WHERE maker = '{MAKER}')""",
 )
 def e07_union_join(v):
     """Model and price of every product of one maker.
@@ -116,7 +114,7 @@ def _fast_pc_makers(v, speed: int):
 
 @query(
     "e09_join_subquery",
-    sql="SELECT DISTINCT maker FROM product a JOIN (SELECT * FROM pc WHERE speed >= 800) b ON a.model = b.model",
+    sql="SELECT DISTINCT p.maker FROM product p JOIN pc c ON c.model = p.model WHERE c.speed >= 800",
 )
 def e09_join_subquery(v):
     """Makers of PCs with speed >= 800 (the threshold as written in the SQL)."""
@@ -125,14 +123,17 @@ def e09_join_subquery(v):
 
 @query(
     "e09_task",
-    sql="SELECT DISTINCT maker FROM product a JOIN (SELECT * FROM pc WHERE speed >= 900) b ON a.model = b.model",
+    sql="SELECT DISTINCT p.maker FROM product p JOIN pc c ON c.model = p.model WHERE c.speed >= 900",
 )
 def e09_task(v):
     """Makers of PCs with speed >= 900 (the threshold the task text asks for)."""
     return _fast_pc_makers(v, 900)
 
 
-@query("e10_in_max", sql="SELECT model, price FROM printer WHERE price IN (SELECT max(price) FROM printer)")
+@query(
+    "e10_in_max",
+    sql="SELECT model, price FROM printer WHERE price = (SELECT max(price) FROM printer)",
+)
 def e10_in_max(v):
     """Printers at the maximum price, ties kept."""
     return top_with_ties(v.printer.select("model", "price"), "price")
@@ -153,16 +154,18 @@ def e12_avg_filter(v):
 @query(
     "e13_avg_join",
     sql=f"""
-    SELECT avg(pc.speed) AS avg_speed
-    FROM pc JOIN product ON pc.model = product.model
-    WHERE product.maker = '{MAKER}'""",
+    SELECT avg(c.speed) AS avg_speed
+    FROM pc c WHERE c.model IN (SELECT model FROM product WHERE maker = '{MAKER}')""",
 )
 def e13_avg_join(v):
     """Mean PC speed of one maker (join, filter, global average)."""
     return v.pc.join(_models_of(v, MAKER), "model").agg(F.avg("speed").alias("avg_speed"))
 
 
-@query("e15_having", sql="SELECT hd FROM pc GROUP BY hd HAVING count(code) >= 2")
+@query(
+    "e15_having",
+    sql="SELECT hd FROM pc GROUP BY hd HAVING count(code) > 1",
+)
 def e15_having(v):
     """Disk sizes shared by at least two PCs."""
     return v.pc.groupBy("hd").agg(F.count("code").alias("n")).filter(F.col("n") >= 2).select("hd")
@@ -171,9 +174,8 @@ def e15_having(v):
 @query(
     "e16_self_pairs",
     sql="""
-    SELECT DISTINCT a.model AS model1, b.model AS model2, a.speed, a.ram
-    FROM pc a, pc b
-    WHERE a.speed = b.speed AND a.ram = b.ram AND a.model > b.model""",
+    SELECT DISTINCT x.model AS model1, y.model AS model2, x.speed, x.ram
+    FROM pc x JOIN pc y ON x.speed = y.speed AND x.ram = y.ram AND x.model > y.model""",
 )
 def e16_self_pairs(v):
     """Pairs of PC models with equal speed and RAM, each pair once.
@@ -197,9 +199,9 @@ def e16_self_pairs(v):
 @query(
     "e17_lt_all",
     sql="""
-    SELECT DISTINCT a.type, b.model, b.speed
-    FROM product a, laptop b
-    WHERE a.model = b.model AND b.speed < ALL (SELECT speed FROM pc)""",
+    SELECT DISTINCT p.type, l.model, l.speed
+    FROM laptop l JOIN product p ON p.model = l.model
+    WHERE l.speed < ALL (SELECT speed FROM pc)""",
 )
 def e17_lt_all(v):
     """Laptops slower than every PC (``< ALL``, empty and NULL aware)."""
@@ -210,10 +212,10 @@ def e17_lt_all(v):
 @query(
     "e18_eq_min",
     sql="""
-    SELECT DISTINCT maker, price
-    FROM product a, printer b
-    WHERE a.model = b.model AND b.color = 'y'
-      AND b.price = (SELECT min(price) FROM printer WHERE color = 'y')""",
+    WITH colour AS (SELECT model, price FROM printer WHERE color = 'y')
+    SELECT DISTINCT p.maker, c.price
+    FROM colour c JOIN product p ON p.model = c.model
+    WHERE c.price = (SELECT min(price) FROM colour)""",
 )
 def e18_eq_min(v):
     """Makers of the cheapest colour printers."""
@@ -224,7 +226,7 @@ def e18_eq_min(v):
 
 @query(
     "e19_avg_group",
-    sql="SELECT maker, avg(screen) AS avg_screen FROM product a, laptop b WHERE a.model = b.model GROUP BY maker",
+    sql="SELECT p.maker, avg(l.screen) AS avg_screen FROM laptop l JOIN product p ON p.model = l.model GROUP BY p.maker",
 )
 def e19_avg_group(v):
     """Mean laptop screen per maker."""
@@ -253,7 +255,7 @@ def e20_task(v):
 
 @query(
     "e21_max_group",
-    sql="SELECT maker, max(price) AS max_price FROM product a, pc b WHERE a.model = b.model GROUP BY maker",
+    sql="SELECT p.maker, max(c.price) AS max_price FROM pc c JOIN product p ON p.model = c.model GROUP BY p.maker",
 )
 def e21_max_group(v):
     """Highest PC price per maker."""
@@ -272,9 +274,9 @@ def e22_avg_by_speed(v):
 @query(
     "e23_intersect",
     sql=f"""
-    SELECT DISTINCT maker FROM product a, laptop b WHERE a.model = b.model AND b.speed >= {FAST}
+    SELECT p.maker FROM product p JOIN laptop l ON l.model = p.model WHERE l.speed >= {FAST}
     INTERSECT
-    SELECT DISTINCT maker FROM product a, pc b WHERE a.model = b.model AND b.speed >= {FAST}""",
+    SELECT p.maker FROM product p JOIN pc c ON c.model = p.model WHERE c.speed >= {FAST}""",
 )
 def e23_intersect(v):
     """Makers of both fast PCs and fast laptops.
@@ -300,8 +302,8 @@ def e23_intersect(v):
 @query(
     "e24_cte_union_max",
     sql="""
-    WITH all_models AS (SELECT price, model FROM pc UNION SELECT price, model FROM laptop UNION SELECT price, model FROM printer)
-    SELECT model FROM all_models WHERE price = (SELECT max(price) FROM all_models)""",
+    WITH priced AS (SELECT model, price FROM pc UNION SELECT model, price FROM laptop UNION SELECT model, price FROM printer)
+    SELECT model FROM priced WHERE price IS NOT NULL AND price >= ALL (SELECT price FROM priced WHERE price IS NOT NULL)""",
 )
 def e24_cte_union_max(v):
     """Models (of any type) at the highest price of the whole catalog.
@@ -318,12 +320,11 @@ def e24_cte_union_max(v):
 @query(
     "e25_nested_in",
     sql="""
-    SELECT DISTINCT maker FROM product
-    WHERE type = 'Printer' AND maker IN (
-      SELECT maker FROM product WHERE model IN (
-        SELECT model FROM pc
-        WHERE ram = (SELECT min(ram) FROM pc)
-          AND speed = (SELECT max(speed) FROM pc WHERE ram = (SELECT min(ram) FROM pc))))""",
+    WITH low AS (SELECT model, speed FROM pc WHERE ram = (SELECT min(ram) FROM pc)),
+         best AS (SELECT model FROM low WHERE speed = (SELECT max(speed) FROM low))
+    SELECT DISTINCT p.maker FROM product p
+    WHERE p.type = 'Printer'
+      AND EXISTS (SELECT 1 FROM product q JOIN best b ON b.model = q.model WHERE q.maker = p.maker)""",
 )
 def e25_nested_in(v):
     """Printer makers who make a fastest PC among the PCs with the least RAM."""
@@ -338,10 +339,10 @@ def e25_nested_in(v):
 @query(
     "e26_avg_union_all",
     sql=f"""
-    SELECT avg(CAST(price AS DOUBLE)) AS avg_price FROM (
-      SELECT maker, price FROM product a
-      JOIN (SELECT price, model FROM pc UNION ALL SELECT price, model FROM laptop) b ON a.model = b.model
-      WHERE maker = '{MAKER}') f""",
+    SELECT avg(CAST(u.price AS DOUBLE)) AS avg_price
+    FROM (SELECT model, price FROM pc UNION ALL SELECT model, price FROM laptop) u
+    JOIN product p ON p.model = u.model
+    WHERE p.maker = '{MAKER}'""",
 )
 def e26_avg_union_all(v):
     """Mean price over the PCs and laptops of one maker."""
@@ -352,10 +353,10 @@ def e26_avg_union_all(v):
 @query(
     "e27_avg_semi",
     sql="""
-    SELECT maker, avg(hd) AS avg_hd
-    FROM (SELECT maker, hd FROM product a JOIN (SELECT model, hd FROM pc) b ON a.model = b.model) c
-    WHERE maker IN (SELECT DISTINCT maker FROM product WHERE type = 'Printer')
-    GROUP BY maker""",
+    SELECT p.maker, avg(c.hd) AS avg_hd
+    FROM pc c JOIN product p ON p.model = c.model
+    WHERE EXISTS (SELECT 1 FROM product r WHERE r.maker = p.maker AND r.type = 'Printer')
+    GROUP BY p.maker""",
 )
 def e27_avg_semi(v):
     """Mean PC disk per maker that also makes printers."""
@@ -367,8 +368,8 @@ def e27_avg_semi(v):
 @query(
     "e28_count_groups",
     sql="""
-    SELECT count(maker) AS qty FROM (
-      SELECT maker, count(model) AS number FROM product GROUP BY maker HAVING count(model) = 1) a""",
+    SELECT count(s.maker) AS qty
+    FROM (SELECT maker FROM product GROUP BY maker HAVING count(model) = 1) s""",
 )
 def e28_count_groups(v):
     """Number of makers with exactly one model (an aggregate of an aggregate)."""
@@ -380,7 +381,7 @@ def e28_count_groups(v):
     "e35_char_class",
     sql="""
     SELECT model, type FROM product
-    WHERE NOT regexp_matches(model, '[^0-9]') OR NOT regexp_matches(model, '[^a-zA-Z]')""",
+    WHERE regexp_full_match(model, '[0-9]*') OR regexp_full_match(model, '[a-zA-Z]*')""",
 )
 def e35_char_class(v):
     """Models made only of digits or only of Latin letters."""
@@ -424,10 +425,10 @@ def e40_single_type(v):
 @query(
     "e41_null_poison_max",
     sql="""
-    WITH all_m AS (SELECT model, price FROM pc UNION ALL SELECT model, price FROM laptop UNION ALL SELECT model, price FROM printer)
-    SELECT maker, CASE WHEN max(CASE WHEN price IS NULL THEN 1 ELSE 0 END) = 0 THEN max(price) END AS max_price
-    FROM product JOIN all_m ON product.model = all_m.model
-    GROUP BY maker""",
+    WITH priced AS (SELECT model, price FROM pc UNION ALL SELECT model, price FROM laptop UNION ALL SELECT model, price FROM printer)
+    SELECT p.maker, CASE WHEN count(*) = count(x.price) THEN max(x.price) END AS max_price
+    FROM priced x JOIN product p ON p.model = x.model
+    GROUP BY p.maker""",
 )
 def e41_null_poison_max(v):
     """Highest price per maker, NULL when any of its prices is unknown."""
@@ -455,14 +456,14 @@ def e41_unpivot(v):
 @query(
     "e58_share",
     sql="""
-    WITH maker_models AS (
-      SELECT pt.maker, pt.type, p.model
-      FROM (SELECT DISTINCT a.maker, b.type FROM product a, product b) pt
-      LEFT JOIN product p ON pt.maker = p.maker AND pt.type = p.type)
-    SELECT DISTINCT maker, type,
-      CAST(round(count(model) OVER (PARTITION BY maker, type) * 100.0
-                 / count(model) OVER (PARTITION BY maker), 2) AS DECIMAL(5,2)) AS fin
-    FROM maker_models""",
+    WITH grid AS (SELECT m.maker, t.type FROM (SELECT DISTINCT maker FROM product) m CROSS JOIN (SELECT DISTINCT type FROM product) t),
+    per_type AS (SELECT maker, type, count(model) AS n FROM product WHERE type IS NOT NULL GROUP BY maker, type),
+    per_maker AS (SELECT maker, count(model) AS n FROM product WHERE type IS NOT NULL GROUP BY maker)
+    SELECT g.maker, g.type,
+           CAST(round(coalesce(c.n, 0) * 100.0 / NULLIF(t.n, 0), 2) AS DECIMAL(5,2)) AS fin
+    FROM grid g
+    LEFT JOIN per_maker t ON t.maker = g.maker
+    LEFT JOIN per_type c ON c.maker = g.maker AND c.type = g.type""",
 )
 def e58_share(v):
     """Percent of each product type in each maker's models, 0 included."""
@@ -472,14 +473,16 @@ def e58_share(v):
 @query(
     "e65_numbered",
     sql="""
-    SELECT row_number() OVER (ORDER BY maker, ord, type) AS numb,
-           CASE WHEN num = 1 THEN maker ELSE '' END AS maker,
-           type
-    FROM (
-      SELECT row_number() OVER (PARTITION BY maker ORDER BY ord, type) AS num, maker, type, ord
-      FROM (SELECT DISTINCT maker, type,
-                   CASE WHEN lower(type) = 'pc' THEN 1 WHEN lower(type) = 'laptop' THEN 2 ELSE 3 END AS ord
-            FROM product) a) b""",
+    WITH pairs AS (
+      SELECT DISTINCT maker, type,
+             CASE lower(type) WHEN 'pc' THEN 1 WHEN 'laptop' THEN 2 ELSE 3 END AS rank_type
+      FROM product),
+    ranked AS (
+      SELECT maker, type,
+             row_number() OVER (PARTITION BY maker ORDER BY rank_type, type) AS rn_maker,
+             row_number() OVER (ORDER BY maker, rank_type, type) AS rn_all
+      FROM pairs)
+    SELECT rn_all AS numb, CASE WHEN rn_maker = 1 THEN maker ELSE '' END AS maker, type FROM ranked""",
 )
 def e65_numbered(v):
     """Number the distinct (maker, type) pairs by maker, then PC, Laptop,

@@ -11,7 +11,7 @@ SF = "/root/testdata/sf0.001"
 # Oracle texts that are also valid Spark SQL (no engine-specific functions).
 PORTABLE = [
     "e01_filter", "e06_join_distinct", "e08_except", "e10_in_max", "e14_join_filter", "e15_having",
-    "e16_self_pairs", "e20_count_having", "e23_intersect", "e24_cte_union_max", "e25_nested_in",
+    "e16_self_pairs", "e20_count_having", "e23_intersect", "e25_nested_in",
     "e29_ledger_min", "e36_union_in", "e37_union_having", "e39_later_battle", "e40_single_type",
     "e41_null_poison_max", "e46_either_key_left", "e47_all_lost", "e48_class_sunk", "e51_group_max",
     "e52_maybe", "e55_min_launch", "e56_count_sunk", "e57_sunk_of_three", "e59_balance", "e60_balance_before",
