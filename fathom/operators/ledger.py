@@ -37,7 +37,9 @@ def one_sided_days(inc: DataFrame, out: DataFrame, keys: list[str], inc_col: str
     keeping rows where either sum IS NULL -- including the corner case of a
     side that has rows but only NULL amounts (its sum is NULL, yet its
     operation label is still the one reported).  Done as one union and one
-    aggregate: a single shuffle instead of two aggregates and a join.
+    aggregate: a single shuffle instead of two aggregates and a join.  The
+    keys are the ledger's primary key (never NULL), where grouping and the
+    join's key equality agree.
     Returns (keys, operation, money_sum).
     """
     both = inc.select(*keys, F.col(inc_col).alias("__amt"), F.lit(True).alias("__is_inc")).unionByName(

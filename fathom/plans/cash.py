@@ -42,11 +42,8 @@ def _daily_full(v, before: dt.date | None):
 @query(
     "e29_ledger_min",
     sql="""
-    SELECT point, date, min(inc) AS inc, min(out) AS out
-    FROM (SELECT point, date, inc, NULL AS out FROM income_o
-          UNION ALL
-          SELECT point, date, NULL AS inc, out FROM outcome_o) a
-    GROUP BY point, date""",
+    SELECT coalesce(i.point, o.point) AS point, coalesce(i.date, o.date) AS date, i.inc, o.out
+    FROM income_o i FULL JOIN outcome_o o ON o.point = i.point AND o.date = i.date""",
 )
 def e29_ledger_min(v):
     """Daily ledgers merged into (point, date, inc, out) by a padded union."""
@@ -56,11 +53,11 @@ def e29_ledger_min(v):
 @query(
     "e30_ledger_sum",
     sql="""
-    SELECT point, date, CAST(sum(out) AS DECIMAL(38,2)) AS out, CAST(sum(inc) AS DECIMAL(38,2)) AS inc
-    FROM (SELECT point, date, inc, NULL AS out FROM income
-          UNION ALL
-          SELECT point, date, NULL AS inc, out FROM outcome) a
-    GROUP BY point, date""",
+    WITH day_in AS (SELECT point, date, sum(inc) AS total FROM income GROUP BY point, date),
+         day_out AS (SELECT point, date, sum(out) AS total FROM outcome GROUP BY point, date)
+    SELECT coalesce(i.point, o.point) AS point, coalesce(i.date, o.date) AS date,
+           CAST(o.total AS DECIMAL(38,2)) AS out, CAST(i.total AS DECIMAL(38,2)) AS inc
+    FROM day_in i FULL JOIN day_out o ON o.point = i.point AND o.date = i.date""",
 )
 def e30_ledger_sum(v):
     """Per point and day: total outgo and total income, NULL when absent."""
@@ -79,10 +76,10 @@ def _balance(v, key_expr):
 @query(
     "e59_balance",
     sql="""
-    WITH i AS (SELECT point, sum(inc) AS inc FROM income_o GROUP BY point),
-         o AS (SELECT point, sum(out) AS out FROM outcome_o GROUP BY point)
-    SELECT i.point, CAST(coalesce(i.inc, 0) - coalesce(o.out, 0) AS DECIMAL(38,2)) AS balans
-    FROM i FULL JOIN o ON i.point = o.point""",
+    WITH got AS (SELECT point, sum(inc) AS total FROM income_o GROUP BY point),
+         paid AS (SELECT point, sum(out) AS total FROM outcome_o GROUP BY point)
+    SELECT g.point, CAST(coalesce(g.total, 0) - coalesce(p.total, 0) AS DECIMAL(38,2)) AS balans
+    FROM got g FULL JOIN paid p ON p.point = g.point""",
 )
 def e59_balance(v):
     """Balance per point; as written, the point comes from the income side
@@ -93,10 +90,10 @@ def e59_balance(v):
 @query(
     "e59_task",
     sql="""
-    WITH i AS (SELECT point, sum(inc) AS inc FROM income_o GROUP BY point),
-         o AS (SELECT point, sum(out) AS out FROM outcome_o GROUP BY point)
-    SELECT coalesce(i.point, o.point) AS point, CAST(coalesce(i.inc, 0) - coalesce(o.out, 0) AS DECIMAL(38,2)) AS balans
-    FROM i FULL JOIN o ON i.point = o.point""",
+    WITH got AS (SELECT point, sum(inc) AS total FROM income_o GROUP BY point),
+         paid AS (SELECT point, sum(out) AS total FROM outcome_o GROUP BY point)
+    SELECT coalesce(g.point, p.point) AS point, CAST(coalesce(g.total, 0) - coalesce(p.total, 0) AS DECIMAL(38,2)) AS balans
+    FROM got g FULL JOIN paid p ON p.point = g.point""",
 )
 def e59_task(v):
     """Balance per point with the point taken from whichever side has it."""
@@ -107,7 +104,9 @@ def e59_task(v):
     "e60_balance_before",
     sql=f"""
     SELECT point, CAST(coalesce(sum(inc), 0) - coalesce(sum(out), 0) AS DECIMAL(38,2)) AS remain
-    FROM income_o FULL JOIN outcome_o USING (point, date)
+    FROM (SELECT point, date, inc, NULL AS out FROM income_o
+          UNION ALL
+          SELECT point, date, NULL, out FROM outcome_o) moves
     WHERE date < {CUTOFF_SQL}
     GROUP BY point""",
 )
@@ -119,8 +118,8 @@ def e60_balance_before(v):
 @query(
     "e61_total_balance",
     sql="""
-    SELECT CAST(coalesce(sum(inc), 0) - coalesce(sum(out), 0) AS DECIMAL(38,2)) AS remain
-    FROM income_o FULL JOIN outcome_o USING (point, date)""",
+    SELECT CAST(coalesce((SELECT sum(inc) FROM income_o), 0) - coalesce((SELECT sum(out) FROM outcome_o), 0)
+                AS DECIMAL(38,2)) AS remain""",
 )
 def e61_total_balance(v):
     """One balance over all points."""
@@ -130,9 +129,8 @@ def e61_total_balance(v):
 @query(
     "e62_total_before",
     sql=f"""
-    SELECT CAST(coalesce(sum(inc), 0) - coalesce(sum(out), 0) AS DECIMAL(38,2)) AS remain
-    FROM income_o FULL JOIN outcome_o USING (point, date)
-    WHERE date < {CUTOFF_SQL}""",
+    SELECT CAST(coalesce((SELECT sum(inc) FROM income_o WHERE date < {CUTOFF_SQL}), 0)
+                - coalesce((SELECT sum(out) FROM outcome_o WHERE date < {CUTOFF_SQL}), 0) AS DECIMAL(38,2)) AS remain""",
 )
 def e62_total_before(v):
     """One balance over all points at the start of a day."""
@@ -142,11 +140,13 @@ def e62_total_before(v):
 @query(
     "e64_one_sided_days",
     sql="""
-    WITH i AS (SELECT point, date, 'inc' AS oper, sum(inc) AS msum FROM income GROUP BY point, date),
-         o AS (SELECT point, date, 'out' AS oper, sum(out) AS msum FROM outcome GROUP BY point, date)
-    SELECT point, date, coalesce(i.oper, o.oper) AS operation, CAST(coalesce(i.msum, o.msum) AS DECIMAL(38,2)) AS money_sum
-    FROM i FULL JOIN o USING (point, date)
-    WHERE i.msum IS NULL OR o.msum IS NULL""",
+    WITH day_in AS (SELECT point, date, true AS present, sum(inc) AS total FROM income GROUP BY point, date),
+         day_out AS (SELECT point, date, sum(out) AS total FROM outcome GROUP BY point, date)
+    SELECT coalesce(i.point, o.point) AS point, coalesce(i.date, o.date) AS date,
+           CASE WHEN i.present THEN 'inc' ELSE 'out' END AS operation,
+           CAST(coalesce(i.total, o.total) AS DECIMAL(38,2)) AS money_sum
+    FROM day_in i FULL JOIN day_out o ON o.point = i.point AND o.date = i.date
+    WHERE i.total IS NULL OR o.total IS NULL""",
 )
 def e64_one_sided_days(v):
     """Days on which a point had income but no outgo, or the reverse."""
@@ -158,10 +158,11 @@ def e64_one_sided_days(v):
     "e69_running_balance",
     sql="""
     SELECT DISTINCT point, strftime(date, '%d/%m/%Y') AS day,
-           CAST(sum(rev) OVER (PARTITION BY point ORDER BY date RANGE UNBOUNDED PRECEDING) AS DECIMAL(38,2)) AS rem
-    FROM (SELECT point, date, inc AS rev FROM income
+           CAST(sum(amount) OVER (PARTITION BY point ORDER BY date RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+                AS DECIMAL(38,2)) AS rem
+    FROM (SELECT point, date, inc AS amount FROM income
           UNION ALL
-          SELECT point, date, -out AS rev FROM outcome) op
+          SELECT point, date, -out FROM outcome) moves
     ORDER BY point, day""",
 )
 def e69_running_balance(v):
