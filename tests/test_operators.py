@@ -210,3 +210,29 @@ def test_share_of_group_matches_window_sql(spark, seed):
     )
     problems, _, _ = compare_frames(got, want)
     assert not problems, problems
+
+
+def test_either_key_join_three_keys_property(spark):
+    """Property: for random left rows with three candidate keys (NULLs,
+    repeats, equal keys) and a right side with duplicate keys, the rewrite
+    equals the OR join, for inner and left joins."""
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    key = st.one_of(st.none(), st.sampled_from(["a", "b", "c", "d"]))
+    left_rows = st.lists(st.tuples(st.integers(0, 5), key, key, key), min_size=0, max_size=12)
+    right_rows = st.lists(st.tuples(st.sampled_from(["a", "b", "c", "e"]), st.integers(0, 3)), min_size=0, max_size=6)
+
+    @settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(left_rows, right_rows, st.sampled_from(["inner", "left"]))
+    def check(lrows, rrows, how):
+        con = duckdb.connect()
+        left = _frame(spark, con, "l", lrows, "id int, a string, b string, c string")
+        right = _frame(spark, con, "r", rrows, "k string, v int")
+        got = either_key_join(left, right, ["a", "b", "c"], "k", how).select("id", "a", "b", "c", "k", "v")
+        join = "JOIN" if how == "inner" else "LEFT JOIN"
+        want = con.sql(f"SELECT l.id, l.a, l.b, l.c, r.k, r.v FROM l {join} r ON r.k = l.a OR r.k = l.b OR r.k = l.c")
+        problems, _, _ = compare_frames(got, want)
+        assert not problems, problems
+
+    check()
