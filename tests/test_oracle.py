@@ -29,5 +29,5 @@ def test_query_matches_oracle(spark, duck, key):
 
 def test_entry_smoke(spark):
     df = entry.entry(spark)
-    assert df.columns == ["avg_speed"]
-    assert df.count() == 1
+    assert df.columns == ["point", "day", "rem"]
+    assert df.count() > 0
