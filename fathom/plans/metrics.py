@@ -149,7 +149,9 @@ def m_alerts(v):
     e = v.table("events")
     slot = F.date_trunc("hour", F.col("ts")).cast("timestamp_ntz")
     hourly = e.groupBy("event_type", slot.alias("slot")).agg(F.count(F.lit(1)).alias("n"))
-    hour_no = F.floor(F.unix_seconds(F.col("slot").cast("timestamp")) / 3600)
+    # Hours since 1970-01-01 computed from the wall-clock fields of the
+    # (time-zone free) timestamp, so no session time zone or DST enters.
+    hour_no = F.datediff(F.to_date("slot"), F.lit("1970-01-01").cast("date")).cast("long") * 24 + F.hour("slot")
     w = Window.partitionBy("event_type").orderBy(hour_no).rangeBetween(-ALERT_HISTORY, -1)
     stats = hourly.select(
         "event_type",

@@ -40,12 +40,13 @@ def table_stream(spark: SparkSession, root: str, name: str, max_files_per_trigge
 
 def cash_moves(spark: SparkSession, root: str) -> DataFrame:
     """Streaming (point, ts, inc, out): income rows with NULL outgo and the
-    reverse, as in the padded union of the batch ledgers."""
+    reverse, as in the padded union of the batch ledgers; ``ts`` is the start
+    of the day of the move."""
     orders = table_stream(spark, root, "orders").filter(F.col("o_orderstatus") == "F")
     customers = read_table(spark, root, "customer").filter(F.col("c_nationkey") != 3)
     income = orders.join(customers, orders.o_custkey == customers.c_custkey).select(
         F.col("c_nationkey").alias("point"),
-        F.col("o_orderdate").cast("timestamp").alias("ts"),
+        F.to_date("o_orderdate").cast("timestamp").alias("ts"),
         F.col("o_totalprice").cast(MONEY).alias("inc"),
         F.lit(None).cast(MONEY).alias("out"),
     )
@@ -53,7 +54,7 @@ def cash_moves(spark: SparkSession, root: str) -> DataFrame:
     suppliers = read_table(spark, root, "supplier").filter(F.col("s_nationkey") != 7)
     outgo = items.join(suppliers, items.l_suppkey == suppliers.s_suppkey).select(
         F.col("s_nationkey").alias("point"),
-        F.col("l_shipdate").cast("timestamp").alias("ts"),
+        F.to_date("l_shipdate").cast("timestamp").alias("ts"),
         F.lit(None).cast(MONEY).alias("inc"),
         F.col("l_extendedprice").cast(MONEY).alias("out"),
     )
@@ -66,11 +67,14 @@ def daily_ledger(moves: DataFrame, late: str = "2 days") -> DataFrame:
     Rows later than ``late`` behind the newest event are dropped by the
     watermark; a day is emitted once the watermark has passed its end.
     """
-    days = moves.withWatermark("ts", late).groupBy("point", F.window("ts", "1 day").alias("day"))
+    # ``ts`` is the start of the move's day (local midnight of the session
+    # time zone), so grouping by the event-time column itself groups by day
+    # in any time zone -- no epoch-aligned window involved.
+    days = moves.withWatermark("ts", late).groupBy("point", "ts")
     totals = days.agg(F.sum("out").alias("out"), F.sum("inc").alias("inc"))
     return totals.select(
         "point",
-        F.col("day.start").cast("date").alias("date"),
+        F.to_date("ts").alias("date"),
         F.col("out").cast("decimal(38,2)").alias("out"),
         F.col("inc").cast("decimal(38,2)").alias("inc"),
     )

@@ -31,3 +31,18 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.columns == ["point", "day", "rem"]
     assert df.count() > 0
+
+
+@pytest.mark.parametrize(
+    "key", ["e39_later_battle", "e43_not_in", "e60_balance_before", "e66_calendar", "e69_running_balance", "e75_asof_forward", "m_alerts", "m_daily_report"]
+)
+def test_dates_do_not_depend_on_session_time_zone(spark, duck, key):
+    """Date and hour logic works on time-zone-free timestamps: the answers
+    are the same in a session zone with an offset and daylight saving."""
+    saved = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        problems, _, _, _ = compare(spark, duck, SF, key, entry.queries()[key], ORACLE[key])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", saved)
+    assert not problems, problems
