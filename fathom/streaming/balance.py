@@ -111,13 +111,19 @@ def start_running_balance(
         # committed, so the state to continue from is always N-1's.  A retried
         # batch rereads N-1 and overwrites its own files: idempotent.
         prev = f"{state_root}/batch={batch_id - 1}" if batch_id > 0 else None
-        emitted, still_open, balances, meta = advance(batch.sparkSession, batch, prev, late_days)
-        here = f"{state_root}/batch={batch_id}"
-        still_open.write.mode("overwrite").parquet(f"{here}/open")
-        balances.write.mode("overwrite").parquet(f"{here}/balance")
-        meta.write.mode("overwrite").parquet(f"{here}/meta")
-        if emitted is not None:
-            emitted.write.mode("overwrite").parquet(f"{sink}/days/batch={batch_id}")
+        # Several actions read this batch (newest day, four writes): keep it
+        # for the duration of the step instead of re-reading the source.
+        batch.persist()
+        try:
+            emitted, still_open, balances, meta = advance(batch.sparkSession, batch, prev, late_days)
+            here = f"{state_root}/batch={batch_id}"
+            still_open.write.mode("overwrite").parquet(f"{here}/open")
+            balances.write.mode("overwrite").parquet(f"{here}/balance")
+            meta.write.mode("overwrite").parquet(f"{here}/meta")
+            if emitted is not None:
+                emitted.write.mode("overwrite").parquet(f"{sink}/days/batch={batch_id}")
+        finally:
+            batch.unpersist()
 
     writer = moves.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)

@@ -79,3 +79,25 @@ def test_bounded_dimensions_broadcast_without_size_estimates(spark, no_auto_broa
     for keys in smj_keys:
         for low in ("class", "__either_key", "displacement", "launched"):
             assert not re.match(rf"{low}#", keys.strip()), (key, keys)
+
+
+def _subtree(lines, at):
+    depth = len(lines[at]) - len(lines[at].lstrip(" :+-"))
+    out = []
+    for line in lines[at + 1 :]:
+        if len(line) - len(line.lstrip(" :+-")) <= depth:
+            break
+        out.append(line)
+    return out
+
+
+def test_global_numbering_has_no_single_partition_window_over_rows(spark):
+    """E65's numbering: any window without partition keys runs over the
+    per-bucket counts (one row per bucket), never over the numbered rows."""
+    plan = executed(spark, "e65_numbered")
+    lines = plan.splitlines()
+    windows = [i for i, line in enumerate(lines) if "Window [" in line]
+    assert windows, plan
+    for i in windows:
+        below = "\n".join(_subtree(lines, i))
+        assert "__cnt" in below or "count(" in below, lines[i]
