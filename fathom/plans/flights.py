@@ -55,11 +55,13 @@ def _fill_week(v, counts):
 def e66_calendar(v):
     """Flights with passengers leaving a town on each day of a week, 0 filled.
 
-    The week's trips are few; joined to the passenger list (where AQE
-    broadcasts them once their size is known) they only filter, so the large
-    table is scanned but not shuffled.
+    Only *whether* a trip has passengers matters, so the passenger list is
+    reduced to its distinct trip numbers first -- combined map-side, where
+    the several passenger rows of a trip usually sit together -- and the
+    week's trips are semi-joined to that set on the same partitioning.
     """
-    flown = v.pass_in_trip.select("trip_no").join(_week_trips(v), "trip_no")
+    with_passengers = v.pass_in_trip.select("trip_no").distinct()
+    flown = _week_trips(v).join(with_passengers, "trip_no", "left_semi")
     counts = flown.groupBy("date").agg(F.count_distinct("trip_no").alias("cnt"))
     return _fill_week(v, counts)
 
