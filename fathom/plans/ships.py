@@ -252,8 +252,12 @@ def e47_all_lost(v):
     sql=f"SELECT DISTINCT c.class {OUTCOME_CLASS_SQL} WHERE o.result = 'sunk'",
 )
 def e48_class_sunk(v):
-    """Classes with at least one sunk ship."""
-    sunk = outcome_classes(v, v.outcomes.filter(F.col("result") == "sunk").select("ship"))
+    """Classes with at least one sunk ship.
+
+    Only the set of classes is asked for, so sunk ships are made distinct
+    (map-side) before they are joined to ships and classes.
+    """
+    sunk = outcome_classes(v, v.outcomes.filter(F.col("result") == "sunk").select("ship").distinct())
     return sunk.select(F.col("c_class").alias("class")).distinct()
 
 
