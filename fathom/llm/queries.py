@@ -20,7 +20,50 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex16(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 40 shards of even counts (law ``rows``), copies kept together."""
+    from fathom.llm import sharding
+
+    put = sharding.assign(_table(spark, sf_dir, "documents"), shards=40)
+    return put.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of 20 code points or more in 3 documents or more stay in the largest doc_id only."""
+    from fathom.llm import line_dedup
+
+    done = line_dedup.dedup_lines(_table(spark, sf_dir, "documents"), min_chars=20, min_docs=3)
+    return done.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op5_simhash,)
+    f.__name__: f for f in (op4_sharding, op5_simhash, op9_line_dedup)
+}
+ORACLES: dict[str, str] = {
+    "op9_line_dedup": r"""
+WITH lines AS (
+  SELECT doc_id, row_number() OVER () AS r, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents
+), pieces AS (
+  SELECT doc_id, r, unnest(ls) AS line, unnest(range(len(ls))) AS pos FROM lines
+), keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM pieces
+), common AS (
+  SELECT key, max(doc_id) AS keeper FROM keyed WHERE length(key) >= 20
+  GROUP BY key HAVING count(DISTINCT doc_id) >= 3
+), marked AS (
+  SELECT k.*, c.key IS NOT NULL AND k.doc_id < c.keeper AS gone FROM keyed k LEFT JOIN common c ON k.key = c.key
+)
+SELECT doc_id, count(*) AS n_lines, sum(gone::INT)::BIGINT AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id, r
+""",
 }
-ORACLES: dict[str, str] = {}
