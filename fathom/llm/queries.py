@@ -20,6 +20,23 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex16(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of one power-of-two piece each, at most 1024 tokens."""
+    from fathom.llm import packing
+
+    packed = packing.pieces(_table(spark, sf_dir, "documents"), max_length=1024, end_id=0)
+    return packed.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every whole text under the 32k sentence-piece vocabulary."""
+    from fathom.llm import token_counts
+
+    return token_counts.count_tokens(_table(spark, sf_dir, "documents"), limit=4096)
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 40 shards of even counts (law ``rows``), copies kept together."""
     from fathom.llm import sharding
@@ -45,7 +62,7 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_sharding, op5_simhash, op9_line_dedup)
+    f.__name__: f for f in (op2_packing, op3_token_counts, op4_sharding, op5_simhash, op9_line_dedup)
 }
 ORACLES: dict[str, str] = {
     "op9_line_dedup": r"""
