@@ -53,6 +53,13 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every whole text by a bidirectional recurrent network over its bytes."""
+    from fathom.llm import language
+
+    return language.identify(_table(spark, sf_dir, "documents"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of 20 code points or more in 3 documents or more stay in the largest doc_id only."""
     from fathom.llm import line_dedup
@@ -62,7 +69,7 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_packing, op3_token_counts, op4_sharding, op5_simhash, op9_line_dedup)
+    f.__name__: f for f in (op2_packing, op3_token_counts, op4_sharding, op5_simhash, op8_language, op9_line_dedup)
 }
 ORACLES: dict[str, str] = {
     "op9_line_dedup": r"""
