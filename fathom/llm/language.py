@@ -220,12 +220,13 @@ def predict(docs: DataFrame, net: ByteGru | None) -> DataFrame:
     a slice of a batch are read once.  ``und`` with score 0 where the text is
     null or has no letter, and everywhere if nothing was learned.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(net)
+    sent = docs.sparkSession.sparkContext.broadcast(net and (net.languages, net.hidden, net.weights))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = sent.value and ByteGru(*sent.value)
         for whole in batches:
             for batch in by_bytes(whole, 1):
-                names, scores = label(batch.column(1), sent.value)
+                names, scores = label(batch.column(1), known)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64())],
                     ["doc_id", "lang_pred", "score"],

@@ -53,6 +53,16 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text encoded by byte-level BPE ranks and decoded again."""
+    from fathom.llm import bpe
+
+    done = bpe.encode(_table(spark, sf_dir, "documents"))
+    return done.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every whole text by a bidirectional recurrent network over its bytes."""
     from fathom.llm import language
@@ -69,7 +79,7 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_packing, op3_token_counts, op4_sharding, op5_simhash, op8_language, op9_line_dedup)
+    f.__name__: f for f in (op2_packing, op3_token_counts, op4_sharding, op5_simhash, op6_byte_bpe, op8_language, op9_line_dedup)
 }
 ORACLES: dict[str, str] = {
     "op9_line_dedup": r"""
