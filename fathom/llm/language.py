@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from fathom.llm.chunks import by_bytes
 from fathom.llm.common import id_crc32, pick
@@ -211,8 +212,8 @@ def training_rows(docs: DataFrame, how: Training) -> list[tuple[str, str]]:
     return sorted((r.lang, r.text) for r in few.select("lang", "text").collect())
 
 
-def predict(docs: DataFrame, net: ByteGru | None) -> DataFrame:
-    """(doc_id, lang_pred, score) of every document, from its whole text alone.
+def predict(docs: DataFrame, net: ByteGru | None, text: str = "text") -> DataFrame:
+    """``docs`` with lang_pred and score, from the whole text alone.
 
     A text is its runs of letters in lower case, each read byte by byte from
     both ends; each byte is labelled, and the text's probabilities are the
@@ -221,18 +222,20 @@ def predict(docs: DataFrame, net: ByteGru | None) -> DataFrame:
     null or has no letter, and everywhere if nothing was learned.
     """
     sent = docs.sparkSession.sparkContext.broadcast(net and (net.languages, net.hidden, net.weights))
+    at = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = sent.value and ByteGru(*sent.value)
         for whole in batches:
-            for batch in by_bytes(whole, 1):
-                names, scores = label(batch.column(1), known)
+            for batch in by_bytes(whole, at):
+                names, scores = label(batch.column(at), known)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64())],
-                    ["doc_id", "lang_pred", "score"],
+                    [*batch.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())],
+                    [*batch.schema.names, "lang_pred", "score"],
                 )
 
-    return pick(docs, doc_id="long", text="string").mapInArrow(run, "doc_id long, lang_pred string, score double")
+    schema = StructType([*docs.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
+    return docs.mapInArrow(run, schema)
 
 
 def label(texts: pa.Array, net: ByteGru | None) -> tuple[list[str], np.ndarray]:
@@ -270,5 +273,12 @@ def identify(docs: DataFrame, how: Training = Training()) -> DataFrame:
     rows; an empty table gives no rows; further columns are ignored.
     """
     rows = training_rows(docs, how)
-    found = predict(docs, train(rows, how) if rows else None)
+    found = predict(pick(docs, doc_id="long", text="string"), train(rows, how) if rows else None)
     return found.select("doc_id", (id_crc32(F.col("doc_id")) % 5 == 0).alias("held_out"), "lang_pred", "score")
+
+
+def without_unknown(docs: DataFrame, how: Training = Training()) -> DataFrame:
+    """The documents in whose text a language was found; columns as given (doc_id, text, lang and others)."""
+    rows = training_rows(docs, how)
+    found = predict(docs, train(rows, how) if rows else None)
+    return found.filter(F.col("lang_pred") != UNKNOWN).select(*docs.columns)

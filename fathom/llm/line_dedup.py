@@ -109,17 +109,32 @@ def dedup_lines(
     than all others.  Repeated rows give repeated rows.  An empty table gives
     no rows; further columns are ignored.
     """
-    rows = pick(docs, doc_id="long", text="string").select(
-        "doc_id", F.coalesce("text", F.lit("")).alias("text")
+    done = _rewritten(pick(docs, doc_id="long", text="string"), min_chars, min_docs, batches)
+    return done.select("doc_id", "n_lines", "n_dropped", F.col("text").alias("kept"))
+
+
+def rewrite(
+    docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, batches: int = BATCHES
+) -> DataFrame:
+    """``docs`` (doc_id, text and others) with the lines dropped from the text; null texts become empty."""
+    return _rewritten(docs, min_chars, min_docs, batches).select(*docs.columns)
+
+
+def _rewritten(docs: DataFrame, min_chars: int, min_docs: int, batches: int) -> DataFrame:
+    own = docs.withColumns({
+        "text": F.coalesce("text", F.lit("")),
+        "_id": F.coalesce("doc_id", _NO_ID),
+        "_row": F.xxhash64(F.coalesce("text", F.lit(""))),
+    })
+    thin = own.select(F.col("_id").alias("doc_id"), F.col("_row").alias("row"), "text")
+    lost = dropped_lines(thin, min_chars, min_docs, batches).select(
+        F.col("doc_id").alias("_id"), F.col("row").alias("_row"), "drop"
     )
-    own = rows.select(F.coalesce("doc_id", _NO_ID).alias("doc_id"), F.xxhash64("text").alias("row"), "text")
-    lost = dropped_lines(own, min_chars, min_docs, batches)
     lines = F.split("text", "\n")
     stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("drop"))
     kept = F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n")
-    return own.join(lost, ["doc_id", "row"], "left").select(
-        F.when(F.col("doc_id") != _NO_ID, F.col("doc_id")).alias("doc_id"),
-        F.size(lines).cast("long").alias("n_lines"),
-        F.coalesce(F.size("drop"), F.lit(0)).cast("long").alias("n_dropped"),
-        F.when(F.col("drop").isNull(), F.col("text")).otherwise(kept).alias("kept"),
-    )
+    return own.join(lost, ["_id", "_row"], "left").withColumns({
+        "n_lines": F.size(lines).cast("long"),
+        "n_dropped": F.coalesce(F.size("drop"), F.lit(0)).cast("long"),
+        "text": F.when(F.col("drop").isNull(), F.col("text")).otherwise(kept),
+    })

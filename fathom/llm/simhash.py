@@ -133,7 +133,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 2) -> Dat
 
 
 def keep_one(docs: DataFrame, shingle: int = 3, distance: int = 2) -> DataFrame:
-    """The documents without all but the smallest doc_id of each component; columns as given."""
+    """The documents without all but the smallest doc_id of each component; columns as given.
+
+    A document is its doc_id: repeated rows of the kept id stay, as do rows without an id.
+    """
     found = near_duplicates(docs, shingle, distance)
     gone = found.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("gone")).distinct()
     return docs.join(gone, docs["doc_id"] == F.col("gone"), "left_anti")
