@@ -78,8 +78,15 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of equal labels at cosine 0.93 or more, found by lattice cells, and their components."""
+    from fathom.llm import embedding_dedup
+
+    return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"), cosine=0.93)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_packing, op3_token_counts, op4_sharding, op5_simhash, op6_byte_bpe, op8_language, op9_line_dedup)
+    f.__name__: f for f in (op2_packing, op3_token_counts, op4_sharding, op5_simhash, op6_byte_bpe, op8_language, op9_line_dedup, op10_embedding_dedup)
 }
 ORACLES: dict[str, str] = {
     "op9_line_dedup": r"""
