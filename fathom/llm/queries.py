@@ -63,6 +63,13 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 highest integer inner products of every 50th vector with all others."""
+    from fathom.llm import topk
+
+    return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256)
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every whole text by a bidirectional recurrent network over its bytes."""
     from fathom.llm import language
@@ -86,9 +93,22 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_packing, op3_token_counts, op4_sharding, op5_simhash, op6_byte_bpe, op8_language, op9_line_dedup, op10_embedding_dedup)
+    f.__name__: f for f in (op2_packing, op3_token_counts, op4_sharding, op5_simhash, op6_byte_bpe, op7_top_k, op8_language, op9_line_dedup, op10_embedding_dedup)
 }
 ORACLES: dict[str, str] = {
+    "op7_top_k": """
+WITH able AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, d.vec_id,
+         list_sum(list_transform(list_zip(q.v, d.v), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM able q JOIN able d ON q.vec_id % 50 = 0 AND q.vec_id <> d.vec_id
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+""",
     "op9_line_dedup": r"""
 WITH lines AS (
   SELECT doc_id, row_number() OVER () AS r, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents
