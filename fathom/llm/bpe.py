@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -16,9 +17,9 @@ from fathom.llm.chunks import BYTE_LEVEL, by_bytes, default_path, distinct_chunk
 from fathom.llm.common import pick
 
 #: Words that a task remembers before it starts anew, and bytes of text handled at once.
-REMEMBERED, SLICE = 1_000_000, 6 << 20
-#: A merge is stored as (rank - BIAS) << 16 | first id, so ids must be below 2^16.
-BIAS = 1 << 15
+REMEMBERED, SLICE = 500_000, 6 << 20
+#: A merge is stored as first id << 16 | rank, so ids must be below 2^16; NO_MERGE is above all merges.
+IDS, NO_MERGE = 1 << 16, 1 << 40
 
 
 @lru_cache(maxsize=4)
@@ -36,7 +37,7 @@ def rank_map(path: str) -> tuple[str, str]:
     the id of the token with their joined bytes.
     """
     ranks = read_ranks(path)
-    if max(ranks.values()) >= 2 * BIAS:
+    if max(ranks.values()) >= IDS:
         raise ValueError("ids of 65536 and above don't fit the rank map")
     rows: dict[int, list[tuple[int, int]]] = {}
     for token, rank in ranks.items():
@@ -44,8 +45,8 @@ def rank_map(path: str) -> tuple[str, str]:
             a, b = ranks.get(token[:i]), ranks.get(token[i:])
             if a is not None and b is not None:
                 rows.setdefault(a, []).append((b, rank))
-    size = 2 * BIAS + 8 * sum(map(len, rows.values()))
-    used, slots = np.zeros(size, bool), np.full(size, -1, np.int64)
+    size = IDS + 8 * sum(map(len, rows.values()))
+    used, slots = np.zeros(size, bool), np.full(size, NO_MERGE, np.int64)
     bases = np.zeros(max(ranks.values()) + 1, np.int64)
     at = 0
     for a in sorted((a for a in rows if len(rows[a]) > 1), key=lambda a: (-len(rows[a]), a)):
@@ -59,14 +60,14 @@ def rank_map(path: str) -> tuple[str, str]:
                 break
             at += 4096
         put = at + int(fits) + shape
-        used[put], slots[put] = True, (rank - BIAS) << 16 | a
+        used[put], slots[put] = True, a << 16 | rank
         bases[a] = put[0] - b[0]
         at = max(0, put.min() - 4096) if len(b) > 4 else int(put.min())
     holes = iter(np.flatnonzero(~used).tolist())
     for a in sorted(a for a in rows if len(rows[a]) == 1):
         ((b, rank),) = rows[a]
         put = next(holes)
-        used[put], slots[put] = True, (rank - BIAS) << 16 | a
+        used[put], slots[put] = True, a << 16 | rank
         bases[a] = put - b
     end = int(np.flatnonzero(used)[-1]) + 1
     return ",".join(map(str, bases.tolist())), ",".join(map(str, slots[:end].tolist()))
@@ -79,46 +80,69 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def merged(symbols: Column, path: str) -> Column:
     """The ids of a word given as its bytes' ids: lowest rank first, leftmost of equals, until none is left."""
-    base, slot = (F.split(F.lit(x), ",").cast("array<int>") for x in rank_map(path))
+    base, slot = (F.split(F.lit(x), ",") for x in rank_map(path))
+    base, slot = base.cast("array<int>"), slot.cast("array<long>")
 
     def rank(a: Column, b: Column) -> Column:
-        found = F.get(slot, F.get(base, a) + b)
-        return F.when(found.bitwiseAND(2 * BIAS - 1) == a, F.shiftright(found, 16))
+        # The rank where the slot is the pair's, else a number of IDS or above; null behind the last symbol.
+        return F.get(slot, F.get(base, a) + b).bitwiseXOR(F.shiftleft(a.cast("long"), 16))
 
     def step(word: Column, _: Column) -> Column:
         def merge(ranks: Column) -> Column:
-            def put(at: Column) -> Column:
-                one = F.transform(
-                    word,
-                    lambda x, i: F.when(i == at, F.lit(None)).when(i + 1 == at, F.get(ranks, i) + BIAS).otherwise(x),
-                )
-                return F.filter(one, lambda x: x.isNotNull())
+            def found(least: Column) -> Column:
+                def put(at: Column) -> Column:
+                    one = F.transform(
+                        word,
+                        lambda x, i: F.when(i < at - 1, x).when(i == at, F.lit(None)).when(i > at, x).otherwise(
+                            least.cast("int")
+                        ),
+                    )
+                    return F.filter(one, lambda x: x.isNotNull())
 
-            least = F.array_min(ranks)
-            return F.when(least.isNull(), word).otherwise(_let(F.array_position(ranks, least).cast("int"), put))
+                return F.when(least < IDS, _let(F.array_position(ranks, least).cast("int"), put)).otherwise(word)
 
-        return _let(F.transform(word, lambda x, i: rank(x, F.get(word, i + 1))), merge)
+            return _let(F.coalesce(F.array_min(ranks), F.lit(NO_MERGE)), found)
+
+        return _let(F.zip_with(word, F.slice(word, 2, F.size(word)), rank), merge)
 
     return F.aggregate(F.sequence(F.lit(2), F.greatest(F.lit(2), F.size(symbols))), symbols, step)
 
 
+@dataclass
+class Split:
+    """Texts as distinct words: text i has the chunks index[offsets[i]:offsets[i + 1]], chunk j the
+    words of[ends[j - 1]:ends[j]]."""
+
+    words: list[str]
+    of: np.ndarray
+    ends: np.ndarray
+    index: np.ndarray
+    offsets: np.ndarray
+
+
 class Words:
-    """The pre-tokens of texts, chunk by chunk."""
+    """The pattern's matches in texts, found once in each distinct chunk."""
 
     def __init__(self, pattern: str):
         import regex
 
         self.find = regex.compile(pattern).findall
 
-    def __call__(self, texts: pa.Array) -> tuple[list[list[bytes]], np.ndarray, np.ndarray]:
-        """(words of each distinct chunk, index, offsets); chunks at the end stand for texts' beginnings."""
+    def __call__(self, texts: pa.Array) -> Split:
         chunks, index, offsets = distinct_chunks(texts, BYTE_LEVEL)
         heads = chunks.take(pa.array(index[offsets[:-1]])).to_pylist()
-        words = [[w.encode() for w in self.find(" " + c)] for c in chunks.to_pylist()]
-        words += [[w.encode() for w in self.find(c)] for c in heads]
+        # All chunks in one string, as none's matches reach into the next one; those that are
+        # empty or begin with a blank only stand at texts' beginnings and are found below.
+        parts = [" " + c if c and not c[0].isspace() else " -" for c in chunks.to_pylist()]
+        found = self.find("".join(parts))
+        ends = np.searchsorted(np.cumsum([len(w) for w in found]), np.cumsum([len(c) for c in parts])) + 1
+        # Chunks at the end stand for texts' beginnings, which have no blank before them.
+        firsts = [self.find(c) for c in heads]
+        ends = np.concatenate([ends, len(found) + np.cumsum([len(f) for f in firsts], dtype=np.int64)])
         index = index.copy()
-        index[offsets[:-1]] = len(chunks) + np.arange(len(heads))
-        return words, index, offsets
+        index[offsets[:-1]] = len(parts) + np.arange(len(heads))
+        coded = pa.array([*found, *[w for f in firsts for w in f]], pa.string()).dictionary_encode()
+        return Split(coded.dictionary.to_pylist(), coded.indices.to_numpy(), ends, index, offsets)
 
 
 def encode(docs: DataFrame, path: str | None = None, pattern: str | None = None) -> DataFrame:
@@ -146,19 +170,21 @@ def encode(docs: DataFrame, path: str | None = None, pattern: str | None = None)
 
     def name_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks, find, seen = spec.value, Words(pattern), set()
+        byte_id = np.array([ranks[bytes((b,))] for b in range(256)], np.int32)
         for whole in batches:
             for batch in by_bytes(whole, 1, SLICE):
-                found = {w for words in find(batch.column(1))[0] for w in words}
                 if len(seen) > REMEMBERED:
                     seen = set()
-                new = [w for w in found.difference(seen) if w not in ranks]
-                fresh = not seen
-                seen.update(new)
                 # A first row without a word: the words before it are not needed any more.
-                words = [None] * fresh + new
+                words = [] if seen else [b""]
+                new = set(find(batch.column(1)).words).difference(seen)
+                seen |= new
+                words += [w for w in map(str.encode, new) if w not in ranks]
+                symbols = pa.array(byte_id[np.frombuffer(b"".join(words), np.uint8)])
+                starts = pa.array(np.cumsum([0, *map(len, words)]), pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [pa.nulls(len(words), pa.int64()), pa.nulls(len(words), pa.string()), pa.array(words, pa.binary()),
-                     pa.array([[ranks[bytes((b,))] for b in w or b""] for w in words], pa.list_(pa.int32()))],
+                     pa.ListArray.from_arrays(starts, symbols)],
                     schema=arrow,
                 )
                 n = batch.num_rows
@@ -183,23 +209,26 @@ def encode(docs: DataFrame, path: str | None = None, pattern: str | None = None)
                     ends = np.cumsum(np.where(ids.is_valid(), ids.value_lengths().fill_null(0), 0)).tolist()
                     start = 0
                     for word, end in zip(rows.column(2).to_pylist(), ends):
-                        if word is None:
-                            known = dict(whole)
-                        else:
+                        if word:
                             known[word] = flat[4 * start : 4 * end]
+                        else:
+                            known = dict(whole)
                         start = end
                 elif a < b:
                     for part in by_bytes(rows, 1, SLICE):
                         yield documents(part, find, known, tokens)
 
     def documents(rows: pa.RecordBatch, find: Words, known: dict, tokens: dict) -> pa.RecordBatch:
-        words, index, offsets = find(rows.column(1))
-        packed = [b"".join([known[w] for w in ws]) for ws in words]
-        sizes = np.array([len(p) // 4 for p in packed], np.int64)
+        split = find(rows.column(1))
+        packed = [known[w] for w in map(str.encode, split.words)]
+        sizes = np.array([len(p) for p in packed], np.int64) // 4
         flat = np.frombuffer(b"".join(packed), "<u4")
-        per_chunk = sizes[index]
-        ends = np.concatenate([[0], np.cumsum(per_chunk)])[offsets]
-        ids = flat[ragged((np.cumsum(sizes) - sizes)[index], per_chunk)]
+        per_chunk = np.diff(split.ends, prepend=0)
+        of_text = per_chunk[split.index]
+        word = split.of[ragged((split.ends - per_chunk)[split.index], of_text)]
+        ids = flat[ragged((np.cumsum(sizes) - sizes)[word], sizes[word])]
+        words_before = np.concatenate([[0], np.cumsum(of_text)])[split.offsets]
+        ends = np.concatenate([[0], np.cumsum(sizes[word])])[words_before]
         own = [ids[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
         return pa.RecordBatch.from_arrays(
             [rows.column(0), pa.array([x.tobytes() for x in own], pa.binary()), pa.array(np.diff(ends)),

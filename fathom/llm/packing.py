@@ -21,6 +21,8 @@ END_ID = 0
 JOINED = 20_000
 #: Characters that go to ``tokenizers``; the classes of all others are the same in all Unicode versions in use.
 _UNSURE = "[^\\x00-\\x7f\\x{c0}-\\x{24f}]"
+#: Chunks that only stand at texts' beginnings; behind another chunk they might join it.
+_FIRST = "^([\\x00-\\x20]|$)"
 
 
 def binary_lengths(n: int, most: int) -> list[int]:
@@ -96,6 +98,7 @@ class Encoder:
             return ids, np.concatenate([[0], np.cumsum(sizes)])
         chunks, index, offsets = distinct_chunks(texts, BYTE_LEVEL)
         odd = pc.match_substring_regex(chunks, _UNSURE).to_numpy(zero_copy_only=False)
+        odd |= pc.match_substring_regex(chunks, _FIRST).to_numpy(zero_copy_only=False)
         for a in self.added:
             odd |= pc.match_substring(chunks, a).to_numpy(zero_copy_only=False)
         # In this order: chunks for the quick way, other chunks, first chunks (no blank before them).
