@@ -20,6 +20,17 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex16(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op1_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text's log10 probability under a backoff automaton learned from nine tenths of them."""
+    from fathom.llm import language_model
+    from fathom.llm.common import id_crc32
+
+    scored = language_model.score(_table(spark, sf_dir, "documents"), id_crc32(F.col("doc_id")) % 10 != 0)
+    return scored.select(
+        "doc_id", (~F.col("learned")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of one power-of-two piece each, at most 1024 tokens."""
     from fathom.llm import packing
@@ -93,7 +104,7 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_packing, op3_token_counts, op4_sharding, op5_simhash, op6_byte_bpe, op7_top_k, op8_language, op9_line_dedup, op10_embedding_dedup)
+    f.__name__: f for f in (op1_lm_scores, op2_packing, op3_token_counts, op4_sharding, op5_simhash, op6_byte_bpe, op7_top_k, op8_language, op9_line_dedup, op10_embedding_dedup)
 }
 ORACLES: dict[str, str] = {
     "op7_top_k": """
