@@ -15,7 +15,8 @@ MIN_CHARS, MIN_DOCS = 20, 3
 BATCHES, FANOUT = 4, 2
 
 _RUN = "k1 long, k2 long, n_docs long, keeper long"
-_NO_ID = F.lit(-(1 << 63)).cast("long")
+#: Stands for a null doc_id.
+_NO_ID = -(1 << 63)
 
 
 def line_key(line: Column) -> Column:
@@ -123,7 +124,7 @@ def rewrite(
 def _rewritten(docs: DataFrame, min_chars: int, min_docs: int, batches: int) -> DataFrame:
     own = docs.withColumns({
         "text": F.coalesce("text", F.lit("")),
-        "_id": F.coalesce("doc_id", _NO_ID),
+        "_id": F.coalesce("doc_id", F.lit(_NO_ID)),
         "_row": F.xxhash64(F.coalesce("text", F.lit(""))),
     })
     thin = own.select(F.col("_id").alias("doc_id"), F.col("_row").alias("row"), "text")
