@@ -12,6 +12,6 @@ The package is organised the way a Spark user would organise it:
 * ``streaming`` – the ledger aggregations as Structured Streaming queries.
 """
 
-from fathom.session import build_session, ensure_checkpoint_dir
+from fathom.session import build_session
 
-__all__ = ["build_session", "ensure_checkpoint_dir"]
+__all__ = ["build_session"]

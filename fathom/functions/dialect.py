@@ -8,6 +8,7 @@ equivalents, all built-in (JVM-side, inside whole-stage codegen):
 * ``ISNULL(x, d)``              -> ``coalesce``
 * ``DATEPART(YEAR, d)``         -> ``year``
 * ``to_char(d, 'DD/MM/YYYY')``  -> ``date_format(d, 'dd/MM/yyyy')``
+* ``'dd/mm/yyyy'::timestamp``   -> ``to_date(text, 'dd/MM/yyyy')``
 * ``NOT LIKE '%[^0-9]%'``       -> regex character classes (Spark ``LIKE`` has
                                    no ``[...]`` classes and would treat ``[``
                                    as a literal)
@@ -45,6 +46,11 @@ def day_text(d: Column) -> Column:
     return F.date_format(d, DAY_FORMAT)
 
 
+def day_of(text: Column) -> Column:
+    """The date that dd/mm/yyyy text names; text that names none is an error, as in a cast."""
+    return F.to_date(text, DAY_FORMAT)
+
+
 def only_digits(s: Column) -> Column:
     """TRUE when ``s`` holds no character other than 0-9 (empty string too)."""
     return ~s.rlike(NON_DIGIT)

@@ -42,11 +42,6 @@ def top_with_ties(
     return df.join(best, cond, "inner").select(*df.columns)
 
 
-def groups_with_single_value(df: DataFrame, group: str, value: str) -> DataFrame:
-    """Groups whose non-NULL ``value`` is one single distinct value."""
-    return df.groupBy(group).agg(F.count_distinct(value).alias("__n")).filter("__n = 1").select(group)
-
-
 def divides(candidates: DataFrame, group: str, member: str, present: DataFrame, present_member: str) -> DataFrame:
     """Relational division: groups all of whose members occur in ``present``.
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def all_ships(ships: DataFrame, outcomes: DataFrame, classes: DataFrame | None = None) -> DataFrame:
+def every_ship(ships: DataFrame, outcomes: DataFrame, classes: DataFrame | None = None) -> DataFrame:
     """Distinct (name, class): ships as listed, plus ships from battle outcomes
     that are taken as their own class (``ship AS name, ship AS class``).
     ``outcomes`` only needs a ``ship`` column; the set of outcome ships

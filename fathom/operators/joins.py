@@ -47,20 +47,21 @@ def either_key_join(
         raise ValueError(f"either_key_join needs disjoint columns, shared: {sorted(overlap)}")
     if broadcast_right:
         right = F.broadcast(right)
-    keys = F.array_distinct(F.array(*[F.col(k) for k in left_keys]))
-    expanded = left.withColumn(_KEY, F.explode(keys))
-    matched = expanded.join(right, F.col(_KEY) == right[right_key], "inner").drop(_KEY)
     if how == "inner":
-        return matched
-    right_keys = right.select(F.col(right_key).alias(_KEY)).distinct()
+        expanded = left.withColumn(_KEY, F.explode(F.array_distinct(F.array(*[F.col(k) for k in left_keys]))))
+        return expanded.join(right, F.col(_KEY) == right[right_key], "inner").drop(_KEY)
+    # Keys that the right side does not have become NULL, so that a row
+    # without a match is left with no key and kept once by explode_outer.
+    known = right.select(F.col(right_key).alias(_KEY)).distinct()
     if broadcast_right:
-        right_keys = F.broadcast(right_keys)
-    unmatched = left
-    for k in left_keys:
-        unmatched = unmatched.join(right_keys, unmatched[k] == right_keys[_KEY], "left_anti")
-    padding = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields]
-    unmatched = unmatched.select(*[F.col(c) for c in left.columns], *padding)
-    return matched.unionByName(unmatched)
+        known = F.broadcast(known)
+    found, names = left, [f"{_KEY}_{i}" for i in range(len(left_keys))]
+    for k, name in zip(left_keys, names):
+        own = known.withColumnRenamed(_KEY, name)
+        found = found.join(own, F.col(k) == F.col(name), "left")
+    keys = F.array_distinct(F.array_compact(F.array(*[F.col(n) for n in names])))
+    expanded = found.withColumn(_KEY, F.explode_outer(keys)).drop(*names)
+    return expanded.join(right, F.col(_KEY) == right[right_key], "left").drop(_KEY)
 
 
 def not_in(df: DataFrame, value: Column, sub: DataFrame, sub_col: str) -> DataFrame:

@@ -5,42 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A category column is a small domain (product types, event types...).  The
-# distinct values are fetched once, like ``pivot`` does, and the count is
-# checked so an unexpectedly wide column fails loudly instead of building a
-# huge plan.
-MAX_CATEGORIES = 1000
-
-
-def category_domain(df: DataFrame, category: str, limit: int = MAX_CATEGORIES) -> list:
-    """Distinct values of a categorical column (NULL included), size-checked."""
-    rows = df.select(category).distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"{category} has more than {limit} distinct values; not a categorical column")
-    return [r[0] for r in rows]
-
 
 def share_of_group(df: DataFrame, group: str, category: str, member: str, name: str) -> DataFrame:
     """Percent of ``member`` count per (group, category) over the group total.
 
     Every group gets a row for every category of the domain (0 when it has
-    none).  One grouped aggregate per group computes all category counts at
-    once (conditional counts, combined map-side), and the grid rows come
-    from a narrow explode of those counts -- no cross join, no join back.
-    As in SQL, a NULL category gets its grid row but never matches a member
-    (count 0), and members with a NULL category do not enter the total.
-    Returns (group, category, name) with ``name`` as decimal(5,2).
+    none), so the result has groups x categories rows.  One aggregate per
+    (group, category), combined map-side, feeds all of it: its totals per
+    group are spread over the domain (one scalar array) and joined back to
+    the counts.  As in SQL, a NULL category gets its grid row but never
+    matches a member (count 0), and members with a NULL category do not enter
+    the total.  Returns (group, category, name) with ``name`` as decimal(5,2).
     """
-    domain = category_domain(df, category)
-    known = [v for v in domain if v is not None]
-    cat_type = df.schema[category].dataType
-    counts = df.groupBy(group).agg(
-        *[F.count(F.when(F.col(category) == F.lit(v), F.col(member))).alias(f"__c{i}") for i, v in enumerate(known)]
-    )
-    total = sum((F.col(f"__c{i}") for i in range(len(known))), F.lit(0).cast("long"))
-    cells = [F.struct(F.lit(v).cast(cat_type).alias("__cat"), F.col(f"__c{i}").alias("__n")) for i, v in enumerate(known)]
-    if len(known) < len(domain):
-        cells.append(F.struct(F.lit(None).cast(cat_type).alias("__cat"), F.lit(0).cast("long").alias("__n")))
-    grid = counts.select(group, total.alias("__total"), F.explode(F.array(*cells)).alias("__x"))
-    pct = F.round(F.try_divide(F.col("__x.__n") * F.lit(100.0), F.col("__total")), 2)
-    return grid.select(group, F.col("__x.__cat").alias(category), pct.cast("decimal(5,2)").alias(name))
+    counts = df.groupBy(group, category).agg(F.count(member).alias("__n"))
+    domain = counts.agg(
+        F.concat(
+            F.array_sort(F.collect_set(category)),
+            F.when(F.count_if(F.col(category).isNull()) > 0, F.array(F.lit(None))).otherwise(F.array()),
+        )
+    ).scalar()
+    totals = counts.groupBy(group).agg(F.sum(F.when(F.col(category).isNotNull(), F.col("__n"))).alias("__total"))
+    grid = totals.select(group, "__total", F.explode(domain).alias(category))
+    held = counts.select(F.col(group).alias("__group"), F.col(category).alias("__category"), "__n")
+    joined = grid.join(held, F.col(group).eqNullSafe(F.col("__group")) & (F.col(category) == F.col("__category")), "left")
+    pct = F.round(F.try_divide(F.coalesce("__n", F.lit(0)) * F.lit(100.0), F.col("__total")), 2)
+    return joined.select(group, category, pct.cast("decimal(5,2)").alias(name))

@@ -14,7 +14,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from fathom.functions import dialect
-from fathom.operators.ledger import full_join_using, merge_ledgers, one_sided_days
+from fathom.operators.ledger import merge_ledgers, one_sided_days
 from fathom.operators.windows import running_total
 from fathom.plans.registry import query
 
@@ -28,15 +28,12 @@ def _remain():
     return (F.coalesce(F.sum("inc"), F.lit(0)) - F.coalesce(F.sum("out"), F.lit(0))).cast(MONEY).alias("remain")
 
 
-def _daily_full(v, before: dt.date | None):
-    inc, out = v.income_o, v.outcome_o
-    if before is not None:
-        # WHERE date < c on the USING key (coalesce of both sides) keeps exactly
-        # the rows whose present side is before c, so it can be applied to
-        # each side before the join.
-        inc = inc.filter(F.col("date") < F.lit(before))
-        out = out.filter(F.col("date") < F.lit(before))
-    return full_join_using(inc, out, ["point", "date"])
+def _daily_moves(v, before: dt.date | None):
+    """Both daily ledgers under one another: sums over them need no matching of days."""
+    inc = v.income_o.select("point", "date", "inc", F.lit(None).cast("decimal(18,2)").alias("out"))
+    out = v.outcome_o.select("point", "date", F.lit(None).cast("decimal(18,2)").alias("inc"), "out")
+    moves = inc.unionByName(out)
+    return moves if before is None else moves.filter(F.col("date") < F.lit(before))
 
 
 @query(
@@ -70,7 +67,7 @@ def _balance(v, key_expr):
     out = v.outcome_o.groupBy(F.col("point").alias("o_point")).agg(F.sum("out").alias("out"))
     joined = inc.join(out, inc["point"] == out["o_point"], "full")
     balance = dialect.isnull_default(F.col("inc"), 0) - dialect.isnull_default(F.col("out"), 0)
-    return joined.select(key_expr.alias("point"), balance.cast(MONEY).alias("balans"))
+    return joined.select(key_expr.alias("point"), balance.cast(MONEY).alias("balance"))
 
 
 @query(
@@ -78,7 +75,7 @@ def _balance(v, key_expr):
     sql="""
     WITH got AS (SELECT point, sum(inc) AS total FROM income_o GROUP BY point),
          paid AS (SELECT point, sum(out) AS total FROM outcome_o GROUP BY point)
-    SELECT g.point, CAST(coalesce(g.total, 0) - coalesce(p.total, 0) AS DECIMAL(38,2)) AS balans
+    SELECT g.point, CAST(coalesce(g.total, 0) - coalesce(p.total, 0) AS DECIMAL(38,2)) AS balance
     FROM got g FULL JOIN paid p ON p.point = g.point""",
 )
 def e59_balance(v):
@@ -92,7 +89,7 @@ def e59_balance(v):
     sql="""
     WITH got AS (SELECT point, sum(inc) AS total FROM income_o GROUP BY point),
          paid AS (SELECT point, sum(out) AS total FROM outcome_o GROUP BY point)
-    SELECT coalesce(g.point, p.point) AS point, CAST(coalesce(g.total, 0) - coalesce(p.total, 0) AS DECIMAL(38,2)) AS balans
+    SELECT coalesce(g.point, p.point) AS point, CAST(coalesce(g.total, 0) - coalesce(p.total, 0) AS DECIMAL(38,2)) AS balance
     FROM got g FULL JOIN paid p ON p.point = g.point""",
 )
 def e59_task(v):
@@ -112,7 +109,7 @@ def e59_task(v):
 )
 def e60_balance_before(v):
     """Balance per point at the start of a day."""
-    return _daily_full(v, CUTOFF).groupBy("point").agg(_remain())
+    return _daily_moves(v, CUTOFF).groupBy("point").agg(_remain())
 
 
 @query(
@@ -123,7 +120,7 @@ def e60_balance_before(v):
 )
 def e61_total_balance(v):
     """One balance over all points."""
-    return _daily_full(v, None).agg(_remain())
+    return _daily_moves(v, None).agg(_remain())
 
 
 @query(
@@ -134,7 +131,7 @@ def e61_total_balance(v):
 )
 def e62_total_before(v):
     """One balance over all points at the start of a day."""
-    return _daily_full(v, CUTOFF).agg(_remain())
+    return _daily_moves(v, CUTOFF).agg(_remain())
 
 
 @query(
@@ -157,12 +154,13 @@ def e64_one_sided_days(v):
 @query(
     "e69_running_balance",
     sql="""
-    SELECT DISTINCT point, strftime(date, '%d/%m/%Y') AS day,
-           CAST(sum(amount) OVER (PARTITION BY point ORDER BY date RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
-                AS DECIMAL(38,2)) AS rem
-    FROM (SELECT point, date, inc AS amount FROM income
-          UNION ALL
-          SELECT point, date, -out FROM outcome) moves
+    WITH days AS (
+      SELECT u.point, u.date, sum(u.net) AS net
+      FROM (SELECT point, date, 0 - out AS net FROM outcome UNION ALL SELECT point, date, inc FROM income) u
+      GROUP BY u.point, u.date)
+    SELECT d.point, strftime(d.date, '%d/%m/%Y') AS day,
+           CAST((SELECT sum(e.net) FROM days e WHERE e.point = d.point AND e.date <= d.date) AS DECIMAL(38,2)) AS balance
+    FROM days d
     ORDER BY point, day""",
 )
 def e69_running_balance(v):
@@ -171,7 +169,7 @@ def e69_running_balance(v):
     moves = v.income.select("point", "date", F.col("inc").alias("rev")).unionByName(
         v.outcome.select("point", "date", (-F.col("out")).alias("rev"))
     )
-    balance = running_total(moves, "point", "date", "rev", "rem")
-    return balance.select("point", dialect.day_text(F.col("date")).alias("day"), F.col("rem").cast(MONEY).alias("rem")).orderBy(
+    balance = running_total(moves, "point", "date", "rev", "balance")
+    return balance.select("point", dialect.day_text(F.col("date")).alias("day"), F.col("balance").cast(MONEY).alias("balance")).orderBy(
         "point", "day"
     )

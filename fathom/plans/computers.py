@@ -1,9 +1,8 @@
 """Computer-catalog queries over ``product``, ``pc``, ``laptop``, ``printer``.
 
-Money is decimal(18,2).  Averages of money are taken over the value as a
-double: prices are whole tens, so every partial sum is exact in binary
-floating point and the mean is the same correctly rounded double whatever
-the order of summation (and the same on any engine).
+Money is decimal(18,2).  Averages of money are an exact decimal sum and a
+count, divided once as doubles, so the mean does not depend on the order of
+summation (nor on the engine).
 """
 
 from __future__ import annotations
@@ -24,10 +23,11 @@ CHEAP = 960
 PRICEY = 960
 MAKER = "Brand#1-0"
 FAST = 750
+PAIR_SALTS = 16
 
 
 def _avg_money(col: str, name: str):
-    return F.avg(F.col(col).cast("double")).alias(name)
+    return F.try_divide(F.sum(col).cast("double"), F.count(col)).alias(name)
 
 
 def _models_of(v, maker: str):
@@ -81,8 +81,9 @@ def e06_join_distinct(v):
     "e07_union_join",
     sql=f"""
     SELECT DISTINCT u.model, u.price
-    FROM (SELECT model, price FROM pc UNION ALL SELECT model, price FROM laptop UNION ALL SELECT model, price FROM printer) u
-    WHERE u.model IN (SELECT model FROM product WHERE maker = '{MAKER}')""",
+    FROM product p JOIN (SELECT model, price FROM pc UNION ALL SELECT model, price FROM laptop
+                         UNION ALL SELECT model, price FROM printer) u ON u.model = p.model
+    WHERE p.maker = '{MAKER}'""",
 )
 def e07_union_join(v):
     """Model and price of every product of one maker.
@@ -182,15 +183,16 @@ def e16_self_pairs(v):
 
     The answer is the set of pairs, so its size is quadratic in the group
     size by definition.  (model, speed, ram) is made distinct *before* the
-    self join, so no duplicate pair is ever produced and then thrown away;
-    the join itself is an equi join on (speed, ram) with ``>`` as residual.
+    self join, so no duplicate pair is ever produced and then thrown away.
+    (speed, ram) has few values, so one side is salted by model and the other
+    repeated for each salt: an equi join on (speed, ram, salt) with ``>`` as
+    residual, whose work is spread over ``PAIR_SALTS`` times as many keys.
     """
     m = v.pc.select("model", "speed", "ram").distinct()
-    a, b = m.alias("a"), m.alias("b")
-    pairs = a.join(
-        b,
-        (F.col("a.speed") == F.col("b.speed")) & (F.col("a.ram") == F.col("b.ram")) & (F.col("a.model") > F.col("b.model")),
-    )
+    a = m.withColumn("salt", F.pmod(F.xxhash64("model"), F.lit(PAIR_SALTS).cast("long"))).alias("a")
+    b = m.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(PAIR_SALTS - 1).cast("long")))).alias("b")
+    same = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("speed", "ram", "salt")]
+    pairs = a.join(b, [*same, F.col("a.model") > F.col("b.model")])
     return pairs.select(
         F.col("a.model").alias("model1"), F.col("b.model").alias("model2"), F.col("a.speed").alias("speed"), F.col("a.ram").alias("ram")
     )
@@ -264,7 +266,7 @@ def e21_max_group(v):
 
 @query(
     "e22_avg_by_speed",
-    sql="SELECT speed, avg(CAST(price AS DOUBLE)) AS avg_price FROM pc WHERE speed > 600 GROUP BY speed",
+    sql="SELECT speed, CAST(sum(price) AS DOUBLE) / count(price) AS avg_price FROM pc WHERE speed > 600 GROUP BY speed",
 )
 def e22_avg_by_speed(v):
     """Mean PC price per speed above 600."""
@@ -339,7 +341,7 @@ def e25_nested_in(v):
 @query(
     "e26_avg_union_all",
     sql=f"""
-    SELECT avg(CAST(u.price AS DOUBLE)) AS avg_price
+    SELECT CAST(sum(u.price) AS DOUBLE) / count(u.price) AS avg_price
     FROM (SELECT model, price FROM pc UNION ALL SELECT model, price FROM laptop) u
     JOIN product p ON p.model = u.model
     WHERE p.maker = '{MAKER}'""",
@@ -392,9 +394,9 @@ def e35_char_class(v):
 @query(
     "e40_single_type",
     sql="""
-    SELECT maker, type FROM product
-    WHERE maker IN (SELECT maker FROM product GROUP BY maker HAVING count(DISTINCT type) = 1)
-    GROUP BY maker, type HAVING count(model) > 1""",
+    SELECT g.maker, g.type FROM (SELECT maker, type, count(model) AS models FROM product GROUP BY maker, type) g
+    WHERE g.models > 1
+      AND (SELECT min(p.type) = max(p.type) FROM product p WHERE p.maker = g.maker)""",
 )
 def e40_single_type(v):
     """Makers with more than one model, all of a single type.
@@ -460,14 +462,14 @@ def e41_unpivot(v):
     per_type AS (SELECT maker, type, count(model) AS n FROM product WHERE type IS NOT NULL GROUP BY maker, type),
     per_maker AS (SELECT maker, count(model) AS n FROM product WHERE type IS NOT NULL GROUP BY maker)
     SELECT g.maker, g.type,
-           CAST(round(coalesce(c.n, 0) * 100.0 / NULLIF(t.n, 0), 2) AS DECIMAL(5,2)) AS fin
+           CAST(round(coalesce(c.n, 0) * 100.0 / NULLIF(t.n, 0), 2) AS DECIMAL(5,2)) AS share_pct
     FROM grid g
     LEFT JOIN per_maker t ON t.maker = g.maker
     LEFT JOIN per_type c ON c.maker = g.maker AND c.type = g.type""",
 )
 def e58_share(v):
     """Percent of each product type in each maker's models, 0 included."""
-    return share_of_group(v.product, "maker", "type", "model", "fin")
+    return share_of_group(v.product, "maker", "type", "model", "share_pct")
 
 
 @query(
@@ -482,7 +484,7 @@ def e58_share(v):
              row_number() OVER (PARTITION BY maker ORDER BY rank_type, type) AS rn_maker,
              row_number() OVER (ORDER BY maker, rank_type, type) AS rn_all
       FROM pairs)
-    SELECT rn_all AS numb, CASE WHEN rn_maker = 1 THEN maker ELSE '' END AS maker, type FROM ranked""",
+    SELECT rn_all AS row_no, CASE WHEN rn_maker = 1 THEN maker ELSE '' END AS maker, type FROM ranked""",
 )
 def e65_numbered(v):
     """Number the distinct (maker, type) pairs by maker, then PC, Laptop,
@@ -496,9 +498,9 @@ def e65_numbered(v):
     pairs = v.product.select("maker", "type", ord_.alias("ord")).distinct()
     within = F.row_number().over(Window.partitionBy("maker").orderBy("ord", "type"))
     labelled = pairs.select("maker", "type", "ord", within.alias("num"))
-    numbered = global_row_number(labelled, [F.col("maker"), F.col("ord"), F.col("type")], "numb")
+    numbered = global_row_number(labelled, [F.col("maker"), F.col("ord"), F.col("type")], "row_no")
     return numbered.select(
-        "numb", F.when(F.col("num") == 1, F.col("maker")).otherwise(F.lit("")).alias("maker"), "type"
+        "row_no", F.when(F.col("num") == 1, F.col("maker")).otherwise(F.lit("")).alias("maker"), "type"
     )
 
 

@@ -10,12 +10,13 @@ from fathom.functions import dialect
 from fathom.operators.aggregates import top_with_ties
 from fathom.operators.calendar import calendar_fill, date_spine
 from fathom.plans.registry import query
-from fathom.session import ensure_checkpoint_dir
 
 # Parameters: the week and the departure town of the calendar query.
 WEEK_START = dt.date(1997, 1, 1)
 WEEK_END = dt.date(1997, 1, 7)
 TOWN = "NATION_5"
+# The same days as the text that the trips are selected by.
+WEEK_FROM, WEEK_TO = "01/01/1997", "07/01/1997"
 DAY_MINUTES = 1440
 
 
@@ -32,53 +33,46 @@ def e63_same_seat(v):
 
 
 def _week_trips(v):
-    return v.trip.filter(F.col("date").between(F.lit(WEEK_START), F.lit(WEEK_END)) & (F.col("town_from") == TOWN)).select(
+    return v.trip.filter(F.col("date").between(dialect.day_of(F.lit(WEEK_FROM)), dialect.day_of(F.lit(WEEK_TO))) & (F.col("town_from") == TOWN)).select(
         "trip_no", "date"
     )
 
 
 def _fill_week(v, counts):
-    return calendar_fill(date_spine(v.spark, WEEK_START, WEEK_END, "date"), counts, "date", "cnt", 0)
+    return calendar_fill(date_spine(v.spark, WEEK_START, WEEK_END, "date"), counts, "date", "departures", 0)
 
 
 @query(
     "e66_calendar",
     sql=f"""
-    SELECT CAST(d.day AS DATE) AS date, coalesce(t.cnt, 0) AS cnt
-    FROM generate_series(TIMESTAMP '{WEEK_START}', TIMESTAMP '{WEEK_END}', INTERVAL 1 DAY) AS d(day)
-    LEFT JOIN (SELECT date, count(DISTINCT trip_no) AS cnt
-               FROM trip JOIN pass_in_trip USING (trip_no)
-               WHERE date BETWEEN DATE '{WEEK_START}' AND DATE '{WEEK_END}' AND town_from = '{TOWN}'
-               GROUP BY date) t
-      ON CAST(d.day AS DATE) = t.date""",
+    SELECT CAST(w.day AS DATE) AS date,
+           (SELECT count(*) FROM trip f
+            WHERE f.date = CAST(w.day AS DATE) AND f.town_from = '{TOWN}'
+              AND f.trip_no IN (SELECT p.trip_no FROM pass_in_trip p)) AS departures
+    FROM (SELECT unnest(generate_series(TIMESTAMP '{WEEK_START}', TIMESTAMP '{WEEK_END}', INTERVAL 1 DAY)) AS day) w""",
 )
 def e66_calendar(v):
     """Flights with passengers leaving a town on each day of a week, 0 filled.
 
-    Only *whether* a trip has passengers matters, so the passenger list is
-    reduced to its distinct trip numbers first -- combined map-side, where
-    the several passenger rows of a trip usually sit together -- and the
-    week's trips are semi-joined to that set on the same partitioning.
+    The week's trips, the small side, stand on the right of the join, so that
+    AQE can broadcast them and the passenger list is not shuffled; a trip's
+    passengers then meet in a distinct count, combined map-side.
     """
-    with_passengers = v.pass_in_trip.select("trip_no").distinct()
-    flown = _week_trips(v).join(with_passengers, "trip_no", "left_semi")
-    counts = flown.groupBy("date").agg(F.count_distinct("trip_no").alias("cnt"))
+    flown = v.pass_in_trip.select("trip_no").join(_week_trips(v), "trip_no")
+    counts = flown.groupBy("date").agg(F.count_distinct("trip_no").alias("departures"))
     return _fill_week(v, counts)
 
 
 @query(
     "e66_task",
     sql=f"""
-    SELECT CAST(d.day AS DATE) AS date, coalesce(t.cnt, 0) AS cnt
-    FROM generate_series(TIMESTAMP '{WEEK_START}', TIMESTAMP '{WEEK_END}', INTERVAL 1 DAY) AS d(day)
-    LEFT JOIN (SELECT date, count(DISTINCT trip_no) AS cnt FROM trip
-               WHERE date BETWEEN DATE '{WEEK_START}' AND DATE '{WEEK_END}' AND town_from = '{TOWN}'
-               GROUP BY date) t
-      ON CAST(d.day AS DATE) = t.date""",
+    SELECT CAST(w.day AS DATE) AS date,
+           (SELECT count(*) FROM trip f WHERE f.date = CAST(w.day AS DATE) AND f.town_from = '{TOWN}') AS departures
+    FROM (SELECT unnest(generate_series(TIMESTAMP '{WEEK_START}', TIMESTAMP '{WEEK_END}', INTERVAL 1 DAY)) AS day) w""",
 )
 def e66_task(v):
     """Flights leaving a town on each day of a week, with or without passengers."""
-    counts = _week_trips(v).groupBy("date").agg(F.count_distinct("trip_no").alias("cnt"))
+    counts = _week_trips(v).groupBy("date").agg(F.count_distinct("trip_no").alias("departures"))
     return _fill_week(v, counts)
 
 
@@ -90,8 +84,8 @@ def _top_route_count(routes):
     unique after that grouping).  A global aggregate always yields one row;
     no routes at all gives 0, as ``count(*)`` does in SQL.
     """
-    per_count = routes.groupBy("cnt").agg(F.count(F.lit(1)).alias("qty"))
-    return per_count.agg(F.coalesce(F.max_by("qty", "cnt"), F.lit(0).cast("long")).alias("qty"))
+    per_count = routes.groupBy("flights").agg(F.count(F.lit(1)).alias("qty"))
+    return per_count.agg(F.coalesce(F.max_by("qty", "flights"), F.lit(0).cast("long")).alias("qty"))
 
 
 @query(
@@ -104,7 +98,7 @@ def _top_route_count(routes):
 )
 def e67_top_routes(v):
     """Number of directed routes served by the most flights."""
-    routes = v.trip.groupBy("town_from", "town_to").agg(F.count_distinct("trip_no").alias("cnt"))
+    routes = v.trip.groupBy("town_from", "town_to").agg(F.count_distinct("trip_no").alias("flights"))
     return _top_route_count(routes)
 
 
@@ -122,7 +116,7 @@ def e68_top_routes_undirected(v):
     """Same, with A-B and B-A counted as one route (IIF keys, NULL-exact)."""
     a, b = F.col("town_from"), F.col("town_to")
     routes = v.trip.groupBy(dialect.iif(a > b, a, b).alias("hi"), dialect.iif(a < b, a, b).alias("lo")).agg(
-        F.count_distinct("trip_no").alias("cnt")
+        F.count_distinct("trip_no").alias("flights")
     )
     return _top_route_count(routes)
 
@@ -144,11 +138,8 @@ def e72_loyal_top(v):
     per = flights.groupBy("id_psg").agg(
         F.count_distinct("id_comp").alias("companies"), F.count(F.lit(1)).alias("flights")
     )
-    # The maximum needs a pass over all loyal passengers before they can be
-    # filtered; checkpointing them (reliable, in the shared checkpoint
-    # directory) keeps the big join from being evaluated twice.
-    ensure_checkpoint_dir(v.spark)
-    loyal = per.filter(F.col("companies") == 1).select("id_psg", "flights").checkpoint(eager=True)
+    # The maximum reads the same exchange by passenger as the filter does.
+    loyal = per.filter(F.col("companies") == 1).select("id_psg", "flights")
     return top_with_ties(loyal, "flights").join(v.passenger, "id_psg").select("name", "flights")
 
 

@@ -59,8 +59,9 @@ def m_daily_report(v):
     is "yesterday"): active users, events, views, clicks, purchases, revenue
     and click-through rate."""
     ev = _events(v)
-    newest = ev.agg(F.max("day")).scalar()
-    week = ev.filter(F.col("day").between(F.date_sub(newest, WEEK_DAYS - 1), newest))
+    # The week's first moment as one scalar over ts, a condition that the scan can use.
+    first = ev.agg(F.date_sub(F.max("ts").cast("date"), WEEK_DAYS - 1).cast("timestamp_ntz")).scalar()
+    week = ev.filter(F.col("ts") >= first)
     daily = week.groupBy("day").agg(
         F.count_distinct("user_id").alias("dau"),
         F.count(F.lit(1)).alias("events"),

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from fathom.functions import dialect
 from fathom.operators.aggregates import top_with_ties
 from fathom.operators.asof import first_event_from
-from fathom.operators.entities import all_ships
+from fathom.operators.entities import every_ship
 from fathom.operators.joins import either_key_join, not_in
 from fathom.operators.setops import intersect_distinct, union_distinct
 from fathom.plans.registry import query
@@ -49,6 +49,12 @@ def outcome_classes(v, outs, how: str = "inner"):
     return either_key_join(left, _prefixed_classes(v), ["s_class", "ship"], "c_class", how, broadcast_right=True)
 
 
+def _losses(v):
+    """Sunk outcomes counted per ship (map-side) before the joins: one row per ship and class, with n."""
+    sunk = v.outcomes.filter(F.col("result") == "sunk").groupBy("ship").agg(F.count(F.lit(1)).alias("n"))
+    return outcome_classes(v, sunk)
+
+
 def maybe(cond, col):
     """Predicate that also accepts an unknown (NULL) value."""
     return cond | col.isNull()
@@ -80,7 +86,7 @@ def e31_filter_class(v):
 )
 def e32_avg_pow(v):
     """Mean of bore^3 / 2 over all ships of each country, two decimals."""
-    fleet = all_ships(v.ships, v.outcome_ships, v.classes).join(v.classes.select("class", "country", "bore"), "class")
+    fleet = every_ship(v.ships, v.outcome_ships, v.classes).join(v.classes.select("class", "country", "bore"), "class")
     mw = F.avg(dialect.power(F.col("bore"), 3) * F.lit(0.5)).cast("decimal(6,2)")
     return fleet.groupBy("country").agg(mw.alias("mw"))
 
@@ -88,7 +94,7 @@ def e32_avg_pow(v):
 @query("e33_two_preds", sql=f"SELECT ship FROM outcomes WHERE result = 'sunk' AND battle = '{BATTLE}'")
 def e33_two_preds(v):
     """Ships sunk in one battle."""
-    return v.outcomes.filter((F.col("result") == "sunk") & (F.col("battle") == BATTLE)).select("ship")
+    return v.outcomes_of(BATTLE).filter(F.col("result") == "sunk").select("ship")
 
 
 @query(
@@ -128,7 +134,7 @@ def e36_union_in(v):
 )
 def e37_union_having(v):
     """Classes with exactly one ship, counting ships known only from outcomes."""
-    fleet = all_ships(v.ships, v.outcome_ships, v.classes)
+    fleet = every_ship(v.ships, v.outcome_ships, v.classes)
     return fleet.groupBy("class").agg(F.count("name").alias("n")).filter(F.col("n") == 1).select("class")
 
 
@@ -224,7 +230,7 @@ def e45_three_words(v):
 )
 def e46_either_key_left(v):
     """Displacement and guns of every ship in one battle (either-key LEFT JOIN)."""
-    outs = v.outcomes.filter(F.col("battle") == BATTLE).select("ship")
+    outs = v.outcomes_of(BATTLE).select("ship")
     joined = outcome_classes(v, outs, how="left")
     return joined.select("ship", F.col("c_displacement").alias("displacement"), F.col("c_numGuns").alias("numGuns"))
 
@@ -232,18 +238,17 @@ def e46_either_key_left(v):
 @query(
     "e47_all_lost",
     sql=f"""
-    WITH fleet AS (SELECT name AS ship, class FROM ships UNION SELECT ship, ship FROM outcomes),
-    owned AS (SELECT c.country, count(*) AS n FROM fleet f JOIN classes c ON c.class = f.class GROUP BY c.country),
-    lost AS (SELECT c.country, count(*) AS n {OUTCOME_CLASS_SQL}
-             WHERE o.result = 'sunk' GROUP BY c.country)
-    SELECT l.country FROM lost l JOIN owned w ON w.country = l.country AND w.n = l.n""",
+    SELECT country FROM (
+      SELECT c.country, 1 AS owned, 0 AS lost FROM classes c JOIN (SELECT name, class FROM ships UNION SELECT ship, ship FROM outcomes) f ON f.class = c.class
+      UNION ALL
+      SELECT c.country, 0, 1 {OUTCOME_CLASS_SQL} WHERE o.result = 'sunk') t
+    GROUP BY country HAVING sum(lost) > 0 AND sum(owned) = sum(lost)""",
 )
 def e47_all_lost(v):
     """Countries whose number of sunk ships equals their number of ships."""
-    fleet = all_ships(v.ships, v.outcome_ships, v.classes).join(v.classes.select("class", "country"), "class")
+    fleet = every_ship(v.ships, v.outcome_ships, v.classes).join(v.classes.select("class", "country"), "class")
     fleet_by_country = fleet.groupBy("country").agg(F.count(F.lit(1)).alias("number"))
-    sunk = outcome_classes(v, v.outcomes.filter(F.col("result") == "sunk").select("ship"))
-    sunk_by_country = sunk.groupBy(F.col("c_country").alias("country")).agg(F.count(F.lit(1)).alias("number"))
+    sunk_by_country = _losses(v).groupBy(F.col("c_country").alias("country")).agg(F.sum("n").alias("number"))
     return intersect_distinct(sunk_by_country, fleet_by_country).select("country")
 
 
@@ -289,12 +294,10 @@ def e50_battles_of_class(v):
 @query(
     "e51_group_max",
     sql="""
-    WITH armed AS (
-      SELECT o.ship, c.displacement, c.numGuns FROM outcomes o JOIN classes c ON c.class = o.ship
-      UNION
-      SELECT s.name, c.displacement, c.numGuns FROM ships s JOIN classes c ON c.class = s.class)
-    SELECT a.ship FROM armed a
-    WHERE a.numGuns = (SELECT max(b.numGuns) FROM armed b WHERE b.displacement = a.displacement)""",
+    SELECT ship FROM (
+      SELECT DISTINCT f.name AS ship, k.displacement, k.numGuns, max(k.numGuns) OVER (PARTITION BY k.displacement) AS most
+      FROM classes k JOIN (SELECT name, class FROM ships UNION SELECT ship, ship FROM outcomes) f ON f.class = k.class) x
+    WHERE numGuns = most AND displacement IS NOT NULL""",
 )
 def e51_group_max(v):
     """Ships with the most guns among ships of the same displacement.
@@ -349,11 +352,8 @@ def e53_avg_numeric(v):
 @query(
     "e54_avg_union",
     sql="""
-    WITH bb_fleet AS (
-      SELECT c.class, o.ship AS name, c.numGuns FROM classes c JOIN outcomes o ON o.ship = c.class WHERE c.type = 'bb'
-      UNION
-      SELECT c.class, s.name, c.numGuns FROM classes c JOIN ships s ON s.class = c.class WHERE c.type = 'bb')
-    SELECT CAST(avg(numGuns) AS DECIMAL(4,2)) AS avg_guns FROM bb_fleet""",
+    SELECT CAST(avg(k.numGuns) AS DECIMAL(4,2)) AS avg_guns
+    FROM (SELECT name, class FROM ships UNION SELECT ship, ship FROM outcomes) f JOIN classes k ON k.class = f.class AND k.type = 'bb'""",
 )
 def e54_avg_union(v):
     """Mean number of guns over all battleships, lead ships from outcomes included."""
@@ -400,7 +400,7 @@ def e55_task(v):
 @query(
     "e56_count_sunk",
     sql="""
-    SELECT c.class, count(DISTINCT o.ship) AS sunked
+    SELECT c.class, count(DISTINCT o.ship) AS sunk_ships
     FROM classes c
     LEFT JOIN ships s ON s.class = c.class
     LEFT JOIN (SELECT ship FROM outcomes WHERE result = 'sunk') o ON o.ship IN (s.name, c.class)
@@ -416,30 +416,28 @@ def e56_count_sunk(v):
     sunk = v.outcomes.filter(F.col("result") == "sunk").select("ship").distinct()
     by_member = v.ships.select("name", "class").join(sunk, F.col("name") == F.col("ship")).select("class", "ship")
     by_class = v.classes.select("class").join(sunk, F.col("class") == F.col("ship")).select("class", "ship")
-    counts = by_member.unionByName(by_class).groupBy("class").agg(F.count_distinct("ship").alias("sunked"))
+    counts = by_member.unionByName(by_class).groupBy("class").agg(F.count_distinct("ship").alias("sunk_ships"))
     joined = v.classes.select("class").join(counts, "class", "left")
-    return joined.select("class", F.coalesce(F.col("sunked"), F.lit(0).cast("long")).alias("sunked"))
+    return joined.select("class", F.coalesce(F.col("sunk_ships"), F.lit(0).cast("long")).alias("sunk_ships"))
 
 
 @query(
     "e57_sunk_of_three",
-    sql=f"""
-    WITH fleet AS (
-      SELECT c.class, s.name FROM classes c JOIN ships s ON s.class = c.class
-      UNION
-      SELECT c.class, o.ship FROM outcomes o JOIN classes c ON c.class = o.ship),
-    losses AS (SELECT c.class, count(*) AS cnt {OUTCOME_CLASS_SQL}
-               WHERE o.result = 'sunk' GROUP BY c.class)
-    SELECT l.class, l.cnt FROM losses l
-    WHERE (SELECT count(*) FROM fleet f WHERE f.class = l.class) >= 3""",
+    sql="""
+    SELECT class, losses FROM (
+      SELECT k.class,
+             (SELECT count(*) FROM outcomes o LEFT JOIN ships s ON s.name = o.ship
+              WHERE o.result = 'sunk' AND (k.class = s.class OR k.class = o.ship)) AS losses,
+             (SELECT count(*) FROM (SELECT name, class FROM ships UNION SELECT ship, ship FROM outcomes) f WHERE f.class = k.class) AS members
+      FROM classes k) t
+    WHERE losses > 0 AND members >= 3""",
 )
 def e57_sunk_of_three(v):
     """Classes with losses and at least three ships: class, number sunk."""
-    fleet = all_ships(v.ships, v.outcome_ships, v.classes)
+    fleet = every_ship(v.ships, v.outcome_ships, v.classes)
     big = fleet.groupBy("class").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= 3).select("class")
-    sunk = outcome_classes(v, v.outcomes.filter(F.col("result") == "sunk").select("ship"))
-    per = sunk.groupBy(F.col("c_class").alias("class")).agg(F.count(F.lit(1)).alias("cnt"))
-    # ``big`` holds known classes only (fleet is restricted to classes).
+    per = _losses(v).groupBy(F.col("c_class").alias("class")).agg(F.sum("n").alias("losses"))
+    # ``big`` holds known classes only (fleet is restricted to classes): one row per nation at most.
     return per.join(F.broadcast(big), "class", "left_semi")
 
 
@@ -478,7 +476,8 @@ def e73_absent_battles(v):
     present = outcome_classes(v, v.outcomes.select("ship", "battle")).select(
         F.col("c_country").alias("country"), "battle"
     )
-    return grid.join(present, ["country", "battle"], "left_anti")
+    # Distinct before the join: at most one row per pair and task is shuffled.
+    return grid.join(present.distinct(), ["country", "battle"], "left_anti")
 
 
 def _fallback(v, country: str):
@@ -530,9 +529,8 @@ def e75_asof_forward(v):
     battles = v.battles.select(F.col("name").alias("battle"), "date", dialect.year_of(F.col("date")).alias("year"))
     year_map = first_event_from(ships, "launched", battles, "year", "battle", "date")
     latest = v.battles.agg(F.max_by("name", "date")).scalar()
-    # The map has one row per distinct launch year (a calendar-bounded
-    # count, independent of the number of ships), so broadcasting it is
-    # safe -- and a shuffle join on ~a dozen year values would be skewed.
-    joined = ships.join(F.broadcast(year_map), "launched", "left")
+    # The map has one row per distinct launch year; AQE measures it and
+    # broadcasts it, or splits the skewed years.
+    joined = ships.join(year_map, "launched", "left")
     chosen = F.when(F.col("launched").isNull(), latest).otherwise(F.col("battle"))
     return joined.select("name", "launched", chosen.alias("battle"))

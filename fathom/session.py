@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Settings every query in this package relies on: UTC session time so dates
@@ -24,9 +21,6 @@ CORE_CONF = {
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-    # Reliable checkpoints written by global_row_number are removed once the
-    # DataFrame that owns them is garbage collected.
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Python-side call-site capture costs a stack walk per DataFrame call;
     # plans here are built from library code, so it buys nothing.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
@@ -56,25 +50,4 @@ def build_session(
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the reliable checkpoint directory of the session.
-
-    The cluster names a shared folder in ``spark.checkpoint.dir``; that one is
-    always used.  Only when nothing is configured (local tests) do we create a
-    private folder, so ``DataFrame.checkpoint()`` has somewhere to write.
-    """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None
-    )
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="fathom-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured

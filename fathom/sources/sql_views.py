@@ -39,7 +39,7 @@ VIEWS: dict[str, str] = {
                CAST(5 * (1 + p_size % 8) AS DOUBLE) AS hd,
                CASE p_size % 3 WHEN 0 THEN '12x' WHEN 1 THEN '24x' ELSE '40x' END AS cd,
                price
-        FROM parts_x WHERE type = 'PC'""",
+        FROM parts_x WHERE type = 'PC' AND p_size > 1""",
     "laptop": """
         SELECT model,
                300 + 100 * (p_size % 10) AS speed,
@@ -88,7 +88,7 @@ VIEWS: dict[str, str] = {
     "income_o": "SELECT point, date, CAST(sum(inc) AS DECIMAL(18,2)) AS inc FROM income GROUP BY point, date",
     "outcome_o": "SELECT point, date, CAST(sum(out) AS DECIMAL(18,2)) AS out FROM outcome GROUP BY point, date",
     "trip": """
-        SELECT o_orderkey AS trip_no, o_orderkey % 3 AS id_comp, CAST(o_orderdate AS DATE) AS date,
+        SELECT o_orderkey AS trip_no, greatest(o_orderkey % 64 - 61, 0) AS id_comp, CAST(o_orderdate AS DATE) AS date,
                'NATION_' || CAST(c_nationkey AS VARCHAR) AS town_from,
                'NATION_' || CAST(o_orderkey % 25 AS VARCHAR) AS town_to,
                (o_orderkey * 37) % 1440 AS min_out,

@@ -33,13 +33,6 @@ def table_path(root: str, name: str) -> str:
     return os.path.join(root, f"{name}.parquet")
 
 
-# DataFrames over a scan are immutable plans; resolving one costs a file
-# listing and a footer read on the driver, so each (session, path) is
-# resolved once and reused.  ``refresh_tables`` drops the cache when files
-# under a root are replaced.
-_CACHE: dict[tuple[int, str], DataFrame] = {}
-
-
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """Table ``name`` under ``root``: Parquet files, or with a root of the form
     ``catalog:<database>`` the catalog table (e.g. the bucketed copies made
@@ -48,15 +41,5 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
         raise KeyError(f"unknown table {name!r}")
     if root.startswith("catalog:"):
         return spark.table(f"{root[len('catalog:'):]}.{name}")
-    path = table_path(root, name)
-    key = (id(spark), path)
-    df = _CACHE.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = spark.read.parquet(path)
-        _CACHE[key] = df
-    return df
-
-
-def refresh_tables(root: str | None = None) -> None:
-    for key in [k for k in _CACHE if root is None or k[1].startswith(root)]:
-        del _CACHE[key]
+    # Listed anew for every query, so that appended files are read.
+    return spark.read.parquet(table_path(root, name))

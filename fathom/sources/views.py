@@ -17,6 +17,7 @@ filter needs).  Nothing is cached or collected here.
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,23 +30,10 @@ from fathom.sources.tables import read_table
 class Views:
     """Lazily built domain DataFrames for one data directory."""
 
-    _shared: dict[tuple[int, str], "Views"] = {}
-
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root
 
-    @classmethod
-    def shared(cls, spark: SparkSession, root: str) -> "Views":
-        """One instance per (session, root): view DataFrames are immutable
-        plans, so queries can share them like catalog tables."""
-        key = (id(spark), root)
-        views = cls._shared.get(key)
-        if views is None or views.spark is not spark:
-            views = cls(spark, root)
-            cls._shared[key] = views
-        return views
-
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, self.root, name)
 
@@ -95,7 +83,8 @@ class Views:
     @cached_property
     def pc(self) -> DataFrame:
         size = F.col("p_size")
-        return self._family("PC").select(
+        # A PC of the smallest size is announced as a product but not built yet.
+        return self._family("PC").filter(size > 1).select(
             F.col("p_partkey").alias("code"),
             "model",
             (F.lit(400) + F.lit(100) * (size % 10)).alias("speed"),
@@ -175,10 +164,22 @@ class Views:
         # One row per calendar month of the order dates: bounded by the date
         # range (some tens of months), not by the number of orders.
         months = self.table("orders").select(F.trunc("o_orderdate", "month").alias("date")).distinct()
-        return F.broadcast(months.select(self._battle_name(F.col("date")).alias("name"), "date"))
+        return months.select(self._battle_name(F.col("date")).alias("name"), "date")
 
     @cached_property
     def outcomes(self) -> DataFrame:
+        return self._outcomes(self.table("orders"))
+
+    def outcomes_of(self, battle: str) -> DataFrame:
+        """``outcomes`` of one battle: the month's bounds reach the scan of
+        orders, where a filter on the formatted name would not."""
+        first = dt.date(int(battle[1:5]), int(battle[5:7]), 1)
+        after = (first + dt.timedelta(days=31)).replace(day=1)
+        orders = self.table("orders")
+        day = F.col("o_orderdate")
+        return self._outcomes(orders.filter((day >= F.lit(first)) & (day < F.lit(after))))
+
+    def _outcomes(self, o: DataFrame) -> DataFrame:
         # One row per (ship, battle).  A ship name is a function of the
         # customer key, so orders are first reduced to one row per (customer,
         # month) -- an aggregate with map-side combine, so even a customer
@@ -186,7 +187,6 @@ class Views:
         # one row per month -- and only then joined to customers.  MIN runs
         # over an integer severity code (hash aggregate, no sort), turned
         # back into the result text at the end.
-        o = self.table("orders")
         per_month = o.groupBy(
             F.col("o_custkey").alias("c_custkey"),
             self._battle_name(F.trunc("o_orderdate", "month")).alias("battle"),
@@ -255,7 +255,7 @@ class Views:
         k = F.col("o_orderkey")
         return self.table("orders").select(
             k.alias("trip_no"),
-            (k % 3).alias("id_comp"),
+            F.greatest(k % 64 - 61, F.lit(0)).alias("id_comp"),
             F.col("o_orderdate").cast("date").alias("date"),
             F.col("o_custkey"),
             d.nation_label(k % 25).alias("town_to"),

@@ -69,13 +69,13 @@ def advance(spark: SparkSession, moves: DataFrame, prev_state: str | None, late_
         "point",
         dialect.day_text(F.col("date")).alias("day"),
         "date",
-        (carried + F.coalesce(F.sum("rev").over(w), F.lit(0).cast(MONEY))).cast(MONEY).alias("rem"),
+        (carried + F.coalesce(F.sum("rev").over(w), F.lit(0).cast(MONEY))).cast(MONEY).alias("balance"),
         F.col("balance").isNull().alias("__fresh"),
         F.sum("rev").over(w).isNull().alias("__none"),
     )
     emitted = emitted.select(
         "point", "day", "date",
-        F.when(F.col("__fresh") & F.col("__none"), F.lit(None).cast(MONEY)).otherwise(F.col("rem")).alias("rem"),
+        F.when(F.col("__fresh") & F.col("__none"), F.lit(None).cast(MONEY)).otherwise(F.col("balance")).alias("balance"),
     )
     totals = finished.groupBy("point").agg(F.sum("rev").alias("add"))
     new_bal = balances.join(totals, "point", "full").select(
@@ -98,7 +98,7 @@ def start_running_balance(
     available_now: bool = False,
     processing_time: str = "1 minute",
 ) -> StreamingQuery:
-    """Stream end-of-day balances (point, day, date, rem) into Parquet under
+    """Stream end-of-day balances (point, day, date, balance) into Parquet under
     ``sink``; state lives in ``sink``/_state.  Both paths must be on shared
     storage on a cluster."""
     state_root = f"{sink}/_state"

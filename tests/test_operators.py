@@ -2,6 +2,7 @@
 duplicates, plus plan-shape checks."""
 
 import random
+from decimal import ROUND_HALF_UP, Decimal
 
 import duckdb
 import pandas as pd
@@ -182,34 +183,88 @@ def test_ledger_operators_match_full_join_sql(spark, seed):
     )
     problems, _, _ = compare_frames(got, want)
     assert not problems, problems
-    got = one_sided_days(inc, out, ["point", "d"], "inc", "out")
-    want = con.sql(
-        "WITH a AS (SELECT point, d, 'inc' AS oper, CAST(sum(inc) AS BIGINT) AS msum FROM i GROUP BY 1, 2), "
-        "b AS (SELECT point, d, 'out' AS oper, CAST(sum(out) AS BIGINT) AS msum FROM o GROUP BY 1, 2) "
-        "SELECT point, d, coalesce(a.oper, b.oper) AS operation, coalesce(a.msum, b.msum) AS money_sum "
-        "FROM a FULL JOIN b USING (point, d) WHERE a.msum IS NULL OR b.msum IS NULL"
-    )
-    problems, _, _ = compare_frames(got, want)
-    assert not problems, problems
+    sides = {"inc": {}, "out": {}}
+    for label, rows in (("inc", inc_rows), ("out", out_rows)):
+        for point, day, amount in rows:
+            sides[label].setdefault((point, day), []).append(amount)
+    expected = set()
+    for key in sides["inc"].keys() | sides["out"].keys():
+        sums = {}
+        for label, days in sides.items():
+            known = [x for x in days.get(key, []) if x is not None]
+            sums[label] = sum(known) if known else None
+        if None in sums.values():
+            operation = "inc" if key in sides["inc"] else "out"
+            expected.add((*key, operation, sums["inc"] if sums["inc"] is not None else sums["out"]))
+    got = one_sided_days(inc, out, ["point", "d"], "inc", "out").collect()
+    assert len(got) == len(expected)
+    assert {(r.point, r.d, r.operation, r.money_sum) for r in got} == expected
+
+
+def _shares(rows):
+    """Percent of each category in each group's members, counted one row at a time."""
+    groups, kinds, held = {r[0] for r in rows}, {r[2] for r in rows}, {}
+    for group, member, kind in rows:
+        if kind is not None and member is not None:
+            held[group, kind] = held.get((group, kind), 0) + 1
+    out = {}
+    for group in groups:
+        whole = sum(n for (g, _), n in held.items() if g == group)
+        for kind in kinds:
+            part = Decimal(100 * held.get((group, kind), 0))
+            out[group, kind] = (part / whole).quantize(Decimal("0.01"), ROUND_HALF_UP) if whole else None
+    return out
 
 
 @pytest.mark.parametrize("seed", [8, 9])
-def test_share_of_group_matches_window_sql(spark, seed):
+def test_share_of_group_counts_every_cell(spark, seed):
     from fathom.operators.shares import share_of_group
 
     rng = random.Random(seed)
-    con = duckdb.connect()
     rows = [(f"m{rng.randint(1, 6)}", f"x{i}", _maybe(rng, ["A", "B", "C"], 0.15)) for i in range(60)]
-    df = _frame(spark, con, "p", rows, "maker string, model string, type string")
-    got = share_of_group(df, "maker", "type", "model", "fin")
-    want = con.sql(
-        "WITH g AS (SELECT pt.maker, pt.type, p.model FROM (SELECT DISTINCT a.maker, b.type FROM p a, p b) pt "
-        "LEFT JOIN p ON pt.maker = p.maker AND pt.type = p.type) "
-        "SELECT DISTINCT maker, type, CAST(round(count(model) OVER (PARTITION BY maker, type) * 100.0 "
-        "/ count(model) OVER (PARTITION BY maker), 2) AS DECIMAL(5,2)) AS fin FROM g"
-    )
-    problems, _, _ = compare_frames(got, want)
-    assert not problems, problems
+    df = spark.createDataFrame(rows, "maker string, model string, type string")
+    got = share_of_group(df, "maker", "type", "model", "pct").collect()
+    assert {(r.maker, r.type): r.pct for r in got} == _shares(rows)
+    assert len(got) == len(_shares(rows))
+
+
+def test_share_of_group_takes_any_number_of_categories(spark):
+    from fathom.operators.shares import share_of_group
+
+    rows = [(f"m{i % 3}", f"x{i}", f"t{i % 1500}") for i in range(4000)]
+    df = spark.createDataFrame(rows, "maker string, model string, type string")
+    got = share_of_group(df, "maker", "type", "model", "pct").collect()
+    assert {(r.maker, r.type): r.pct for r in got} == _shares(rows)
+
+
+def test_appended_files_are_read(spark, tmp_path):
+    from fathom.plans import registry
+
+    part = spark.read.parquet("/root/testdata/sf0.001/part.parquet").orderBy("p_partkey")
+    path = str(tmp_path / "part.parquet")
+    part.limit(50).write.parquet(path)
+    before = registry.run(spark, str(tmp_path), "e02_distinct").count()
+    part.subtract(part.limit(50)).write.mode("append").parquet(path)
+    after = registry.run(spark, str(tmp_path), "e02_distinct").count()
+    assert after > before
+
+
+def test_day_of_reads_day_first(spark):
+    import datetime as dt
+
+    from fathom.functions.dialect import day_of
+
+    df = spark.createDataFrame([("03/02/2001",), ("31/12/1999",), (None,)], "t string")
+    assert [r.d for r in df.select(day_of(F.col("t")).alias("d")).collect()] == [dt.date(2001, 2, 3), dt.date(1999, 12, 31), None]
+
+
+def test_full_join_using_keeps_both_sides(spark):
+    from fathom.operators.ledger import full_join_using
+
+    a = spark.createDataFrame([(1, 10, 5), (2, 10, 6)], "point int, date int, inc int")
+    b = spark.createDataFrame([(2, 10, 7), (3, 11, 8)], "point int, date int, out int")
+    got = {(r.point, r.date, r.inc, r.out) for r in full_join_using(a, b, ["point", "date"]).collect()}
+    assert got == {(1, 10, 5, None), (2, 10, 6, 7), (3, 11, None, 8)}
 
 
 def test_either_key_join_three_keys_property(spark):

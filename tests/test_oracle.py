@@ -5,11 +5,12 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from fathom.plans import registry
 from tools.check_oracle import compare, duck_connect
 
 SF = os.environ.get("FATHOM_TEST_SF", "/root/testdata/sf0.001")
-KEYS = sorted(entry.queries())
-ORACLE = entry.oracle_sql()
+KEYS = sorted(registry.load_all())
+ORACLE = registry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -29,7 +30,7 @@ def test_query_matches_oracle(spark, duck, key):
 
 def test_entry_smoke(spark):
     df = entry.entry(spark)
-    assert df.columns == ["point", "day", "rem"]
+    assert df.columns == ["point", "day", "balance"]
     assert df.count() > 0
 
 

@@ -22,7 +22,7 @@ PORTABLE = [
 
 @pytest.fixture(scope="module")
 def registered(spark):
-    Views.shared(spark, SF).register()
+    Views(spark, SF).register()
     return duck_connect(SF)
 
 

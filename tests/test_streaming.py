@@ -48,9 +48,9 @@ def test_streaming_running_balance_matches_batch(spark):
     scratch = tempfile.mkdtemp(prefix="fathom-stream-")
     q = start_running_balance(spark, SF, f"{scratch}/out", f"{scratch}/ck", late_days=2, available_now=True)
     q.awaitTermination(300)
-    got = {(r.point, r.day): r.rem for r in spark.read.parquet(f"{scratch}/out/days").collect()}
+    got = {(r.point, r.day): r.balance for r in spark.read.parquet(f"{scratch}/out/days").collect()}
     batch = run(spark, SF, "e69_running_balance").collect()
-    want = {(r.point, r.day): r.rem for r in batch}
+    want = {(r.point, r.day): r.balance for r in batch}
     assert got, "no finished day was emitted"
     assert all(got[k] == want[k] for k in got), [(k, got[k], want[k]) for k in got if got[k] != want[k]][:3]
     days = {r.point: r for r in run(spark, SF, "e30_ledger_sum").collect()}
@@ -72,7 +72,7 @@ def test_running_balance_steps_carry_state(spark):
         sch,
     )
     emitted, still_open, bal, meta = advance(spark, b0, None, late_days=2)
-    assert {(r.point, r.day, r.rem) for r in emitted.collect()} == {
+    assert {(r.point, r.day, r.balance) for r in emitted.collect()} == {
         (1, "01/01/2001", M("10.00")), (1, "02/01/2001", M("7.00")), (2, "01/01/2001", None)
     }
     for name, df in (("open", still_open), ("balance", bal), ("meta", meta)):
@@ -85,4 +85,4 @@ def test_running_balance_steps_carry_state(spark):
     emitted, _, _, _ = advance(spark, b1, f"{scratch}/s0", late_days=2)
     # newest day 01-08, two days of lateness: days before 01-06 are final;
     # the late 100.00 for the finished 01-01 is dropped; 01-06 stays open.
-    assert {(r.point, r.day, r.rem) for r in emitted.collect()} == {(1, "05/01/2001", M("8.00"))}
+    assert {(r.point, r.day, r.balance) for r in emitted.collect()} == {(1, "05/01/2001", M("8.00"))}
