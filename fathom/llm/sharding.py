@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from fathom.llm.common import cut, hash128, pick
 
 #: Rounds of propagation at most.
-ROUNDS = 4
+ROUNDS = 6
 #: Parts into which every running count is split, so that none is one task's work.
 SALTS = 256
 #: Rows that a part of a shard's room has at least, if the room has them.
@@ -49,46 +49,68 @@ def _loads(state: DataFrame, shards: int) -> list[int]:
     return [found.get(s, 0) for s in range(shards)]
 
 
+def flows(asked: dict[tuple[int, int], int], room: list[int]) -> dict[tuple[int, int], int]:
+    """How many rows may move from shard to shard: as many as asked, but no shard gains more than its room.
+
+    Moves out of a shard make room in it.  Where more come in than go out and
+    there is room for, all of its incoming flows are cut in proportion, again
+    and again, until no shard is over.
+    """
+    flow = {pair: float(n) for pair, n in asked.items()}
+    for _ in range(200):
+        over = False
+        for s, free in enumerate(room):
+            into = sum(n for (_, to), n in flow.items() if to == s)
+            out = sum(n for (come, _), n in flow.items() if come == s)
+            if into > max(0.0, free + out) + 0.5:
+                over, share = True, max(0.0, free + out) / into
+                flow = {pair: n * share if pair[1] == s else n for pair, n in flow.items()}
+        if not over:
+            break
+    return {pair: int(n) for pair, n in flow.items()}
+
+
 def propagate(state: DataFrame, quota: list[int], rounds: int = ROUNDS) -> DataFrame:
     """Move linked rows towards the shard that holds most of their group.
 
     ``state`` has (g1, g2, shard, n): n linked rows of a group in a shard.
     Rows of a group are linked with each other and otherwise alike, so only
-    their counts move.  In a round every group names the shard, among those
-    with room, where it has most rows; the rows it has in shards with fewer
-    ask to move there; each shard admits as many as its room allows, split by
-    salt, and a group may move in part.  So loads never pass ``quota`` by a
-    move.  Each round is a join and an aggregate, written to the shared
-    folder; it ends early when nothing asked to move.
+    their counts move.  In a round every group names the shard where it has
+    most rows, and the rows it has elsewhere ask to move there.  How many may
+    go from shard to shard is settled on the sums (``flows``: a number for
+    each pair of shards) so that gains stay within ``quota``; each pair's
+    number is split by salt, and the largest pieces go first, in part if need
+    be.  A round is a join and two aggregates, written to the shared folder;
+    it ends early when nothing may move.
     """
     shards = len(quota)
+    weight = F.struct("n", F.xxhash64("g1", "shard").alias("tie"), "shard")
     for _ in range(rounds):
-        loads = _loads(state, shards)
-        room = [max(0, q - x) for q, x in zip(quota, loads)]
-        weight = F.struct("n", F.xxhash64("g1", "shard").alias("tie"), "shard")
-        target = (
-            state.filter(_by_shard(room, F.col("shard")) > 0)
-            .groupBy("g1", "g2")
-            .agg(F.max(weight).alias("to"))
-        )
-        asked = (
+        room = [q - x for q, x in zip(quota, _loads(state, shards))]
+        target = state.groupBy("g1", "g2").agg(F.max(weight).alias("to"))
+        asked = cut(
             state.join(target, ["g1", "g2"])
             .filter(weight < F.col("to"))
-            .select("g1", "g2", F.col("shard").alias("from"), F.col("to.shard").alias("to"), "n")
+            .select("g1", "g2", F.col("shard").alias("from"), F.col("to.shard").alias("to"), "n"),
+            "shard-asked",
         )
-        # A shard's room in as many parts as leave ROOM rows to each.
-        share, cuts = _by_shard(room, F.col("to")), _by_shard([max(1, min(SALTS, r // ROOM)) for r in room], F.col("to"))
-        asked = asked.withColumn("salt", F.pmod(F.xxhash64(F.lit(5), "g1", "g2"), cuts))
+        sums = {(r["from"], r.to): r.n for r in asked.groupBy("from", "to").agg(F.sum("n").alias("n")).collect()}
+        flow = flows(sums, room)
+        if not any(flow.values()):
+            break
+        table = [flow.get((a, b), 0) for a in range(shards) for b in range(shards)]
+        pair = (F.col("from") * shards + F.col("to")).cast("int")
+        # A pair's flow in as many parts as leave ROOM rows to each.
+        share, cuts = _by_shard(table, pair), _by_shard([max(1, min(SALTS, n // ROOM)) for n in table], pair)
+        salted = asked.withColumn("salt", F.pmod(F.xxhash64(F.lit(5), "g1", "g2"), cuts))
         part = F.floor(share * (F.col("salt") + 1) / cuts) - F.floor(share * F.col("salt") / cuts)
         before = F.sum("n").over(
-            Window.partitionBy("to", "salt")
-            .orderBy(F.col("n").desc(), "g1", "g2", "from")
+            Window.partitionBy("from", "to", "salt")
+            .orderBy(F.col("n").desc(), "g1", "g2")
             .rowsBetween(Window.unboundedPreceding, -1)
         )
         admitted = F.greatest(F.lit(0), F.least(F.col("n"), part - F.coalesce(before, F.lit(0)))).cast("long")
-        moves = cut(asked.withColumn("moved", admitted).filter("moved > 0"), "shard-moves")
-        if moves.isEmpty():
-            break
+        moves = salted.withColumn("moved", admitted).filter("moved > 0")
         change = moves.select("g1", "g2", F.inline(F.array(
             F.struct(F.col("from").alias("shard"), (-F.col("moved")).alias("n")),
             F.struct(F.col("to").alias("shard"), F.col("moved").alias("n")),
