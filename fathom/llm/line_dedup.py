@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fathom.llm.common import BLANKS, ascii_lower, hash128, new_folder, pick
+from fathom.llm.common import BLANKS, ascii_lower, cut, hash128, new_folder, pick
 
 MIN_CHARS, MIN_DOCS = 20, 3
 #: Batches of documents that are added one after the other, and runs of a
@@ -90,7 +90,8 @@ def dropped_lines(
     runs = LineRuns(spark)
     for b in range(batches):
         runs.add(keys.filter(F.col("batch") == b))
-    common = runs.rows().filter(F.col("n_docs") >= min_docs).select("k1", "k2", "keeper")
+    # Written, so that the join shuffles both sides for itself and a line of very many documents can be split.
+    common = cut(runs.rows().filter(F.col("n_docs") >= min_docs).select("k1", "k2", "keeper"), "line-common")
     lost = keys.join(common, ["k1", "k2"]).filter(F.col("doc_id") < F.col("keeper"))
     return lost.groupBy("doc_id", "row").agg(F.collect_set("pos").alias("drop"))
 
