@@ -5,7 +5,6 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -17,7 +16,7 @@ from fathom.llm.chunks import BYTE_LEVEL, by_bytes, default_path, distinct_chunk
 from fathom.llm.common import pick
 
 #: Words that a task remembers before it starts anew, and bytes of text handled at once.
-REMEMBERED, SLICE = 500_000, 6 << 20
+REMEMBERED, SLICE = 700_000, 4 << 20
 #: A merge is stored as first id << 16 | rank, so ids must be below 2^16; NO_MERGE is above all merges.
 IDS, NO_MERGE = 1 << 16, 1 << 40
 
@@ -91,15 +90,10 @@ def merged(symbols: Column, path: str) -> Column:
         def merge(ranks: Column) -> Column:
             def found(least: Column) -> Column:
                 def put(at: Column) -> Column:
-                    one = F.transform(
-                        word,
-                        lambda x, i: F.when(i < at - 1, x).when(i == at, F.lit(None)).when(i > at, x).otherwise(
-                            least.cast("int")
-                        ),
-                    )
-                    return F.filter(one, lambda x: x.isNotNull())
+                    put_at = lambda x, i: F.when(i < at, x).when(i == at, least.cast("int")).when(i > at + 1, x)
+                    return F.filter(F.transform(word, put_at), lambda x: x.isNotNull())
 
-                return F.when(least < IDS, _let(F.array_position(ranks, least).cast("int"), put)).otherwise(word)
+                return F.when(least < IDS, _let((F.array_position(ranks, least) - 1).cast("int"), put)).otherwise(word)
 
             return _let(F.coalesce(F.array_min(ranks), F.lit(NO_MERGE)), found)
 
@@ -108,18 +102,6 @@ def merged(symbols: Column, path: str) -> Column:
     return F.aggregate(F.sequence(F.lit(2), F.greatest(F.lit(2), F.size(symbols))), symbols, step)
 
 
-@dataclass
-class Split:
-    """Texts as distinct words: text i has the chunks index[offsets[i]:offsets[i + 1]], chunk j the
-    words of[ends[j - 1]:ends[j]]."""
-
-    words: list[str]
-    of: np.ndarray
-    ends: np.ndarray
-    index: np.ndarray
-    offsets: np.ndarray
-
-
 class Words:
     """The pattern's matches in texts, found once in each distinct chunk."""
 
@@ -128,7 +110,8 @@ class Words:
 
         self.find = regex.compile(pattern).findall
 
-    def __call__(self, texts: pa.Array) -> Split:
+    def __call__(self, texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """(words, index, offsets): distinct words, each text's words as indices, where a text begins."""
         chunks, index, offsets = distinct_chunks(texts, BYTE_LEVEL)
         heads = chunks.take(pa.array(index[offsets[:-1]])).to_pylist()
         # All chunks in one string, as none's matches reach into the next one; those that are
@@ -142,7 +125,10 @@ class Words:
         index = index.copy()
         index[offsets[:-1]] = len(parts) + np.arange(len(heads))
         coded = pa.array([*found, *[w for f in firsts for w in f]], pa.string()).dictionary_encode()
-        return Split(coded.dictionary.to_pylist(), coded.indices.to_numpy(), ends, index, offsets)
+        sizes = np.diff(ends, prepend=0)
+        of_chunk = sizes[index]
+        words = coded.indices.to_numpy()[ragged((ends - sizes)[index], of_chunk)]
+        return coded.dictionary.to_pylist(), words, np.concatenate([[0], np.cumsum(of_chunk)])[offsets]
 
 
 def encode(docs: DataFrame, path: str | None = None, pattern: str | None = None) -> DataFrame:
@@ -151,9 +137,10 @@ def encode(docs: DataFrame, path: str | None = None, pattern: str | None = None)
     ids are those of ``tiktoken`` for the rank file: every match of the
     pattern on its own, no special tokens.  In one pass over the scan, without
     a shuffle: a task names each distinct word of its documents ahead of them,
-    Spark folds the merges over the words' bytes (``merged``), and the task
-    puts the documents together from the words' ids.  Words that are tokens
-    need no merge.  ``decoded`` joins the ids' byte strings again.
+    and the documents as numbers of words; Spark folds the merges over the
+    words' bytes (``merged``), and the task puts the documents together from
+    the words' ids.  Words that are tokens need no merge.  ``decoded`` joins
+    the ids' byte strings again.
 
     Null texts count as empty: no ids.  Null doc_ids and repeated rows are
     documents like any other.  An empty table gives no rows; further columns
@@ -165,81 +152,69 @@ def encode(docs: DataFrame, path: str | None = None, pattern: str | None = None)
     pattern = pattern or public_tokenizers.PATTERN
     spec = docs.sparkSession.sparkContext.broadcast(read_ranks(path))
     arrow = pa.schema([
-        ("doc_id", pa.int64()), ("text", pa.string()), ("word", pa.binary()), ("symbols", pa.list_(pa.int32())),
+        ("doc_id", pa.int64()), ("words", pa.binary()), ("first", pa.bool_()), ("symbols", pa.list_(pa.int32())),
     ])
 
     def name_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks, find, seen = spec.value, Words(pattern), set()
+        ranks, find, number = spec.value, Words(pattern), {}
         byte_id = np.array([ranks[bytes((b,))] for b in range(256)], np.int32)
         for whole in batches:
             for batch in by_bytes(whole, 1, SLICE):
-                if len(seen) > REMEMBERED:
-                    seen = set()
-                # A first row without a word: the words before it are not needed any more.
-                words = [] if seen else [b""]
-                new = set(find(batch.column(1)).words).difference(seen)
-                seen |= new
-                words += [w for w in map(str.encode, new) if w not in ranks]
-                symbols = pa.array(byte_id[np.frombuffer(b"".join(words), np.uint8)])
-                starts = pa.array(np.cumsum([0, *map(len, words)]), pa.int32())
+                if len(number) > REMEMBERED:
+                    number = {}
+                first = len(number)
+                words, index, offsets = find(batch.column(1))
+                new = [w.encode() for w in words if number.setdefault(w, len(number)) >= first]
+                symbols = [(t,) if (t := ranks.get(w)) is not None else byte_id[np.frombuffer(w, np.uint8)] for w in new]
+                # The first of all words of this task, or after it forgot, says so.
                 yield pa.RecordBatch.from_arrays(
-                    [pa.nulls(len(words), pa.int64()), pa.nulls(len(words), pa.string()), pa.array(words, pa.binary()),
-                     pa.ListArray.from_arrays(starts, symbols)],
+                    [pa.nulls(len(new), pa.int64()), pa.nulls(len(new), pa.binary()),
+                     pa.array([first + i == 0 for i in range(len(new))], pa.bool_()),
+                     pa.ListArray.from_arrays(
+                         pa.array(np.cumsum([0, *map(len, symbols)]), pa.int32()),
+                         pa.array(np.concatenate(symbols or [()]).astype(np.int32)))],
                     schema=arrow,
                 )
-                n = batch.num_rows
+                known = np.array([number[w] for w in words], "<i4")[index]
+                ends = offsets.tolist()
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), batch.column(1).fill_null(""), pa.nulls(n, pa.binary()),
-                     pa.nulls(n, pa.list_(pa.int32()))],
+                    [batch.column(0), pa.array([known[a:b].tobytes() for a, b in zip(ends, ends[1:])], pa.binary()),
+                     pa.nulls(batch.num_rows, pa.bool_()), pa.nulls(batch.num_rows, pa.list_(pa.int32()))],
                     schema=arrow,
                 )
 
     def put_together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks, find = spec.value, Words(pattern)
-        tokens = {rank: token for token, rank in ranks.items()}
-        known = whole = {t: np.array([r], "<u4").tobytes() for t, r in ranks.items()}
+        tokens = {rank: token for token, rank in spec.value.items()}
+        flat, ends = np.zeros(0, np.int32), np.zeros(0, np.int64)
         for batch in batches:
             is_doc = batch.column(1).is_valid().to_numpy(zero_copy_only=False)
             turns = np.concatenate([[0], np.flatnonzero(np.diff(is_doc)) + 1, [len(is_doc)]])
             for a, b in zip(turns[:-1].tolist(), turns[1:].tolist()):
                 rows = batch.slice(a, b - a)
-                if a < b and not is_doc[a]:
-                    ids = rows.column(3)
-                    flat = ids.flatten().to_numpy(zero_copy_only=False).astype("<u4").tobytes()
-                    ends = np.cumsum(np.where(ids.is_valid(), ids.value_lengths().fill_null(0), 0)).tolist()
-                    start = 0
-                    for word, end in zip(rows.column(2).to_pylist(), ends):
-                        if word:
-                            known[word] = flat[4 * start : 4 * end]
-                        else:
-                            known = dict(whole)
-                        start = end
-                elif a < b:
+                if a < b and is_doc[a]:
                     for part in by_bytes(rows, 1, SLICE):
-                        yield documents(part, find, known, tokens)
-
-    def documents(rows: pa.RecordBatch, find: Words, known: dict, tokens: dict) -> pa.RecordBatch:
-        split = find(rows.column(1))
-        packed = [known[w] for w in map(str.encode, split.words)]
-        sizes = np.array([len(p) for p in packed], np.int64) // 4
-        flat = np.frombuffer(b"".join(packed), "<u4")
-        per_chunk = np.diff(split.ends, prepend=0)
-        of_text = per_chunk[split.index]
-        word = split.of[ragged((split.ends - per_chunk)[split.index], of_text)]
-        ids = flat[ragged((np.cumsum(sizes) - sizes)[word], sizes[word])]
-        words_before = np.concatenate([[0], np.cumsum(of_text)])[split.offsets]
-        ends = np.concatenate([[0], np.cumsum(sizes[word])])[words_before]
-        own = [ids[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
-        return pa.RecordBatch.from_arrays(
-            [rows.column(0), pa.array([x.tobytes() for x in own], pa.binary()), pa.array(np.diff(ends)),
-             pa.array([b"".join([tokens[i] for i in x.tolist()]) for x in own], pa.binary())],
-            ["doc_id", "ids", "n_tokens", "decoded"],
-        )
+                        yield documents(part, flat, ends, tokens)
+                elif a < b:
+                    if rows.column(2)[0].as_py():
+                        flat, ends = flat[:0], ends[:0]
+                    ids = rows.column(3)
+                    ends = np.concatenate([ends, len(flat) + np.cumsum(ids.value_lengths().to_numpy(), dtype=np.int64)])
+                    flat = np.concatenate([flat, ids.flatten().to_numpy()])
+
+    def documents(rows: pa.RecordBatch, flat: np.ndarray, ends: np.ndarray, tokens: dict) -> pa.RecordBatch:
+        out = []
+        for doc_id, packed in zip(rows.column(0).to_pylist(), rows.column(1)):
+            word = np.frombuffer(packed.as_buffer(), "<i4")
+            sizes = ends[word] - np.where(word > 0, ends[word - 1], 0)
+            ids = flat[ragged(ends[word] - sizes, sizes)]
+            out.append((doc_id, ids.astype("<u4").tobytes(), len(ids), b"".join([tokens[i] for i in ids.tolist()])))
+        kinds = [("doc_id", pa.int64()), ("ids", pa.binary()), ("n_tokens", pa.int64()), ("decoded", pa.binary())]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*out), kinds)], [n for n, _ in kinds])
 
     named = pick(docs, doc_id="long", text="string").mapInArrow(
-        name_words, "doc_id long, text string, word binary, symbols array<int>"
+        name_words, "doc_id long, words binary, first boolean, symbols array<int>"
     )
     ids = F.when(F.col("symbols").isNotNull(), merged(F.col("symbols"), path))
-    return named.select("doc_id", "text", "word", ids.alias("ids")).mapInArrow(
+    return named.select("doc_id", "words", "first", ids.alias("ids")).mapInArrow(
         put_together, "doc_id long, ids binary, n_tokens long, decoded binary"
     )
