@@ -57,10 +57,10 @@ def main(argv=None) -> int:
     ap.add_argument("--sf", default="/root/testdata/sf0.01")
     ap.add_argument("--out", default=os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "PLANS.md"))
     args = ap.parse_args(argv)
-    import __spark_entry__ as entry
+    from fathom.plans import registry
 
     spark = build_session("local[8]", 8)
-    qs = entry.queries()
+    qs = registry.spark_queries()
     rows = []
     for key, fn in qs.items():
         default = shape(fn(spark, args.sf))
