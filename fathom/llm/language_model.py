@@ -56,6 +56,7 @@ class Block:
         coded = flat.filter(real).dictionary_encode()
         hashes = [xxhash.xxh3_64_intdigest(w.encode()) for w in coded.dictionary.to_pylist()]
         self.key, place = np.unique(np.array([END, BEGIN, *hashes], np.uint64), return_inverse=True)
+        place = place.astype(np.int32)
         end, begin = int(place[0]), int(place[1])
         ends = np.cumsum(counts)
         self.starts = ends - counts + np.arange(len(counts))
@@ -64,22 +65,32 @@ class Block:
         self.before = np.empty_like(self.word)
         self.before[1:] = self.word[:-1]
         self.before[self.starts] = begin
-        both, self.pair = np.unique(self.before * len(self.key) + self.word, return_inverse=True)
-        self.first, self.second = both // len(self.key), both % len(self.key)
+        both, pair = np.unique(self.before.astype(np.int64) * len(self.key) + self.word, return_inverse=True)
+        self.pair = pair.astype(np.int32)
+        self.first, self.second = (x.astype(np.int32) for x in np.divmod(both, len(self.key)))
+        del both, pair
         of_token = np.repeat(learned, self.sizes)
-        self.pair_count = np.bincount(self.pair, of_token, len(both)).astype(np.int64)
+        self.pair_count = np.bincount(self.pair, of_token, len(self.first)).astype(np.int64)
         self.word_count = np.bincount(self.word, of_token, len(self.key)).astype(np.int64)
         self.word_count[begin] = learned.sum()
 
     def word_parts(self, parts: int) -> tuple[np.ndarray, np.ndarray]:
         """(order, part): the words by part, by key within a part."""
-        part = (self.key % np.uint64(parts)).astype(np.int64)
+        part = (self.key % np.uint64(parts)).astype(np.int32)
         order = np.argsort(part, kind="stable")
         return order, part[order]
 
     def pair_parts(self, parts: int) -> tuple[np.ndarray, np.ndarray]:
-        """(order, part): the pairs by part, by keys within a part; a frequent word's pairs are in all parts."""
-        part = (_mixed(self.key[self.first], self.key[self.second]) % np.uint64(parts)).astype(np.int64)
+        """(order, part): the pairs by part, by keys within a part.
+
+        The pairs of a first word are dealt by their second word over an eighth
+        of all parts: few enough that the first word is not repeated in each,
+        enough that a frequent word's pairs are no part's burden.
+        """
+        spread = max(1, parts // 8)
+        second = _mixed(self.key[self.second], self.key[self.second]) % np.uint64(spread)
+        at = self.key[self.first] % np.uint64(parts) + second * np.uint64(parts // spread)
+        part = (at % np.uint64(parts)).astype(np.int32)
         order = np.argsort(part, kind="stable")
         return order, part[order]
 
@@ -287,9 +298,10 @@ def score(docs: DataFrame, learn: Column, how: Smoothing = Smoothing()) -> DataF
     blocks, parts = max(1, ceil(size / BLOCK_BYTES)), max(1, ceil(size / PART_BYTES))
     block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks))
     rows = rows.select(block.alias("block"), "doc_id", "text", F.coalesce(learn, F.lit(False)).alias("learned"))
+    rows = rows.mapInArrow(_deal, "block long, documents binary")
 
     def tell(table: pa.Table) -> pa.Table:
-        return gather(table.column("block")[0].as_py(), _block(table), parts)
+        return gather(table.column("block")[0].as_py(), _block(_documents(table)), parts)
 
     def add_pairs(table: pa.Table) -> pa.Table:
         return sum_pairs(table, parts, how)
@@ -310,6 +322,7 @@ def score(docs: DataFrame, learn: Column, how: Smoothing = Smoothing()) -> DataF
     answers = answers.crossJoin(F.broadcast(totals))  # one row
 
     def read(texts: pa.Table, answered: pa.Table) -> pa.Table:
+        texts = _documents(texts)
         found = _block(texts)
         tokens, n_words = (answered.column(n)[0].as_py() for n in ("tokens", "words"))
         automaton = Automaton(found, answered, parts, tokens, n_words, how)
@@ -331,5 +344,28 @@ def score(docs: DataFrame, learn: Column, how: Smoothing = Smoothing()) -> DataF
     )
 
 
+def _deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The documents of each block in a batch as one compressed value: half of what is shuffled otherwise."""
+    how = pa.ipc.IpcWriteOptions(compression="zstd")
+    for batch in batches:
+        blocks = batch.column(0).to_numpy()
+        order = np.argsort(blocks, kind="stable")
+        out = []
+        for block, a, b in _runs(blocks[order]):
+            sink = pa.BufferOutputStream()
+            part = batch.take(pa.array(order[a:b]))
+            with pa.ipc.new_stream(sink, part.schema, options=how) as writer:
+                writer.write_batch(part)
+            out.append((block, sink.getvalue().to_pybytes()))
+        if out:
+            block, documents = zip(*out)
+            yield pa.RecordBatch.from_arrays([pa.array(block, pa.int64()), pa.array(documents, pa.binary())], ["block", "documents"])
+
+
+def _documents(table: pa.Table) -> pa.Table:
+    """The documents of a block; their order doesn't matter."""
+    return pa.concat_tables([pa.ipc.open_stream(d.as_buffer()).read_all() for d in table.column("documents")])
+
+
 def _block(table: pa.Table) -> Block:
     return Block(table.column("text").combine_chunks(), table.column("learned").to_numpy().astype(bool))
