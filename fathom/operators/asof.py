@@ -21,8 +21,10 @@ def first_event_from(probes: DataFrame, probe_key: str, events: DataFrame, event
     keys with no event at or after them map to NULL.  Returns
     (probe_key, event_value).
 
-    Input sizes for the ordered window are the number of distinct keys on
-    each side (years here), not the number of rows of either table.
+    The ordered window is one task over the distinct keys of both sides, so
+    the operator is for keys of a bounded domain such as years: the caller
+    answers for that bound.  Days or ids need a bucket of the key as a
+    partition first.
     """
     first_per_key = events.groupBy(F.col(event_key).alias("__k")).agg(
         F.min_by(event_value, order).alias("__v")

@@ -40,7 +40,7 @@ def one_sided_days(inc: DataFrame, out: DataFrame, keys: list[str], inc_col: str
     aggregate: a single shuffle instead of two aggregates and a join.  The
     keys are the ledger's primary key (never NULL), where grouping and the
     join's key equality agree.
-    Returns (keys, operation, money_sum).
+    Returns (keys, side, amount).
     """
     both = inc.select(*keys, F.col(inc_col).alias("__amt"), F.lit(True).alias("__is_inc")).unionByName(
         out.select(*keys, F.col(out_col).alias("__amt"), F.lit(False).alias("__is_inc"))
@@ -53,6 +53,6 @@ def one_sided_days(inc: DataFrame, out: DataFrame, keys: list[str], inc_col: str
     )
     return daily.filter(F.col("__inc").isNull() | F.col("__out").isNull()).select(
         *keys,
-        F.when(F.col("__has_inc") == 1, F.lit("inc")).when(F.col("__has_out") == 1, F.lit("out")).alias("operation"),
-        F.coalesce(F.col("__inc"), F.col("__out")).alias("money_sum"),
+        F.when(F.col("__has_inc") == 1, F.lit("inc")).when(F.col("__has_out") == 1, F.lit("out")).alias("side"),
+        F.coalesce(F.col("__inc"), F.col("__out")).alias("amount"),
     )

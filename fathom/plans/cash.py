@@ -140,15 +140,15 @@ def e62_total_before(v):
     WITH day_in AS (SELECT point, date, true AS present, sum(inc) AS total FROM income GROUP BY point, date),
          day_out AS (SELECT point, date, sum(out) AS total FROM outcome GROUP BY point, date)
     SELECT coalesce(i.point, o.point) AS point, coalesce(i.date, o.date) AS date,
-           CASE WHEN i.present THEN 'inc' ELSE 'out' END AS operation,
-           CAST(coalesce(i.total, o.total) AS DECIMAL(38,2)) AS money_sum
+           CASE WHEN i.present THEN 'inc' ELSE 'out' END AS side,
+           CAST(coalesce(i.total, o.total) AS DECIMAL(38,2)) AS amount
     FROM day_in i FULL JOIN day_out o ON o.point = i.point AND o.date = i.date
     WHERE i.total IS NULL OR o.total IS NULL""",
 )
 def e64_one_sided_days(v):
     """Days on which a point had income but no outgo, or the reverse."""
     days = one_sided_days(v.income, v.outcome, ["point", "date"], "inc", "out")
-    return days.select("point", "date", "operation", F.col("money_sum").cast(MONEY).alias("money_sum"))
+    return days.select("point", "date", "side", F.col("amount").cast(MONEY).alias("amount"))
 
 
 @query(

@@ -198,7 +198,7 @@ def test_ledger_operators_match_full_join_sql(spark, seed):
             expected.add((*key, operation, sums["inc"] if sums["inc"] is not None else sums["out"]))
     got = one_sided_days(inc, out, ["point", "d"], "inc", "out").collect()
     assert len(got) == len(expected)
-    assert {(r.point, r.d, r.operation, r.money_sum) for r in got} == expected
+    assert {(r.point, r.d, r.side, r.amount) for r in got} == expected
 
 
 def _shares(rows):
