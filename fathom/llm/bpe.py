@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import base64
-import hashlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,7 +16,9 @@ from fathom.llm.chunks import BYTE_LEVEL, by_bytes, default_path, distinct_chunk
 from fathom.llm.common import pick
 
 #: Words that a task remembers before it starts anew, and bytes of text handled at once.
-REMEMBERED, SLICE = 700_000, 4 << 20
+REMEMBERED, SLICE = 700_000, 8 << 20
+#: Chunks that may begin with a blank of any kind, or are empty.
+_BLANK_FIRST = r"^([\x00-\x20\x{85}\p{Z}]|$)"
 #: A merge is stored as first id << 16 | rank, so ids must be below 2^16; NO_MERGE is above all merges.
 IDS, NO_MERGE = 1 << 16, 1 << 40
 
@@ -95,9 +97,9 @@ def merged(symbols: Column, path: str) -> Column:
 
                 return F.when(least < IDS, _let((F.array_position(ranks, least) - 1).cast("int"), put)).otherwise(word)
 
-            return _let(F.coalesce(F.array_min(ranks), F.lit(NO_MERGE)), found)
+            return _let(F.array_min(ranks), found)
 
-        return _let(F.zip_with(word, F.slice(word, 2, F.size(word)), rank), merge)
+        return _let(F.transform(word, lambda x, i: rank(x, F.get(word, i + 1))), merge)
 
     return F.aggregate(F.sequence(F.lit(2), F.greatest(F.lit(2), F.size(symbols))), symbols, step)
 
@@ -116,14 +118,15 @@ class Words:
         heads = chunks.take(pa.array(index[offsets[:-1]])).to_pylist()
         # All chunks in one string, as none's matches reach into the next one; those that are
         # empty or begin with a blank only stand at texts' beginnings and are found below.
-        parts = [" " + c if c and not c[0].isspace() else " -" for c in chunks.to_pylist()]
-        found = self.find("".join(parts))
-        ends = np.searchsorted(np.cumsum([len(w) for w in found]), np.cumsum([len(c) for c in parts])) + 1
+        parts = pc.if_else(pc.match_substring_regex(chunks, _BLANK_FIRST), "-", chunks)
+        found = self.find(" " + " ".join(parts.to_pylist()))
+        sizes = pc.utf8_length(pa.array(found, pa.string())).to_numpy()
+        ends = np.searchsorted(np.cumsum(sizes), np.cumsum(pc.utf8_length(parts).to_numpy() + 1)) + 1
         # Chunks at the end stand for texts' beginnings, which have no blank before them.
         firsts = [self.find(c) for c in heads]
         ends = np.concatenate([ends, len(found) + np.cumsum([len(f) for f in firsts], dtype=np.int64)])
         index = index.copy()
-        index[offsets[:-1]] = len(parts) + np.arange(len(heads))
+        index[offsets[:-1]] = len(chunks) + np.arange(len(heads))
         coded = pa.array([*found, *[w for f in firsts for w in f]], pa.string()).dictionary_encode()
         sizes = np.diff(ends, prepend=0)
         of_chunk = sizes[index]
@@ -158,21 +161,30 @@ def encode(docs: DataFrame, path: str | None = None, pattern: str | None = None)
     def name_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks, find, number = spec.value, Words(pattern), {}
         byte_id = np.array([ranks[bytes((b,))] for b in range(256)], np.int32)
+        # Bytes that are no text are no word either.
+        tokens = {t.decode(): rank for t, rank in ranks.items() if t.decode(errors="ignore").encode() == t}
         for whole in batches:
             for batch in by_bytes(whole, 1, SLICE):
                 if len(number) > REMEMBERED:
                     number = {}
                 first = len(number)
                 words, index, offsets = find(batch.column(1))
-                new = [w.encode() for w in words if number.setdefault(w, len(number)) >= first]
-                symbols = [(t,) if (t := ranks.get(w)) is not None else byte_id[np.frombuffer(w, np.uint8)] for w in new]
+                new = [w for w in words if w not in number]
+                whole = [w for w in new if w in tokens]
+                other = [w for w in new if w not in tokens]
+                number.update(zip(other + whole, range(first, first + len(new))))
+                # A word that is a token is its only symbol; others begin as their bytes.
+                raw = pa.array(other, pa.binary())
+                sizes = np.concatenate([pc.binary_length(raw).to_numpy(), np.ones(len(whole), np.int32)])
+                symbols = np.concatenate([
+                    byte_id[np.frombuffer("".join(other).encode(), np.uint8)],
+                    np.array([tokens[w] for w in whole], np.int32),
+                ])
                 # The first of all words of this task, or after it forgot, says so.
                 yield pa.RecordBatch.from_arrays(
                     [pa.nulls(len(new), pa.int64()), pa.nulls(len(new), pa.binary()),
-                     pa.array([first + i == 0 for i in range(len(new))], pa.bool_()),
-                     pa.ListArray.from_arrays(
-                         pa.array(np.cumsum([0, *map(len, symbols)]), pa.int32()),
-                         pa.array(np.concatenate(symbols or [()]).astype(np.int32)))],
+                     pa.array(np.arange(first, first + len(new)) == 0),
+                     pa.ListArray.from_arrays(pa.array(np.cumsum([0, *sizes]), pa.int32()), pa.array(symbols))],
                     schema=arrow,
                 )
                 known = np.array([number[w] for w in words], "<i4")[index]

@@ -8,7 +8,6 @@ import numpy as np
 import pyarrow as pa
 import public_tokenizers
 import pytest
-import sentencepiece
 import tiktoken
 import xxhash
 from pyspark.sql import functions as F
