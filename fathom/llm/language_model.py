@@ -18,7 +18,7 @@ from fathom.llm.common import pick
 #: Keys of the end of a text and of the state before its first word.
 END, BEGIN = 0, 1
 #: Bytes of text of a block, and of a part of the model's counts.
-BLOCK_BYTES, PART_BYTES = 16 << 20, 8 << 20
+BLOCK_BYTES, PART_BYTES = 12 << 20, 8 << 20
 #: Kinds of rows that travel between blocks and parts.
 WORDS, PAIRS, CONTEXTS, TOTALS = 0, 1, 2, 3
 _ROW = "part long, block long, kind int, body binary"
