@@ -17,8 +17,8 @@ from fathom.llm.common import pick
 
 #: Words that a task remembers before it starts anew, and bytes of text handled at once.
 REMEMBERED, SLICE = 700_000, 8 << 20
-#: Chunks that may begin with a blank of any kind, or are empty.
-_BLANK_FIRST = r"^([\x00-\x20\x{85}\p{Z}]|$)"
+#: Chunks that begin with a blank of any kind (other control characters are none), or are empty.
+_BLANK_FIRST = r"^([\x09-\x0d\x1c-\x20\x{85}\p{Z}]|$)"
 #: A merge is stored as first id << 16 | rank, so ids must be below 2^16; NO_MERGE is above all merges.
 IDS, NO_MERGE = 1 << 16, 1 << 40
 
