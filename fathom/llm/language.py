@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
@@ -21,7 +21,7 @@ _WORD = re.compile(r"[^\W\d_]+")
 
 @dataclass(frozen=True)
 class Training:
-    """Bounds of what is learned from: so many documents of a language, of so many bytes at most."""
+    """Bounds of what is learned from: so many documents of a language, so many bytes of each at most."""
 
     docs_per_language: int = 150
     doc_bytes: int = 20_000
@@ -199,17 +199,26 @@ def training_rows(docs: DataFrame, how: Training) -> list[tuple[str, str]]:
     """The bounded sample: of each language the documents whose ids hash lowest.
 
     Only rows that may be learned from (crc32 of the id mod 5 is not 0, a
-    language, a text of at most ``doc_bytes``).  The limit is applied before
-    the rows are shuffled.
+    language, a letter in the text).  A text of more than ``doc_bytes`` gives
+    an excerpt.  The limit is applied before the rows are shuffled.
     """
     rows = pick(docs, doc_id="long", text="string", lang="string").filter(
-        (id_crc32(F.col("doc_id")) % 5 != 0)
-        & F.col("lang").isNotNull()
-        & F.octet_length("text").between(1, how.doc_bytes)
+        (id_crc32(F.col("doc_id")) % 5 != 0) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")
     )
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", "text"))
+    rows = rows.select("lang", F.xxhash64("doc_id", "text").alias("place"), _excerpt(how.doc_bytes).alias("text"))
+    order = Window.partitionBy("lang").orderBy("place")
     few = rows.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= how.docs_per_language)
-    return sorted((r.lang, r.text) for r in few.select("lang", "text").collect())
+    found = sorted((r.lang, r.text) for r in few.select("lang", "text").collect())
+    return [(lang, text) for lang, text in found if any(map(has_letter, words_of(text)))]
+
+
+def _excerpt(most: int) -> Column:
+    """The text; of one of more than ``most`` bytes its letters, blanks between words, from a place that the hash names."""
+    letters, size = F.regexp_replace("text", r"[^\p{L}]+", " "), most // 4  # a character has at most 4 bytes
+    start = F.pmod(F.xxhash64("doc_id", "text"), F.greatest(F.char_length(letters) - size + 1, F.lit(1))) + 1
+    return F.when(F.octet_length("text") <= most, F.col("text")).otherwise(
+        F.substring(letters, start.cast("int"), F.lit(size))
+    )
 
 
 def predict(docs: DataFrame, net: ByteGru | None, text: str = "text") -> DataFrame:
@@ -278,7 +287,23 @@ def identify(docs: DataFrame, how: Training = Training()) -> DataFrame:
 
 
 def without_unknown(docs: DataFrame, how: Training = Training()) -> DataFrame:
-    """The documents in whose text a language was found; columns as given (doc_id, text, lang and others)."""
+    """The documents in whose text a language was found; columns as given (doc_id, text, lang and others).
+
+    With nothing to learn from, the documents that have a letter.
+    """
     rows = training_rows(docs, how)
-    found = predict(docs, train(rows, how) if rows else None)
+    if not rows:
+        return with_letters(docs)
+    found = predict(docs, train(rows, how))
     return found.filter(F.col("lang_pred") != UNKNOWN).select(*docs.columns)
+
+
+def with_letters(docs: DataFrame, text: str = "text") -> DataFrame:
+    """The rows whose text has a letter."""
+    at = docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array([any(map(str.isalpha, t.as_py() or "")) for t in batch.column(at)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -154,6 +154,26 @@ def test_language_of_odd_documents(spark):
     assert language.identify(nothing(spark)).count() == 0
 
 
+def test_languages_of_long_texts_are_learned(spark):
+    long = [("123 456 " * 5000 + "aab abba baab " * 2000, "one"), ("xyx yxy xxy " * 4000, "two"), ("zwz" * 20_000, "three")]
+    rows = [(i, *long[i % 3]) for i in range(60)] + [(i, "12 34 " * 9, "four") for i in range(60, 90)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    sample = language.training_rows(table, language.Training())
+    assert {lang for lang, _ in sample} == {"one", "two", "three"}
+    assert all(len(t.encode()) <= 20_000 for _, t in sample)
+    found = {r.doc_id: r.lang_pred for r in language.identify(table).collect()}
+    assert all(found[i] == lang for i, _, lang in rows[:60]) and all(found[i] == "und" for i in range(60, 90))
+
+
+@pytest.mark.parametrize("lang, ids", [(None, range(6)), ("en", [None] * 6)])
+def test_stage_keeps_all_letters_with_nothing_to_learn_from(spark, lang, ids):
+    texts = ["aab abba", "x" * 30_000, "日本", "123 !?", "", None]
+    table = spark.createDataFrame([(i, t, lang) for i, t in zip(ids, texts)], "doc_id long, text string, lang string")
+    assert language.training_rows(table, language.Training()) == []
+    kept = language.without_unknown(table)
+    assert kept.columns == table.columns and {r.text for r in kept.collect()} == set(texts[:3])
+
+
 # ------------------------------------------------------------------ near-duplicates
 def plain_fingerprint(text, n=3):
     words = (text or "").encode().lower().split()
