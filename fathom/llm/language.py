@@ -21,10 +21,17 @@ _WORD = re.compile(r"[^\W\d_]+")
 
 @dataclass(frozen=True)
 class Training:
-    """Bounds of what is learned from: so many documents of a language, so many bytes of each at most."""
+    """Bounds of what is learned from: so many documents of a language, so many bytes of each at most.
 
+    ``languages`` (the most frequent ones), ``docs`` and ``words`` bound the
+    whole sample: with many languages each has fewer documents and words.
+    """
+
+    languages: int = 256
+    docs: int = 3000
     docs_per_language: int = 150
     doc_bytes: int = 20_000
+    words: int = 240_000
     words_per_language: int = 12_000
     epochs: int = 3
     batch: int = 256
@@ -126,10 +133,10 @@ class ByteGru:
         sums = np.zeros((len(words), len(self.languages) + 1))
         sizes = np.array([len(s) for s in spans])
         order = np.argsort(sizes, kind="stable")
-        start = 0
+        start, most = 0, min(8192, max(1, (1 << 17) // len(self.languages)))
         while start < len(order):
             size = sizes[order[start]]
-            stop = min(start + 8192, int(np.searchsorted(sizes[order], size, "right")))
+            stop = min(start + most, int(np.searchsorted(sizes[order], size, "right")))
             part = order[start:stop]
             x = np.frombuffer(b"".join([spans[i] for i in part]), np.uint8).reshape(-1, size)
             found = self.log_probs(x).sum(axis=0, dtype=np.float64)
@@ -162,11 +169,12 @@ def train(rows: list[tuple[str, str]], how: Training = Training()) -> ByteGru:
     """Fit the network to (language, text) rows: Adam over minibatches of equally long words."""
     rng = np.random.default_rng(how.seed)
     languages = sorted({lang for lang, _ in rows})
+    most = min(how.words_per_language, max(1, how.words // max(1, len(languages))))
     spans, labels = [], []
     for i, lang in enumerate(languages):
         found = sorted(w for name, text in rows if name == lang for w in words_of(text) if has_letter(w))
-        if len(found) > how.words_per_language:
-            found = [found[j] for j in rng.choice(len(found), how.words_per_language, replace=False)]
+        if len(found) > most:
+            found = [found[j] for j in rng.choice(len(found), most, replace=False)]
         own, _ = spans_of(found)
         spans += own
         labels += [i] * len(own)
@@ -200,14 +208,20 @@ def training_rows(docs: DataFrame, how: Training) -> list[tuple[str, str]]:
 
     Only rows that may be learned from (crc32 of the id mod 5 is not 0, a
     language, a letter in the text).  A text of more than ``doc_bytes`` gives
-    an excerpt.  The limit is applied before the rows are shuffled.
+    an excerpt.  The languages are counted first: the most frequent ones share
+    ``docs`` documents.  The limit is applied before the rows are shuffled.
     """
     rows = pick(docs, doc_id="long", text="string", lang="string").filter(
         (id_crc32(F.col("doc_id")) % 5 != 0) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")
     )
+    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(how.languages).collect()
+    if not counts:
+        return []
+    most = min(how.docs_per_language, max(1, how.docs // len(counts)))
+    rows = rows.filter(F.col("lang").isin([r.lang for r in counts]))
     rows = rows.select("lang", F.xxhash64("doc_id", "text").alias("place"), _excerpt(how.doc_bytes).alias("text"))
     order = Window.partitionBy("lang").orderBy("place")
-    few = rows.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= how.docs_per_language)
+    few = rows.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= most)
     found = sorted((r.lang, r.text) for r in few.select("lang", "text").collect())
     return [(lang, text) for lang, text in found if any(map(has_letter, words_of(text)))]
 

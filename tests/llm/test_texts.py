@@ -1,5 +1,6 @@
 """Operators that read texts one by one: packing, token counts, BPE, language, near-duplicates, lines."""
 
+import collections
 import hashlib
 import os
 import random
@@ -165,6 +166,19 @@ def test_languages_of_long_texts_are_learned(spark):
     assert all(found[i] == lang for i, _, lang in rows[:60]) and all(found[i] == "und" for i in range(60, 90))
 
 
+def test_sample_of_many_labels_is_bounded(spark):
+    rows = [(i, f"aab abba {i}", f"dirty {i}") for i in range(400)]
+    rows += [(i, "xyx yxy", "two") for i in range(400, 460)] + [(i, "zwz wzw", "three") for i in range(460, 520)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    how = language.Training(languages=8, docs=24, words=16, epochs=1)
+    sample = language.training_rows(table, how)
+    held = collections.Counter(lang for lang, _ in sample)
+    assert len(held) == 8 and held["two"] == held["three"] == 3 and len(sample) <= how.docs
+    assert language.train(sample, how).languages == sorted(held)
+    few = language.training_rows(table.filter("doc_id >= 400"), language.Training())
+    assert len(few) == sum(crc(i) % 5 > 0 for i in range(400, 520))
+
+
 @pytest.mark.parametrize("lang, ids", [(None, range(6)), ("en", [None] * 6)])
 def test_stage_keeps_all_letters_with_nothing_to_learn_from(spark, lang, ids):
     texts = ["aab abba", "x" * 30_000, "日本", "123 !?", "", None]
