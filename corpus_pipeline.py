@@ -30,7 +30,7 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays: the smallest doc_id."""
+    """One row of each group of near-duplicates stays: that of the smallest doc_id, null ids last."""
     return simhash.keep_one(pick(docs, **_DOCUMENT), shingle=3, distance=2)
 
 

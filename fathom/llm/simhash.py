@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fathom.llm.common import cut, pick
+from fathom.llm.common import cut, hash128, pick
 from fathom.llm.components import connected_components
 
 SEED = 42
@@ -44,15 +44,17 @@ def fingerprint(text: bytes | None, shingle: int = 3) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """(doc_id, fp): one row per document; fp is the fingerprint as a signed long."""
+def fingerprints(docs: DataFrame, shingle: int = 3, keys: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, keys, fp): one row per document; keys are long columns, fp is the fingerprint as a signed long."""
+    names = ["doc_id", *keys, "fp"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = np.array([fingerprint(t, shingle) for t in batch.column(1).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *batch.columns[2:], pa.array(fps.view(np.int64))], names)
 
-    return pick(docs, doc_id="long", text="binary").mapInArrow(run, "doc_id long, fp long")
+    rows = pick(docs, doc_id="long", text="binary", **{k: "long" for k in keys})
+    return rows.mapInArrow(run, ", ".join(f"{n} long" for n in names))
 
 
 def _masks(blocks: int, distance: int) -> list[int]:
@@ -122,24 +124,39 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 2) -> Dat
     table gives no rows; further columns are ignored.
     """
     fps = cut(fingerprints(docs, shingle), "simhash-fps")
-    distinct = fps.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    roots = connected_components(links(distinct.select("fp"), distance))
-    rooted = distinct.join(roots, F.col("fp") == F.col("node"), "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root")
-    )
+    rooted = _rooted(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), distance)
     ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     classes = rooted.join(ids, "root").select("fp", "component_id")
     return fps.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
+def _rooted(distinct: DataFrame, distance: int) -> DataFrame:
+    """(fp, least, root): distinct fingerprints with the smallest one that links reach."""
+    roots = connected_components(links(distinct.select("fp"), distance))
+    return distinct.join(roots, F.col("fp") == F.col("node"), "left").select(
+        "fp", "least", F.coalesce("root", "fp").alias("root")
+    )
+
+
 def keep_one(docs: DataFrame, shingle: int = 3, distance: int = 2) -> DataFrame:
-    """The documents without all but the smallest doc_id of each component; columns as given.
+    """The first row of each component; columns as given.
 
-    A document is its doc_id: repeated rows of the kept id stay, as do rows without an id.
+    Rows are in order of doc_id, null ids last, then of 128 bits of hash over
+    all columns.  Rows that are equal in all columns are one row: they meet
+    in one before they are dealt out, so that no task gets all of a row that
+    is repeated very often.
     """
-    found = near_duplicates(docs, shingle, distance)
-    gone = found.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == F.col("gone"), "left_anti")
+    names = docs.columns
+    plain = docs.toDF(*[f"_c{i}" for i in range(len(names))])
+    every = F.struct(*[F.struct(F.col(c), F.col(c).isNull()) for c in plain.columns])
+    k1, k2 = hash128(every)
+    keyed = plain.select("*", k1.alias("_k1"), k2.alias("_k2"))
+    fps = cut(fingerprints(keyed.toDF(*names, "_k1", "_k2"), shingle, ("_k1", "_k2")), "simhash-fps")
+    row = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "_k1", "_k2")
+    rooted = _rooted(fps.groupBy("fp").agg(F.min(row).alias("least")), distance)
+    first = rooted.groupBy("root").agg(F.min("least").alias("first")).select("first._k1", "first._k2")
+    kept = keyed.dropDuplicates(["_k1", "_k2"]).join(first, ["_k1", "_k2"], "left_semi")
+    return kept.select(*plain.columns).toDF(*names)
 
 
 def hex16(fp) -> F.Column:

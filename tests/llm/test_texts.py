@@ -218,6 +218,19 @@ def test_fingerprints_and_components_by_brute_force(spark):
     assert {r.doc_id for r in kept} == set(want)
 
 
+def test_one_row_of_each_component_is_kept(spark):
+    texts = [*random_texts(3, 21, words=300), "a b c d", "all of this is alone"]
+    copy, other, nulls, same, alone = texts
+    rows = [(1, copy), (2, copy), (2, other), (None, copy), (3, same), (3, same), (3, same + " "), (7, alone), (7, None)]
+    rows += [(None, nulls)] * 40 + [(None, nulls + " ")] * 2 + [(None, "")]
+    table = documents(spark, [t for _, t in rows], [i for i, _ in rows])
+    kept = simhash.keep_one(table)
+    assert kept.columns == table.columns
+    got = sorted(((r[0], (r[1] or "").rstrip()) for r in kept.collect()), key=repr)
+    want = [(1, copy), (2, other), (3, same), (7, alone), (7, ""), (None, nulls)]
+    assert got == sorted(((i, t.rstrip()) for i, t in want), key=repr)
+
+
 @pytest.mark.parametrize("distance", [1, 2, 3])
 def test_crowded_buckets_lose_no_link(spark, monkeypatch, distance):
     monkeypatch.setattr(simhash, "CROWD", 3)
