@@ -18,7 +18,10 @@ _DOCUMENT = {"doc_id": "long", "text": "string", "lang": "string", "source": "st
 
 
 def detect_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop the documents in which no language is found (no text, or no letter in it)."""
+    """Drop the documents in which no language is found: null and letterless texts, and no others.
+
+    Every text with a letter stays, whatever its language and probability.
+    """
     return language.without_unknown(pick(docs, **_DOCUMENT))
 
 

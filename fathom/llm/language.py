@@ -207,12 +207,12 @@ def training_rows(docs: DataFrame, how: Training) -> list[tuple[str, str]]:
     """The bounded sample: of each language the documents whose ids hash lowest.
 
     Only rows that may be learned from (crc32 of the id mod 5 is not 0, a
-    language, a letter in the text).  A text of more than ``doc_bytes`` gives
+    language other than ``und``, a letter in the text).  A text of more than ``doc_bytes`` gives
     an excerpt.  The languages are counted first: the most frequent ones share
     ``docs`` documents.  The limit is applied before the rows are shuffled.
     """
     rows = pick(docs, doc_id="long", text="string", lang="string").filter(
-        (id_crc32(F.col("doc_id")) % 5 != 0) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")
+        (id_crc32(F.col("doc_id")) % 5 != 0) & (F.col("lang") != UNKNOWN) & F.col("text").rlike(r"\p{L}")
     )
     counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(how.languages).collect()
     if not counts:
@@ -292,7 +292,7 @@ def identify(docs: DataFrame, how: Training = Training()) -> DataFrame:
     The network learns on the driver from the bounded sample of ``Training``;
     rows whose crc32(doc_id) mod 5 is 0 are held out of it.  A null doc_id
     counts as the empty text there (held out).  Null and letterless texts are
-    ``und``; null languages are not learned from; repeated rows give repeated
+    ``und``; null languages and ``und`` are not learned from; repeated rows give repeated
     rows; an empty table gives no rows; further columns are ignored.
     """
     rows = training_rows(docs, how)
@@ -303,7 +303,8 @@ def identify(docs: DataFrame, how: Training = Training()) -> DataFrame:
 def without_unknown(docs: DataFrame, how: Training = Training()) -> DataFrame:
     """The documents in whose text a language was found; columns as given (doc_id, text, lang and others).
 
-    With nothing to learn from, the documents that have a letter.
+    Those are the documents that have a letter, also with nothing to learn
+    from.  Which language is found, and how probable it is, rejects none.
     """
     rows = training_rows(docs, how)
     if not rows:

@@ -179,6 +179,13 @@ def test_sample_of_many_labels_is_bounded(spark):
     assert len(few) == sum(crc(i) % 5 > 0 for i in range(400, 520))
 
 
+def test_stage_rejects_no_text_with_a_letter(spark):
+    texts = ["aab abba", "xyx yxy", "qqqq zzzz 1", "12 !?", None]
+    rows = [(i, texts[i % 5], ["one", "und"][i % 5 == 1]) for i in range(50)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert {r.doc_id for r in language.without_unknown(table).collect()} == {i for i in range(50) if i % 5 < 3}
+
+
 @pytest.mark.parametrize("lang, ids", [(None, range(6)), ("en", [None] * 6)])
 def test_stage_keeps_all_letters_with_nothing_to_learn_from(spark, lang, ids):
     texts = ["aab abba", "x" * 30_000, "日本", "123 !?", "", None]
