@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -103,8 +103,58 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"), cosine=0.93)
 
 
+def with_repeats(doc_id: Column, text: Column) -> Column:
+    """The words of a text, joined by one blank, with the repeats that op13 plants by the hash of the id."""
+    from fathom.llm.common import id_crc32, let
+
+    def changed(words: Column) -> Column:
+        n, h = F.size(words).cast("long"), id_crc32(doc_id)
+        g = F.floor(h / 10)
+
+        def word(a: Column) -> Column:
+            period = 1 + F.floor((n - a) / (3 + g % 8))
+            return F.array_join(
+                let(period, lambda p: F.transform(words, lambda w, i: F.when(i < a, w).otherwise(F.get(words, (a + (i - a) % p).cast("int"))))),
+                " ",
+            )
+
+        return F.when((h % 10 == 0) & (n > 0), let(g % n, word)).otherwise(F.array_join(words, " "))
+
+    return let(F.regexp_extract_all(text, F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)), changed)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of at least 12 words and two periods in every whole text, and the texts without their repeats."""
+    from fathom.llm import periodic_runs
+    from fathom.llm.common import id_crc32, pick
+
+    table = pick(_table(spark, sf_dir, "documents"), doc_id="long", text="string")
+    planted = F.when(id_crc32(F.col("doc_id")) % 10 == 0, with_repeats(F.col("doc_id"), F.col("text")))
+    docs = table.select("doc_id", F.coalesce(planted, "text").alias("text"))
+    found = periodic_runs.runs(docs, min_words=12)
+    # The greatest length, then the least start and period.
+    order = F.transform("runs", lambda r: F.struct((-r["length"]).alias("n"), r["start"].alias("s"), r["period"].alias("p")))
+    best = F.array_min(order)
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.s").alias("start"),
+        (-F.col("best.n")).alias("length"),
+        F.col("best.p").alias("period"),
+        F.floor(-F.col("best.n") * 1000 / F.col("best.p")).cast("long").alias("exponent_milli"),
+        F.sha2(listed.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_lm_scores, op2_packing, op3_token_counts, op4_sharding, op5_simhash, op6_byte_bpe, op7_top_k, op8_language, op9_line_dedup, op10_embedding_dedup)
+    f.__name__: f
+    for f in (
+        op1_lm_scores, op2_packing, op3_token_counts, op4_sharding, op5_simhash, op6_byte_bpe, op7_top_k, op8_language,
+        op9_line_dedup, op10_embedding_dedup, op13_periodic_runs,
+    )
 }
 ORACLES: dict[str, str] = {
     "op7_top_k": """
