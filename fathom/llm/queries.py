@@ -103,6 +103,40 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"), cosine=0.93)
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """The rows of ``conversations`` with the damage that op12 does by the hash of id and turn; n is how often a row stands."""
+    from fathom.llm.common import pick
+
+    rows = pick(conversations, conv_id="long", turn="long", role="string", text="string")
+    as_text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    kind = F.crc32(F.concat(as_text("conv_id"), F.lit(":"), as_text("turn")).cast("binary")) % 20
+    rows = rows.withColumns({"kind": kind, "role": as_text("role"), "text": as_text("text")}).filter("kind <> 0")
+    ends = F.regexp_replace("text", "[.!?]", "")
+    return rows.select(
+        "conv_id",
+        "turn",
+        F.when(F.col("kind") == 4, "user").otherwise(F.col("role")).alias("role"),
+        F.when(F.col("kind") == 1, "").when(F.col("kind") == 2, ends).otherwise(F.col("text")).alias("text"),
+        F.when(F.col("kind") == 3, 2).otherwise(1).cast("long").alias("n"),
+    )
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, damaged and repaired by the cheapest edits."""
+    from fathom.llm import conversations
+    from fathom.llm.common import pick
+
+    table = _table(spark, sf_dir, "conversations")
+    rows = damaged(table)
+    found = conversations.digests(rows, conversations.repair(rows)).withColumnRenamed("conv_id", "_id")
+    every = pick(table, conv_id="long").distinct()
+    none = {"audit": "", "repaired_sha256": "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"}
+    columns = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"]
+    return every.join(found, F.col("conv_id").eqNullSafe(F.col("_id")), "left").select(
+        "conv_id", *[F.coalesce(c, F.lit(none.get(c, 0))).alias(c) for c in columns]
+    )
+
+
 def with_repeats(doc_id: Column, text: Column) -> Column:
     """The words of a text, joined by one blank, with the repeats that op13 plants by the hash of the id."""
     from fathom.llm.common import id_crc32, let
@@ -153,7 +187,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_lm_scores, op2_packing, op3_token_counts, op4_sharding, op5_simhash, op6_byte_bpe, op7_top_k, op8_language,
-        op9_line_dedup, op10_embedding_dedup, op13_periodic_runs,
+        op9_line_dedup, op10_embedding_dedup, op12_conversation_repair, op13_periodic_runs,
     )
 }
 ORACLES: dict[str, str] = {
