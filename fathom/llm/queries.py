@@ -103,6 +103,28 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"), cosine=0.93)
 
 
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text's paragraph sketch, subtracted from those of its edited text and of the next document."""
+    from fathom.llm import fingerprints
+
+    docs = fingerprints.with_next(_table(spark, sf_dir, "documents"))
+    n = F.char_length("text")
+    half = F.floor(n / 2).cast("int")
+    edited = F.concat(F.substring("text", 1, n - half), F.substring("next", 1, half))
+    done = fingerprints.compare(docs.withColumn("edited", edited))
+    done = done.select(
+        "doc_id",
+        n.cast("long").alias("n_chars"),
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        "fingerprint",
+        "edited_fingerprint",
+        "near_edited",
+        "near_next",
+        "copies",
+    )
+    return fingerprints.copies(done, "copies")
+
+
 def damaged(conversations: DataFrame) -> DataFrame:
     """The rows of ``conversations`` with the damage that op12 does by the hash of id and turn; n is how often a row stands."""
     from fathom.llm.common import pick
@@ -187,7 +209,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_lm_scores, op2_packing, op3_token_counts, op4_sharding, op5_simhash, op6_byte_bpe, op7_top_k, op8_language,
-        op9_line_dedup, op10_embedding_dedup, op12_conversation_repair, op13_periodic_runs,
+        op9_line_dedup, op10_embedding_dedup, op11_fingerprints,
+        op12_conversation_repair, op13_periodic_runs,
     )
 }
 ORACLES: dict[str, str] = {
