@@ -13,21 +13,33 @@ from pyspark.sql import functions as F
 #: Rows a range holds on average, and keys sampled for each cut between ranges.
 ROWS, SAMPLED = 1 << 18, 32
 #: Steps of the search, each over twice as many values as the one after it.
-STEPS = 18
+STEPS = 20
 
 
-def with_rank(df: DataFrame, values: Column, value: Column, name: str) -> DataFrame:
+def with_rank(df: DataFrame, values: Column, value: Column, name: str, found: str | None = None) -> DataFrame:
     """``df`` and, as an int, how many of the sorted ``values`` (an array) are at most ``value``; nulls are least.
 
-    A binary search, folded over the sizes of its steps; at most 2^18 - 1
+    ``found`` names a further column: whether ``value`` is one of them.
+
+    A binary search, folded over the sizes of its steps; at most 2^20 - 1
     values are counted.  ``values`` may be a scalar subquery: it becomes a
-    column first, as Spark allows none in a fold.  Rows may carry that column
-    up to the fold, never through a shuffle.
+    column first, as Spark allows none in a fold, and as the fold names it
+    once, the optimizer puts it back in place where the other columns of
+    ``df`` are plain ones; otherwise rows carry it up to the fold, never
+    through a shuffle.
     """
     powers = F.array(*[F.lit(1 << i) for i in reversed(range(STEPS))])
-    above = lambda at, p: F.when(F.get("__values", at + p - 1) <= value, at + p).otherwise(at)
-    found = df.withColumn("__values", values)
-    return found.select(*[F.col(c) for c in df.columns], F.aggregate(powers, F.lit(0), above).alias(name))
+    start = F.struct(F.lit(0).alias("n"), F.when(F.lit(False), value).alias("v"))
+
+    def step(at: Column, p: Column) -> Column:
+        up = lambda v: F.when(v <= value, F.struct((at["n"] + p).alias("n"), v.alias("v"))).otherwise(at)
+        return F.element_at(F.transform(F.array(F.get("__values", at["n"] + p - 1)), up), 1)
+
+    at = df.withColumn("__values", values).select(*[F.col(c) for c in df.columns], F.aggregate(powers, start, step).alias("__at"))
+    ranks = [F.col("__at.n").alias(name)]
+    if found is not None:
+        ranks.append(((F.col("__at.n") > 0) & F.col("__at.v").eqNullSafe(value)).alias(found))
+    return at.select(*[F.col(c) for c in df.columns], *ranks)
 
 
 def cuts(keys: DataFrame, key: Column, rows: int | None = None) -> Column:
