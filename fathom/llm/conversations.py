@@ -210,33 +210,53 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pylist(out, schema=_PIECE)
 
 
-def _joined(table: pa.Table) -> pa.Table:
-    """A conversation's pieces in order: the cheapest way through all of them."""
-    pieces = table.to_pylist()
-    pieces.sort(key=lambda p: (p["turn"] is not None, p["turn"] or 0, p["role"], p["h1"], p["h2"]))
-    best: dict[int, tuple[int, str]] = {EMPTY: (0, "")}
-    count = dict.fromkeys(_COUNTS, 0)
-    turns, before = 0, None
-    for p in pieces:
+class _Joined:
+    """A conversation's pieces, taken in order: the cheapest way through all of them."""
+
+    def __init__(self, conv_id: int | None):
+        self.conv_id, self.best = conv_id, {EMPTY: (0, "")}
+        self.count = dict.fromkeys(_COUNTS, 0)
+        self.turns, self.low, self.high, self.before = 0, None, None, None
+
+    def add(self, piece: dict) -> None:
         ways: dict[int, tuple[int, str]] = {}
-        for path in p["paths"]:
-            if path["enter"] in best:
-                cost, audit = best[path["enter"]]
+        for path in piece["paths"]:
+            if path["enter"] in self.best:
+                cost, audit = self.best[path["enter"]]
                 way = (cost + path["cost"], audit + path["audit"])
                 ways[path["leave"]] = min(way, ways.get(path["leave"], way))
-        best = ways
+        self.best = ways
         for c in _COUNTS:
-            count[c] += p[c]
-        turns += p["turns"]
-        if before:
-            count["illegal"] += before["last_initial"] + p["first_initial"] not in _LEGAL
-            turns -= p["turn"] is not None and p["turn"] == before["last_turn"]
-        before = p
-    cost, audit = min(best[s] for s in _DONE if s in best)
-    lows, highs = ([p[c] for p in pieces if p[c] is not None] for c in ("low", "high"))
-    gaps = max(highs) - min(lows) + 1 - turns if lows else 0
-    row = {"conv_id": pieces[0]["conv_id"], "gaps": gaps, **count, "cost": cost, "audit": audit}
-    return pa.Table.from_pylist([row], schema=_RESULT)
+            self.count[c] += piece[c]
+        self.turns += piece["turns"]
+        if self.before:
+            self.count["illegal"] += self.before["last_initial"] + piece["first_initial"] not in _LEGAL
+            self.turns -= piece["turn"] is not None and piece["turn"] == self.before["last_turn"]
+        if piece["low"] is not None:
+            self.low, self.high = piece["low"] if self.low is None else self.low, piece["high"]
+        self.before = {c: piece[c] for c in ("last_initial", "last_turn")}
+
+    def row(self) -> dict:
+        cost, audit = min(self.best[s] for s in _DONE if s in self.best)
+        gaps = 0 if self.low is None else self.high - self.low + 1 - self.turns
+        return {"conv_id": self.conv_id, "gaps": gaps, **self.count, "cost": cost, "audit": audit}
+
+
+def _conversations(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per conversation of a partition whose pieces are in order."""
+    now: _Joined | None = None
+    out: list[dict] = []
+    for batch in batches:
+        for piece in batch.to_pylist():
+            if now is None or piece["conv_id"] != now.conv_id:
+                if now is not None:
+                    out.append(now.row())
+                now = _Joined(piece["conv_id"])
+            now.add(piece)
+        yield pa.RecordBatch.from_pylist(out, schema=_RESULT)
+        out = []
+    if now is not None:
+        yield pa.RecordBatch.from_pylist([now.row()], schema=_RESULT)
 
 
 def repair(rows: DataFrame) -> DataFrame:
@@ -265,7 +285,7 @@ def repair(rows: DataFrame) -> DataFrame:
     light = faults(_filled(rows))
     sorted_rows = light.repartitionByRange(*_ORDER).sortWithinPartitions(*_ORDER)
     pieces = sorted_rows.mapInArrow(_pieces, _PIECE_DDL)
-    return pieces.groupBy("conv_id").applyInArrow(_joined, _RESULT_DDL)
+    return pieces.repartition("conv_id").sortWithinPartitions(*_ORDER).mapInArrow(_conversations, _RESULT_DDL)
 
 
 def _filled(rows: DataFrame) -> DataFrame:
