@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from fathom.functions import dialect
 from fathom.operators.aggregates import divides, null_poisoned_max, top_with_ties
+from fathom.operators.pairs import pairs_within
 from fathom.operators.setops import except_distinct, union_all, union_distinct
 from fathom.operators.shares import share_of_group
 from fathom.operators.subquery import filter_all
@@ -23,7 +24,6 @@ CHEAP = 960
 PRICEY = 960
 MAKER = "Brand#1-0"
 FAST = 750
-PAIR_SALTS = 16
 
 
 def _avg_money(col: str, name: str):
@@ -184,18 +184,11 @@ def e16_self_pairs(v):
     The answer is the set of pairs, so its size is quadratic in the group
     size by definition.  (model, speed, ram) is made distinct *before* the
     self join, so no duplicate pair is ever produced and then thrown away.
-    (speed, ram) has few values, so one side is salted by model and the other
-    repeated for each salt: an equi join on (speed, ram, salt) with ``>`` as
-    residual, whose work is spread over ``PAIR_SALTS`` times as many keys.
+    (speed, ram) has few values: large groups are joined block by block
+    (``pairs_within``).
     """
     m = v.pc.select("model", "speed", "ram").distinct()
-    a = m.withColumn("salt", F.pmod(F.xxhash64("model"), F.lit(PAIR_SALTS).cast("long"))).alias("a")
-    b = m.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(PAIR_SALTS - 1).cast("long")))).alias("b")
-    same = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("speed", "ram", "salt")]
-    pairs = a.join(b, [*same, F.col("a.model") > F.col("b.model")])
-    return pairs.select(
-        F.col("a.model").alias("model1"), F.col("b.model").alias("model2"), F.col("a.speed").alias("speed"), F.col("a.ram").alias("ram")
-    )
+    return pairs_within(m, ["speed", "ram"], "model", "model1", "model2").select("model1", "model2", "speed", "ram")
 
 
 @query(

@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from fathom.operators.distinct import id_bitmaps, merged_counts
+from fathom.operators.ranks import rank_sum_z, rank_sums, sample_variance, welch
 from fathom.plans.registry import query
 
 WEEK_DAYS = 7
@@ -101,14 +103,16 @@ def m_ab_test(v):
     reproducible)."""
     ev = _events(v).withColumn("grp", F.when(F.col("user_id") % 2 == 0, F.lit("A")).otherwise(F.lit("B")))
     is_buy = F.col("event_type") == "purchase"
-    g = ev.groupBy("grp").agg(
-        F.count_distinct("user_id").alias("users"),
-        F.count_distinct(F.when(is_buy, F.col("user_id"))).alias("buyers"),
+    # Both distinct counts from one table of bitmaps, without a copy of the rows for each.
+    ids = id_bitmaps(ev, ["grp", is_buy.alias("buy")], F.col("user_id"))
+    counts = ev.groupBy("grp").agg(
         F.count(F.when(is_buy, F.lit(1))).alias("purchases"),
         F.sum(F.when(is_buy, F.col("value"))).cast("decimal(38,2)").alias("revenue"),
         F.sum(F.when(is_buy, F.col("value") * F.col("value"))).cast("decimal(38,4)").alias("sumsq"),
         F.count(F.when(is_buy, F.col("value"))).alias("valued"),
     )
+    users, buyers = merged_counts(ids, ["grp"], "users"), merged_counts(ids.filter("buy"), ["grp"], "buyers")
+    g = counts.join(users, "grp", "left").join(buyers, "grp", "left").fillna(0, ["users", "buyers"])
     rev = F.col("revenue").cast("double")
     n = F.col("valued")
     return g.select(
@@ -123,6 +127,109 @@ def m_ab_test(v):
     )
 
 
+@query(
+    "m_ab_statistics",
+    sql="""
+    WITH p AS (SELECT coalesce(user_id % 2 = 0, FALSE) AS a, CAST(value AS DECIMAL(18,2)) AS v
+               FROM events WHERE event_type = 'purchase' AND value IS NOT NULL),
+    r AS (SELECT a, v, 2 * rank() OVER (ORDER BY v) + count(*) OVER (PARTITION BY v) - 1 AS twice_rank FROM p),
+    s AS (SELECT count(*) FILTER (a) AS n_a, count(*) FILTER (NOT a) AS n_b,
+                 CAST(sum(v) FILTER (a) AS DOUBLE) AS sum_a, CAST(sum(v) FILTER (NOT a) AS DOUBLE) AS sum_b,
+                 CAST(sum(v * v) FILTER (a) AS DOUBLE) AS sq_a, CAST(sum(v * v) FILTER (NOT a) AS DOUBLE) AS sq_b,
+                 CAST(sum(twice_rank) FILTER (a) AS DOUBLE) AS rank2_a,
+                 (SELECT CAST(sum(CAST(t AS HUGEINT) * t * t - t) AS DOUBLE) FROM (SELECT count(*) AS t FROM p GROUP BY v)) AS ties
+          FROM r),
+    m AS (SELECT *, sum_a / NULLIF(n_a, 0) AS mean_a, sum_b / NULLIF(n_b, 0) AS mean_b,
+                 (sq_a - sum_a * sum_a / NULLIF(n_a, 0)) / NULLIF(n_a - 1, 0) AS var_a,
+                 (sq_b - sum_b * sum_b / NULLIF(n_b, 0)) / NULLIF(n_b - 1, 0) AS var_b,
+                 CAST(n_a AS DOUBLE) AS x, CAST(n_b AS DOUBLE) AS y
+          FROM s),
+    e AS (SELECT *, var_a / NULLIF(x, 0) AS ea, var_b / NULLIF(y, 0) AS eb,
+                 rank2_a / 2 - x * (x + 1) / 2 AS u_a,
+                 x * y / 12 * ((x + y + 1) - ties / NULLIF((x + y) * (x + y - 1), 0)) AS spread
+          FROM m)
+    SELECT n_a, n_b, mean_a, mean_b, var_a, var_b,
+           (mean_a - mean_b) / NULLIF(sqrt(ea + eb), 0) AS welch_t,
+           (ea + eb) * (ea + eb) / NULLIF(ea * ea / NULLIF(x - 1, 0) + eb * eb / NULLIF(y - 1, 0), 0) AS welch_df,
+           rank2_a / 2 AS rank_sum_a, ties,
+           (u_a - x * y / 2) / NULLIF(sqrt(spread), 0) AS rank_sum_z
+    FROM e WHERE n_a > 0 AND n_b > 0""",
+)
+def m_ab_statistics(v):
+    """The two user groups of ``m_ab_test`` compared by two statistics of the
+    purchase value, one row: Welch's t with its degrees of freedom, from exact
+    sums, and the rank-sum z with average ranks for ties.  No row where a
+    group has no purchase with a known value.
+
+    Ranks come from counts per value, ordered in ranges (``value_ranks``), so
+    neither a frequent value nor the whole order is one task's work.
+    """
+    bought = _events(v).filter((F.col("event_type") == "purchase") & F.col("value").isNotNull())
+    bought = bought.select(F.coalesce(F.col("user_id") % 2 == 0, F.lit(False)).alias("a"), "value")
+    sums = bought.groupBy("a").agg(
+        F.sum("value").cast("double").alias("total"), F.sum(F.col("value") * F.col("value")).cast("double").alias("squares")
+    )
+    ranks = rank_sums(bought, "value", "a")
+    columns = [c for c in (*sums.columns, *ranks.columns) if c != "a"]
+    both = sums.join(ranks, "a").agg(
+        *[F.max(F.when(F.col("a") == side, F.col(c))).alias(f"{c}_{name}") for side, name in ((True, "a"), (False, "b")) for c in columns]
+    )
+    c = {x: F.col(x) for x in both.columns}
+    mean = {s: F.try_divide(c[f"total_{s}"], c[f"n_{s}"]) for s in "ab"}
+    var = {s: sample_variance(c[f"n_{s}"], c[f"total_{s}"], c[f"squares_{s}"]) for s in "ab"}
+    t, df = welch(c["n_a"], mean["a"], var["a"], c["n_b"], mean["b"], var["b"])
+    return both.filter("n_a IS NOT NULL AND n_b IS NOT NULL").select(
+        "n_a", "n_b",
+        *[mean[s].alias(f"mean_{s}") for s in "ab"],
+        *[var[s].alias(f"var_{s}") for s in "ab"],
+        t.alias("welch_t"), df.alias("welch_df"),
+        (c["twice_rank_sum_a"].cast("double") / 2).alias("rank_sum_a"),
+        c["ties_a"].cast("double").alias("ties"),
+        rank_sum_z(c["n_a"], c["n_b"], c["twice_rank_sum_a"], c["ties_a"]).alias("rank_sum_z"),
+    )
+
+
+@query(
+    "m_subtotals",
+    sql="""
+    SELECT CAST(GROUPING(day, event_type) AS BIGINT) AS level, day, event_type,
+           count(*) AS events, count(DISTINCT user_id) AS users,
+           CAST(sum(value) AS DECIMAL(38,2)) AS total_value
+    FROM (SELECT CAST(ts AS DATE) AS day, event_type, user_id, CAST(value AS DECIMAL(18,2)) AS value FROM events) AS ev
+    GROUP BY CUBE (day, event_type)""",
+)
+def m_subtotals(v):
+    """Events, users and value by day and event type with all subtotals.
+    ``level`` tells a total from a NULL dimension: 0 by day and type, 1 by
+    day, 2 by type, 3 all.
+
+    The rows are read into cells of day and type first; the grouping sets run
+    over those.  Users can't be added up: bitmaps of the cells are merged.
+    """
+    ev = _events(v)
+    dims = ["day", "event_type"]
+    cells = ev.groupBy(*dims).agg(F.count(F.lit(1)).alias("events"), F.sum("value").cast("decimal(38,2)").alias("total_value"))
+    added = [F.sum("events").alias("events"), F.sum("total_value").cast("decimal(38,2)").alias("total_value")]
+    parts = [[F.col(d) for d in kept] for kept in (dims, ["day"], ["event_type"])]
+    sums = cells.groupingSets(parts, *dims).agg(F.grouping_id().alias("level"), *added)
+    # The grand total is a row even of no events.
+    everything = cells.agg(*added).select(F.lit(3).cast("long").alias("level"), F.coalesce("events", F.lit(0)).alias("events"), "total_value")
+    sums = sums.unionByName(everything, allowMissingColumns=True)
+    ids = id_bitmaps(ev, dims, F.col("user_id"))
+    sets = [[F.col(d) for d in kept] + [F.col("bucket")] for kept in (dims, ["day"], ["event_type"], [])]
+    merged = ids.groupingSets(sets, *dims, "bucket").agg(
+        F.grouping(F.col("day")).alias("no_day"), F.grouping(F.col("event_type")).alias("no_type"), F.bitmap_or_agg("ids").alias("ids")
+    )
+    level = (F.col("no_day") * 2 + F.col("no_type")).cast("long")
+    users = merged.groupBy(level.alias("_level"), F.col("day").alias("_day"), F.col("event_type").alias("_type")).agg(
+        F.sum(F.bitmap_count("ids")).alias("users")
+    )
+    same = (F.col("level") == F.col("_level")) & F.col("day").eqNullSafe(F.col("_day")) & F.col("event_type").eqNullSafe(F.col("_type"))
+    return sums.join(users, same, "left").select(
+        "level", *dims, "events", F.coalesce("users", F.lit(0)).alias("users"), "total_value"
+    )
+
+
 @query(
     "m_alerts",
     sql=f"""
