@@ -96,6 +96,21 @@ def test_running_total_of_long_histories(spark, seed):
     assert got == want
 
 
+def test_running_total_of_dates_in_blocks(spark):
+    rng = random.Random(9)
+    first = dt.date(1890, 1, 1)
+    rows = [(rng.choice("ab"), rng.choice([None, first + dt.timedelta(days=rng.randrange(50_000))]), rng.randint(-9, 9)) for _ in range(900)]
+    df = spark.createDataFrame(rows, "k string, d date, amount int")
+    got = running_total(df, "k", "d", "amount", "total")
+    want, total = {}, collections.Counter()
+    for k, d, amount in sorted(rows, key=lambda r: (r[1] is not None, r[1] or first)):
+        total[k] += amount
+        want[k, d] = total[k]
+    assert {(r.k, r.d): r.total for r in got.collect()} == want
+    # The days are added up once for both levels.
+    assert "ReusedExchange" in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_no_window_over_a_whole_key(spark):
     df = spark.range(100).select((F.col("id") % 3).alias("k"), "id", F.col("id").alias("x"))
     plan = prefix_sums(df, ["k"], "id", {"x": "s"})._jdf.queryExecution().optimizedPlan().toString()
