@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import heapq
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -19,8 +20,11 @@ from fathom.llm.common import pick
 REMEMBERED, SLICE = 700_000, 8 << 20
 #: Chunks that begin with a blank of any kind (other control characters are none), or are empty.
 _BLANK_FIRST = r"^([\x09-\x0d\x1c-\x20\x{85}\p{Z}]|$)"
-#: A merge is stored as first id << 16 | rank, so ids must be below 2^16; NO_MERGE is above all merges.
-IDS, NO_MERGE = 1 << 16, 1 << 40
+#: A merge is stored as first id << 20 | rank, so ids must be below 2^20; NO_MERGE is above all merges.
+BITS = 20
+IDS, NO_MERGE = 1 << BITS, 1 << 44
+#: Words of more bytes are merged by a heap: each step of the fold reads the whole word.
+LONG_WORD = 512
 
 
 @lru_cache(maxsize=4)
@@ -39,14 +43,14 @@ def rank_map(path: str) -> tuple[str, str]:
     """
     ranks = read_ranks(path)
     if max(ranks.values()) >= IDS:
-        raise ValueError("ids of 65536 and above don't fit the rank map")
+        raise ValueError(f"ids of {IDS} and above don't fit the rank map")
     rows: dict[int, list[tuple[int, int]]] = {}
     for token, rank in ranks.items():
         for i in range(1, len(token)):
             a, b = ranks.get(token[:i]), ranks.get(token[i:])
             if a is not None and b is not None:
                 rows.setdefault(a, []).append((b, rank))
-    size = IDS + 8 * sum(map(len, rows.values()))
+    size = max(ranks.values()) + 1 + 8 * sum(map(len, rows.values()))
     used, slots = np.zeros(size, bool), np.full(size, NO_MERGE, np.int64)
     bases = np.zeros(max(ranks.values()) + 1, np.int64)
     at = 0
@@ -61,14 +65,14 @@ def rank_map(path: str) -> tuple[str, str]:
                 break
             at += 4096
         put = at + int(fits) + shape
-        used[put], slots[put] = True, a << 16 | rank
+        used[put], slots[put] = True, a << BITS | rank
         bases[a] = put[0] - b[0]
         at = max(0, put.min() - 4096) if len(b) > 4 else int(put.min())
     holes = iter(np.flatnonzero(~used).tolist())
     for a in sorted(a for a in rows if len(rows[a]) == 1):
         ((b, rank),) = rows[a]
         put = next(holes)
-        used[put], slots[put] = True, a << 16 | rank
+        used[put], slots[put] = True, a << BITS | rank
         bases[a] = put - b
     end = int(np.flatnonzero(used)[-1]) + 1
     return ",".join(map(str, bases.tolist())), ",".join(map(str, slots[:end].tolist()))
@@ -86,7 +90,7 @@ def merged(symbols: Column, path: str) -> Column:
 
     def rank(a: Column, b: Column) -> Column:
         # The rank where the slot is the pair's, else a number of IDS or above; null behind the last symbol.
-        return F.get(slot, F.get(base, a) + b).bitwiseXOR(F.shiftleft(a.cast("long"), 16))
+        return F.get(slot, F.get(base, a) + b).bitwiseXOR(F.shiftleft(a.cast("long"), BITS))
 
     def step(word: Column, _: Column) -> Column:
         def merge(ranks: Column) -> Column:
@@ -104,6 +108,34 @@ def merged(symbols: Column, path: str) -> Column:
     return F.aggregate(F.sequence(F.lit(2), F.greatest(F.lit(2), F.size(symbols))), symbols, step)
 
 
+def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """What ``merged`` gives, for words of any length in n log n steps: the same merges from a heap of pairs."""
+    n = len(word)
+    # Each symbol by where it begins: where it ends is where the next one begins.
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    rank = lambda a, b: ranks.get(word[a:b])
+    heap = [(r, i, i + 2) for i in range(n - 1) if (r := rank(i, i + 2)) is not None]
+    heapq.heapify(heap)
+    while heap:
+        _, a, end = heapq.heappop(heap)
+        b = after[a]
+        # Gone: a symbol that was joined to the one before it, or a pair whose symbols have grown.
+        if b < 0 or b >= n or after[b] != end:
+            continue
+        after[a], after[b] = end, -1
+        if end < n:
+            before[end] = a
+            if (r := rank(a, after[end])) is not None:
+                heapq.heappush(heap, (r, a, after[end]))
+        if before[a] >= 0 and (r := rank(before[a], end)) is not None:
+            heapq.heappush(heap, (r, before[a], end))
+    out, a = [], 0
+    while a < n:
+        out.append(ranks[word[a : after[a]]])
+        a = after[a]
+    return out
+
+
 class Words:
     """The pattern's matches in texts, found once in each distinct chunk."""
 
@@ -142,8 +174,10 @@ def encode(docs: DataFrame, path: str | None = None, pattern: str | None = None)
     a shuffle: a task names each distinct word of its documents ahead of them,
     and the documents as numbers of words; Spark folds the merges over the
     words' bytes (``merged``), and the task puts the documents together from
-    the words' ids.  Words that are tokens need no merge.  ``decoded`` joins
-    the ids' byte strings again.
+    the words' ids.  Words that are tokens need no merge, and those of more
+    than 512 bytes take the same merges from a heap in the task
+    (``merge_long``), as the fold's time grows with the square of a word's
+    length.  ``decoded`` joins the ids' byte strings again.
 
     Null texts count as empty: no ids.  Null doc_ids and repeated rows are
     documents like any other.  An empty table gives no rows; further columns
@@ -156,6 +190,7 @@ def encode(docs: DataFrame, path: str | None = None, pattern: str | None = None)
     spec = docs.sparkSession.sparkContext.broadcast(read_ranks(path))
     arrow = pa.schema([
         ("doc_id", pa.int64()), ("words", pa.binary()), ("first", pa.bool_()), ("symbols", pa.list_(pa.int32())),
+        ("merged", pa.bool_()),
     ])
 
     def name_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,26 +207,37 @@ def encode(docs: DataFrame, path: str | None = None, pattern: str | None = None)
                 new = [w for w in words if w not in number]
                 whole = [w for w in new if w in tokens]
                 other = [w for w in new if w not in tokens]
-                number.update(zip(other + whole, range(first, first + len(new))))
-                # A word that is a token is its only symbol; others begin as their bytes.
                 raw = pa.array(other, pa.binary())
-                sizes = np.concatenate([pc.binary_length(raw).to_numpy(), np.ones(len(whole), np.int32)])
+                sizes = pc.binary_length(raw).to_numpy()
+                if len(sizes) and sizes.max() > LONG_WORD:
+                    long = [other[i] for i in np.flatnonzero(sizes > LONG_WORD).tolist()]
+                    other = [w for w, n in zip(other, sizes.tolist()) if n <= LONG_WORD]
+                    sizes = sizes[sizes <= LONG_WORD]
+                else:
+                    long = []
+                number.update(zip(other + whole + long, range(first, first + len(new))))
+                # A word that is a token is its only symbol; others begin as their bytes, and long ones are done.
+                done = [merge_long(w.encode(), ranks) for w in long]
+                sizes = np.concatenate([sizes, np.ones(len(whole), np.int32), np.array([len(d) for d in done], np.int32)])
                 symbols = np.concatenate([
                     byte_id[np.frombuffer("".join(other).encode(), np.uint8)],
                     np.array([tokens[w] for w in whole], np.int32),
+                    *[np.array(d, np.int32) for d in done],
                 ])
                 # The first of all words of this task, or after it forgot, says so.
                 yield pa.RecordBatch.from_arrays(
                     [pa.nulls(len(new), pa.int64()), pa.nulls(len(new), pa.binary()),
                      pa.array(np.arange(first, first + len(new)) == 0),
-                     pa.ListArray.from_arrays(pa.array(np.cumsum([0, *sizes]), pa.int32()), pa.array(symbols))],
+                     pa.ListArray.from_arrays(pa.array(np.cumsum([0, *sizes]), pa.int32()), pa.array(symbols)),
+                     pa.array(np.arange(len(new)) >= len(other))],
                     schema=arrow,
                 )
                 known = np.array([number[w] for w in words], "<i4")[index]
                 ends = offsets.tolist()
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), pa.array([known[a:b].tobytes() for a, b in zip(ends, ends[1:])], pa.binary()),
-                     pa.nulls(batch.num_rows, pa.bool_()), pa.nulls(batch.num_rows, pa.list_(pa.int32()))],
+                     pa.nulls(batch.num_rows, pa.bool_()), pa.nulls(batch.num_rows, pa.list_(pa.int32())),
+                     pa.nulls(batch.num_rows, pa.bool_())],
                     schema=arrow,
                 )
 
@@ -224,9 +270,10 @@ def encode(docs: DataFrame, path: str | None = None, pattern: str | None = None)
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*out), kinds)], [n for n, _ in kinds])
 
     named = pick(docs, doc_id="long", text="string").mapInArrow(
-        name_words, "doc_id long, words binary, first boolean, symbols array<int>"
+        name_words, "doc_id long, words binary, first boolean, symbols array<int>, merged boolean"
     )
-    ids = F.when(F.col("symbols").isNotNull(), merged(F.col("symbols"), path))
+    # Null for documents, whose symbols are null, too.
+    ids = F.when(F.col("merged"), F.col("symbols")).when(~F.col("merged"), merged(F.col("symbols"), path))
     return named.select("doc_id", "words", "first", ids.alias("ids")).mapInArrow(
         put_together, "doc_id long, ids binary, n_tokens long, decoded binary"
     )

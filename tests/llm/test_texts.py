@@ -1,5 +1,6 @@
 """Operators that read texts one by one: packing, token counts, BPE, language, near-duplicates, lines."""
 
+import base64
 import collections
 import hashlib
 import os
@@ -100,6 +101,45 @@ def test_token_counts_of_documents(spark, merger):
 
 
 # ------------------------------------------------------------------ byte-level BPE
+def test_long_words_equal_tiktoken(spark):
+    """Words of many sizes around the change to a heap, and of 200,000 letters."""
+    rng = random.Random(12)
+    ranks = bpe.read_ranks(PATH("byte_bpe_multi_50k.tiktoken"))
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    letters = lambda n, of: "".join(rng.choice(of) for _ in range(n))
+    texts = [letters(n, of) for n in (400, 511, 512, 513, 700, 5000) for of in ("a", "ab", "etaoin", "éßñaé")]
+    texts += ["x" * 200_000, letters(200_000, "etaoinshrdlu"), "the " + letters(3000, "the") + " the\n" + letters(600, "日本語")]
+    got = {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in bpe.encode(documents(spark, texts)).collect()}
+    assert got == {i: library.encode_ordinary(t) for i, t in enumerate(texts)}
+
+
+def test_heap_merges_in_the_order_of_ranks():
+    ranks = bpe.read_ranks(PATH("byte_bpe_multi_50k.tiktoken"))
+    rng = random.Random(3)
+    for _ in range(300):
+        word = "".join(rng.choice("aabet é") for _ in range(rng.randint(1, 30))).encode()
+        parts = [bytes((b,)) for b in word]
+        while True:
+            best = min(((ranks.get(a + b, 1 << 60), i) for i, (a, b) in enumerate(zip(parts, parts[1:]))), default=(1 << 60, 0))
+            if best[0] == 1 << 60:
+                break
+            parts[best[1] : best[1] + 2] = [parts[best[1]] + parts[best[1] + 1]]
+        assert bpe.merge_long(word, ranks) == [ranks[p] for p in parts]
+
+
+def test_ids_above_two_bytes(spark, tmp_path):
+    """A rank file whose ids all lie above 65,536."""
+    ranks = {t: r + 70_000 for t, r in bpe.read_ranks(PATH("byte_bpe_multi_50k.tiktoken")).items()}
+    path = tmp_path / "shifted.tiktoken"
+    path.write_bytes(b"".join(base64.b64encode(t) + f" {r}\n".encode() for t, r in ranks.items()))
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    texts = random_texts(20, 5) + odd_texts(10, 6)
+    rows = bpe.encode(documents(spark, texts), str(path)).collect()
+    for r in rows:
+        assert np.frombuffer(r.ids, "<u4").tolist() == library.encode_ordinary(texts[r.doc_id])
+        assert r.decoded.decode() == texts[r.doc_id]
+
+
 def test_encode_equals_tiktoken_and_decodes(spark):
     ranks = bpe.read_ranks(PATH("byte_bpe_multi_50k.tiktoken"))
     library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
