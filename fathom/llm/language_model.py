@@ -26,11 +26,15 @@ _ROW = "part long, block long, kind int, body binary"
 
 @dataclass(frozen=True)
 class Smoothing:
-    """Absolute discounts of words and pairs; pairs seen less than ``cutoff`` times have no arc."""
+    """Absolute discounts of words and pairs; pairs seen less than ``cutoff`` times have no arc.
+
+    With a cutoff of 1 every pair that was learned has one, those seen once
+    in the whole corpus as well.
+    """
 
     word: float = 0.75
     pair: float = 0.75
-    cutoff: int = 2
+    cutoff: int = 1
     #: Added to counts in the plain word model that scores are compared with.
     added: float = 0.1
 
@@ -134,19 +138,30 @@ def _rows(table: pa.Table, kind: int) -> list[tuple[int, int, bytes]]:
     return sorted(zip(*(rows.column(n).to_pylist() for n in ("part", "block", "body"))))
 
 
+def _counts(count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Counts as bytes, and those of 255 and above once more as numbers: most pairs are rare."""
+    return np.minimum(count, 255).astype("u1"), count[count >= 255].astype("<u4")
+
+
+def _read_counts(small: np.ndarray, large: np.ndarray) -> np.ndarray:
+    count = small.astype("<u4")
+    count[small == 255] = large
+    return count
+
+
 def _pair_body(h: np.ndarray, w: np.ndarray, count: np.ndarray) -> bytes:
     """Pairs sorted by their first word, which is written once; of the second word's key, 48 bits."""
     new = np.flatnonzero(np.diff(h, prepend=h[:1] + np.uint64(1)) != 0) if len(h) else np.zeros(0, np.int64)
     sizes = np.diff(new, append=len(h)).astype("<u4")
     low = w.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
-    return _pack(h[new].astype("<u8"), sizes, low, count.astype("<u4"))
+    return _pack(h[new].astype("<u8"), sizes, low, *_counts(count))
 
 
 def _read_pairs(body: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    h, sizes, low, count = _unpack(body, "<u8", "<u4", "u1", "<u4")
+    h, sizes, low, small, large = _unpack(body, "<u8", "<u4", "u1", "u1", "<u4")
     w = np.zeros((len(low) // 6, 8), np.uint8)
     w[:, :6] = low.reshape(-1, 6)
-    return np.repeat(h, sizes), w.view("<u8").ravel(), count
+    return np.repeat(h, sizes), w.view("<u8").ravel(), _read_counts(small, large)
 
 
 def gather(block: int, found: Block, parts: int) -> pa.Table:
@@ -179,13 +194,13 @@ def sum_pairs(table: pa.Table, parts: int, how: Smoothing) -> pa.Table:
     total = np.add.reduceat(count[order].astype(np.int64), heads)
     own = np.empty(len(order), np.int64)
     own[order] = np.cumsum(new) - 1
-    arc = total >= how.cutoff
+    arc = total >= max(1, how.cutoff)
     out, at = [], 0
     for (part, block, _), (rh, _, _) in zip(rows, read):
         mine = own[at : at + len(rh)]
         at += len(rh)
         has = arc[mine]
-        out.append((part, block, PAIRS, _pack(np.packbits(has), total[mine[has]].astype("<u4"))))
+        out.append((part, block, PAIRS, _pack(np.packbits(has), *_counts(total[mine[has]]))))
     first = h[order[heads]][arc]
     if len(first):
         to = (first % np.uint64(parts)).astype(np.int64)
@@ -249,8 +264,8 @@ class Automaton:
         spans = {p: (a, b) for p, a, b in _runs(part)}
         for p, _, body in _rows(answers, PAIRS):
             a, b = spans[p]
-            has, total = _unpack(body, "u1", "<u4")
-            pairs[order[a:b][np.unpackbits(has, count=b - a).astype(bool)]] = total
+            has, small, large = _unpack(body, "u1", "u1", "<u4")
+            pairs[order[a:b][np.unpackbits(has, count=b - a).astype(bool)]] = _read_counts(small, large)
         seen = np.maximum(self.count, 1)
         root = np.where(self.count > 0, (self.count - how.word) / max(tokens, 1), how.word * words / tokens if tokens else 1.0)
         left = np.where(self.count > 0, 1 - (arcs - how.pair * number) / seen, 1.0)
@@ -315,11 +330,10 @@ def score(docs: DataFrame, learn: Column, how: Smoothing = Smoothing()) -> DataF
     words = told.groupBy("part").cogroup(contexts.groupBy("part")).applyInArrow(
         add_words, _ROW + ", tokens long, words long"
     )
-    totals = words.filter(F.col("kind") == TOTALS).agg(
-        F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens"), F.coalesce(F.sum("words"), F.lit(0)).alias("words")
-    )
+    total = F.struct(F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens"), F.coalesce(F.sum("words"), F.lit(0)).alias("words"))
+    totals = words.filter(F.col("kind") == TOTALS).agg(total).scalar()
     answers = words.filter(F.col("kind") == WORDS).drop("tokens", "words").unionByName(pairs.filter(F.col("kind") == PAIRS))
-    answers = answers.crossJoin(F.broadcast(totals))  # one row
+    answers = answers.select("*", totals["tokens"].alias("tokens"), totals["words"].alias("words"))
 
     def read(texts: pa.Table, answered: pa.Table) -> pa.Table:
         texts = _documents(texts)

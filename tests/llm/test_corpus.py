@@ -53,13 +53,13 @@ def plain_scores(rows, how):
     return out, (count, v, root, step)
 
 
-@pytest.mark.parametrize("block", [1 << 24, 2000])
-def test_scores_by_brute_force(spark, monkeypatch, block):
+@pytest.mark.parametrize("block, cutoff", [(1 << 24, 1), (2000, 1), (2000, 2)])
+def test_scores_by_brute_force(spark, monkeypatch, block, cutoff):
     monkeypatch.setattr(language_model, "BLOCK_BYTES", block)
     monkeypatch.setattr(language_model, "PART_BYTES", max(500, block // 10))
     texts = [t.replace("\xa0", " ") for t in random_texts(80, 9, words=80)] + [None, "", " \n", "The THE the", "x " * 3000, " lead", "lead "]
     ids = [*range(len(texts) - 3), 5, 5, None]
-    how = language_model.Smoothing()
+    how = language_model.Smoothing(cutoff=cutoff)
     got = language_model.score(documents(spark, texts, ids), id_crc32(F.col("doc_id")) % 10 != 0, how).collect()
     want, _ = plain_scores(list(zip(ids, texts)), how)
     key = lambda r: (r[0] is None, r[0], r[1], round(r[4], 6))
@@ -69,6 +69,23 @@ def test_scores_by_brute_force(spark, monkeypatch, block):
         assert a[:4] == b[:4] and math.isclose(a[4], b[4], rel_tol=1e-9) and math.isclose(a[5], b[5], rel_tol=1e-9)
 
 
+def test_counts_of_any_size_travel():
+    count = np.array([0, 1, 254, 255, 256, 70_000, 3, 255])
+    assert language_model._read_counts(*language_model._counts(count)).tolist() == count.tolist()
+
+
+def test_pairs_seen_once_are_known(spark):
+    """Copies of learned texts score far above their words alone, though no pair occurs twice."""
+    rng = random.Random(4)
+    texts = [" ".join(rng.sample([f"w{i}" for i in range(400)], 30)) for _ in range(60)]
+    learned = [i for i in range(2000) if crc(i) % 10][:60]
+    copies = [i for i in range(2000) if not crc(i) % 10][:20]
+    docs = documents(spark, texts + texts[:20] + [" ".join(rng.sample(t.split(), 30)) for t in texts[:20]], [*learned, *copies, *[-i for i in range(20)]])
+    rows = language_model.score(docs, F.col("doc_id").isin(learned)).collect()
+    gain = {r.doc_id: r.score - r.base_score for r in rows}
+    assert min(gain[i] for i in copies) > max(gain[-i] for i in range(1, 20)) + 10
+
+
 def test_probabilities_behind_a_state_add_up_to_one():
     rows = [(i, t) for i, t in enumerate(random_texts(50, 10))]
     _, (count, _, root, step) = plain_scores(rows, language_model.Smoothing())
