@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 TABLES = (
     "region",
@@ -28,6 +29,10 @@ TABLES = (
 )
 
 
+#: Schemas by path, as found in the files: finding one is a job, and a query may read a table several times.
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table_path(root: str, name: str) -> str:
     """Location of one table: ``<root>/<name>.parquet`` (file or directory)."""
     return os.path.join(root, f"{name}.parquet")
@@ -41,5 +46,8 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
         raise KeyError(f"unknown table {name!r}")
     if root.startswith("catalog:"):
         return spark.table(f"{root[len('catalog:'):]}.{name}")
-    # Listed anew for every query, so that appended files are read.
-    return spark.read.parquet(table_path(root, name))
+    # Listed anew for every use, so that appended files are read; the schema is found once.
+    path = table_path(root, name)
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)

@@ -34,3 +34,20 @@ def test_sql_on_registered_views(spark, registered, key):
     got = spark.sql(sql)
     problems, _, _ = compare_frames(got, registered.sql(with_views(sql)))
     assert not problems, problems
+
+
+def test_a_table_is_listed_anew_and_its_schema_found_once(spark, tmp_path):
+    from fathom.sources import tables
+
+    root, path = str(tmp_path), str(tmp_path / "events.parquet")
+    rows = spark.range(5).selectExpr("id AS event_id", "'view' AS event_type")
+    rows.write.parquet(path)
+    first = tables.read_table(spark, root, "events")
+    assert first.count() == 5 and first.schema == spark.read.parquet(path).schema
+    rows.write.mode("append").parquet(path)
+    again = tables.read_table(spark, root, "events")
+    assert again.count() == 10 and again.schema == first.schema
+    tracker = spark.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup())
+    tables.read_table(spark, root, "events")
+    assert len(tracker.getJobIdsForGroup()) == before
