@@ -10,12 +10,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from fathom.llm.common import cut, pick
+from fathom.llm.common import cut, hash128, pick
 from fathom.llm.components import connected_components
 
 #: Tables, lattice cells probed besides a vector's own, and the lattice's scale
-#: in units of a unit vector's length.
-TABLES, PROBES, SCALE, SEED = 4, 3, 0.3, 2024
+#: as a multiple of the projected distance of a pair right at the threshold.
+TABLES, PROBES, SCALE, SEED = 4, 3, 2.27, 2024
 #: Rows of a cell that are compared in one task.
 BLOCK = 1024
 
@@ -66,11 +66,17 @@ def _key(points: np.ndarray) -> np.ndarray:
 
 
 class Lattice:
-    """Cells of unit vectors in ``tables`` random projections to eight dimensions."""
+    """Cells of unit vectors in ``tables`` random projections to eight dimensions.
 
-    def __init__(self, dim: int, tables: int, probes: int, scale: float, seed: int):
+    A projection keeps about 8 of ``dim`` parts of a squared distance, so the
+    cells shrink with the length as the distances do: recall and the share of
+    rows in a cell's neighbourhood don't depend on the length.
+    """
+
+    def __init__(self, dim: int, cosine: float, tables: int, probes: int, scale: float, seed: int):
         rng = np.random.default_rng([seed, dim])
-        self.probes, self.scale = probes, scale
+        apart = np.sqrt(max(2 - 2 * cosine, 1e-6) * min(1.0, 8 / dim))
+        self.probes, self.scale = probes, scale * apart
         self.frames = []
         for _ in range(tables):
             frame = rng.normal(size=(max(dim, 8), 8))
@@ -106,6 +112,11 @@ def able() -> Column:
     return F.coalesce(F.col("label").isNotNull() & good, F.lit(False))
 
 
+def class_key() -> Column:
+    """128 bits of hash of label and vector, as 16 bytes."""
+    return F.unhex(F.concat(*[F.lpad(F.hex(h), 16, "0") for h in hash128(F.struct("label", "v"))]))
+
+
 def classes_of(vectors: DataFrame) -> DataFrame:
     """(cls, dim, label, v, copies, least): equal vectors of one label in one row.
 
@@ -113,7 +124,7 @@ def classes_of(vectors: DataFrame) -> DataFrame:
     or non-finite components, not empty and not zero.
     """
     found = vectors.filter(able()).groupBy("label", "v").agg(F.count("*").alias("copies"), F.min("vec_id").alias("least"))
-    return found.select(F.xxhash64("label", "v").alias("cls"), F.size("v").alias("dim"), "label", "v", "copies", "least")
+    return found.select(class_key().alias("cls"), F.size("v").alias("dim"), "label", "v", "copies", "least")
 
 
 def links(classes: DataFrame, cosine: float, tables: int, probes: int, scale: float, seed: int) -> DataFrame:
@@ -129,7 +140,7 @@ def links(classes: DataFrame, cosine: float, tables: int, probes: int, scale: fl
     tell without a shuffle.
     """
     spread = classes.mapInArrow(
-        _Spread(tables, probes, scale, seed),
+        _Spread(cosine, tables, probes, scale, seed),
         StructType(classes.schema.fields[:5]).add("tab", "integer").add("cell", "long").add("own", "boolean"),
     )
     spread = cut(spread, "lattice-cells")
@@ -151,7 +162,7 @@ def links(classes: DataFrame, cosine: float, tables: int, probes: int, scale: fl
     def run(cell: pa.Table) -> pa.Table:
         return compare(cell)
 
-    return met.groupBy(*place, "i", "j").applyInArrow(run, "src long, dst long, n long")
+    return met.groupBy(*place, "i", "j").applyInArrow(run, "src binary, dst binary, n long")
 
 
 class _Spread:
@@ -161,7 +172,7 @@ class _Spread:
         self.how = how
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables, probes, scale, seed = self.how
+        tables = self.how[1]
         lattices: dict[int, Lattice] = {}
         for whole in batches:
             for start in range(0, whole.num_rows, 1024):
@@ -169,7 +180,7 @@ class _Spread:
                 dims = batch.column(1).to_numpy()
                 for dim in np.unique(dims).tolist():
                     rows = batch.filter(pa.array(dims == dim))
-                    lattice = lattices.setdefault(dim, Lattice(dim, tables, probes, scale, seed))
+                    lattice = lattices.setdefault(dim, Lattice(dim, *self.how))
                     unit = unit_rows(_matrix(rows.column(3)))
                     for t in range(tables):
                         own, probed = lattice.cells(t, unit)
@@ -191,11 +202,12 @@ class _Compare:
     """The links between two blocks of a cell (or within one), each where its pair meets first."""
 
     def __init__(self, cosine, *how):
-        self.cosine, self.how = cosine, how
+        self.cosine, self.how = cosine, (cosine, *how)
 
     def __call__(self, table: pa.Table) -> pa.Table:
         rows = {n: table.column(n).combine_chunks() for n in ("cls", "v", "copies", "mine", "own")}
         cls, copies, mine, own = (rows[n].to_numpy(zero_copy_only=False) for n in ("cls", "copies", "mine", "own"))
+        names, place = np.unique(cls, return_inverse=True)
         first = {n: table.column(n)[0].as_py() for n in ("dim", "tab", "cell", "i", "j")}
         unit = unit_rows(_matrix(rows["v"]))
         near = unit @ unit.T >= self.cosine
@@ -209,7 +221,7 @@ class _Compare:
             fresh = ~self._met_before(unit, a, b, first)
             a, b = a[fresh], b[fresh]
         count = np.bincount(a, copies[b], len(cls)) + np.bincount(b, copies[a], len(cls))
-        root = cls.copy()
+        root = place.copy()
         while len(a):
             before = root.copy()
             np.minimum.at(root, a, before[b])
@@ -217,7 +229,11 @@ class _Compare:
             if (root == before).all():
                 break
         linked = np.flatnonzero(count)
-        return pa.table({"src": cls[linked], "dst": root[linked], "n": count[linked].astype(np.int64)})
+        return pa.table({
+            "src": pa.array(cls[linked], pa.binary()),
+            "dst": pa.array(names[root[linked]], pa.binary()),
+            "n": count[linked].astype(np.int64),
+        })
 
     def _met_before(self, unit: np.ndarray, a: np.ndarray, b: np.ndarray, here: dict) -> np.ndarray:
         """Of pairs that meet in this cell, those that also meet in an earlier table or a smaller cell of this one."""
@@ -251,8 +267,9 @@ def near_duplicates(
     least ``cosine``.  n_links counts the other rows linked directly,
     component_id is the smallest vec_id that links reach, kept whether it is
     the row's own.  Every link reported is verified; which are found depends
-    on the lattice (the README has measured recall).  Equal vectors of a
-    label are one class (64-bit hash) and always linked.
+    on the lattice, whose cells follow from the vectors' length and ``cosine``
+    (the README has measured recall).  Equal vectors of a label are one class
+    (128-bit hash) and always linked.
 
     Vectors that are null, empty or zero or that hold null or non-finite
     components, and those without a label, link with nothing: no links, a
@@ -276,7 +293,7 @@ def near_duplicates(
         "cls", "component_id", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links")
     )
     return (
-        rows.select("vec_id", F.when(able(), F.xxhash64("label", "v")).alias("cls"))
+        rows.select("vec_id", F.when(able(), class_key()).alias("cls"))
         .join(known, "cls", "left")
         .select(
             "vec_id",
