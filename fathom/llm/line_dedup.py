@@ -28,46 +28,62 @@ class LineRuns:
     """Sorted runs (k1, k2, n_docs, keeper) in levels, in the shared folder.
 
     A run has one row per line key: in how many documents the key was found
-    and the largest doc_id among them.  ``add`` writes a batch as a run of
-    level 0; ``FANOUT`` runs of a level are merged into one of the next, so n
-    batches leave O(log n) runs and each row is rewritten O(log n) times.
+    and the largest doc_id among them.  ``add`` merge-joins a batch's keys
+    with all runs: those that no run has become a run of level 0, so each key
+    stands in one run only; those that one has become an update (further
+    documents, another keeper) beside the runs.  ``FANOUT`` runs or updates of
+    a level are merged into one of the next, so n batches leave O(log n) of
+    each, which a batch reads, and a row is rewritten O(log n) times.
     """
 
     def __init__(self, spark: SparkSession, fanout: int = FANOUT):
         self.spark, self.fanout = spark, fanout
         self.folder = new_folder(spark, "line-runs")
-        self.levels: list[list[str]] = []
+        self.levels: list[list[DataFrame]] = []
+        self.updates: list[list[DataFrame]] = []
         self._written = 0
 
-    def _write(self, rows: DataFrame, level: int) -> None:
-        path = f"{self.folder}/level{level}-{self._written}"
+    def _path(self) -> str:
         self._written += 1
-        rows.sortWithinPartitions("k1", "k2").write.parquet(path)
-        while len(self.levels) <= level:
-            self.levels.append([])
-        self.levels[level].append(path)
-
-    def _read(self, paths: list[str]) -> DataFrame:
-        runs = [self.spark.read.schema(_RUN).parquet(p) for p in paths]
-        return reduce(DataFrame.unionByName, runs) if runs else self.spark.createDataFrame([], _RUN)
+        return f"{self.folder}/{self._written}"
 
     @staticmethod
     def _merged(rows: DataFrame) -> DataFrame:
         return rows.groupBy("k1", "k2").agg(F.sum("n_docs").alias("n_docs"), F.max("keeper").alias("keeper"))
 
+    def _all(self, levels: list[list[DataFrame]]) -> DataFrame:
+        found = [rows for level in levels for rows in level]
+        return reduce(DataFrame.unionByName, found) if found else self.spark.createDataFrame([], _RUN)
+
+    def _put(self, levels: list[list[DataFrame]], rows: DataFrame) -> None:
+        """``rows`` into level 0, and full levels compacted into the next ones."""
+        level = 0
+        while True:
+            if level == len(levels):
+                levels.append([])
+            levels[level].append(rows)
+            if len(levels[level]) < self.fanout:
+                return
+            path = self._path()
+            self._merged(self._all([levels[level]])).sortWithinPartitions("k1", "k2").write.parquet(path)
+            rows, levels[level], level = self.spark.read.schema(_RUN).parquet(path), [], level + 1
+
     def add(self, batch: DataFrame) -> None:
         """Add the keys (k1, k2, doc_id) of a batch; its documents are in no other batch."""
         once = batch.select("k1", "k2", "doc_id").distinct()
-        self._write(once.groupBy("k1", "k2").agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("keeper")), 0)
-        level = 0
-        while level < len(self.levels) and len(self.levels[level]) >= self.fanout:
-            paths, self.levels[level] = self.levels[level], []
-            self._write(self._merged(self._read(paths)), level + 1)
-            level += 1
+        keys = once.groupBy("k1", "k2").agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("keeper"))
+        before = self._all(self.levels).select("k1", "k2", F.lit(True).alias("known"))
+        split = keys.join(before.hint("merge"), ["k1", "k2"], "left")
+        split = split.withColumn("known", F.coalesce("known", F.lit(False)))
+        path = self._path()
+        split.sortWithinPartitions("known", "k1", "k2").write.partitionBy("known").parquet(path)
+        done = self.spark.read.schema(f"{_RUN}, known boolean").parquet(path)
+        self._put(self.levels, done.filter("NOT known").drop("known"))
+        self._put(self.updates, done.filter("known").drop("known"))
 
     def rows(self) -> DataFrame:
-        """All keys of all runs, one row each."""
-        return self._merged(self._read([p for level in self.levels for p in level]))
+        """All keys of all runs, one row each, with the updates in their counts and keepers."""
+        return self._merged(self._all(self.levels).unionByName(self._all(self.updates)))
 
 
 def key_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:

@@ -350,6 +350,23 @@ def test_runs_are_levelled(spark):
     assert found == {k: (5, 40 + k) for k in range(3)} | {100 + b: (1, b) for b in range(5)}
 
 
+@pytest.mark.parametrize("fanout", [2, 3])
+def test_a_run_holds_no_key_of_an_older_run(spark, fanout):
+    rng = random.Random(fanout)
+    runs, older, held = line_dedup.LineRuns(spark, fanout=fanout), set(), {}
+    for b in range(7):
+        rows = [(rng.randrange(40), 0, 100 * b + rng.randrange(30)) for _ in range(25 if b != 4 else 0)]
+        for k, _, i in rows:
+            held.setdefault(k, set()).add(i)
+        runs.add(spark.createDataFrame(rows, "k1 long, k2 long, doc_id long"))
+        stood = [r.k1 for level in runs.levels for part in level for r in part.collect()]
+        assert len(stood) == len(set(stood)) and set(stood) == older | {k for k, _, _ in rows}
+        again = {r.k1 for level in runs.updates for part in level for r in part.collect()}
+        assert again <= older
+        older |= set(stood)
+    assert {r.k1: (r.n_docs, r.keeper) for r in runs.rows().collect()} == {k: (len(v), max(v)) for k, v in held.items()}
+
+
 def test_digests_of_queries(spark):
     """The queries' digest columns are those of the operators' real outputs."""
     from fathom.llm import queries
