@@ -304,13 +304,15 @@ def without_unknown(docs: DataFrame, how: Training = Training()) -> DataFrame:
     """The documents in whose text a language was found; columns as given (doc_id, text, lang and others).
 
     Those are the documents that have a letter, also with nothing to learn
-    from.  Which language is found, and how probable it is, rejects none.
+    from.  Which language is found, and how probable it is, rejects none; a
+    null lang becomes the language found (it stays null where nothing could
+    be learned), other values stay as they are.
     """
     rows = training_rows(docs, how)
     if not rows:
         return with_letters(docs)
-    found = predict(docs, train(rows, how))
-    return found.filter(F.col("lang_pred") != UNKNOWN).select(*docs.columns)
+    found = predict(docs, train(rows, how)).filter(F.col("lang_pred") != UNKNOWN)
+    return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
 
 
 def with_letters(docs: DataFrame, text: str = "text") -> DataFrame:

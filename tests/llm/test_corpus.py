@@ -324,6 +324,29 @@ def test_pipeline_stages_keep_columns_and_take_effect(spark):
     assert {r.doc_id for r in packed.select("doc_id").distinct().collect()} == {r.doc_id for r in docs.collect()}
 
 
+@pytest.mark.parametrize("rows", [
+    [],
+    [(1, None, None, None, None), (None, "12 !?", None, "s", 1), (3, "", "en", "s", 0)],
+    [(1, "one line of a text that is told twice", None, "s", 1), (2, "one line of a text that is told twice", "en", "s", 1),
+     (None, "a text of nobody", "en", None, None), (None, "x" * 40_000, "en", "s", 1), (7, None, "en", "s", 0)],
+])
+def test_pipeline_runs_on_odd_and_empty_tables(spark, tmp_path, rows):
+    import corpus_pipeline
+
+    schema = "doc_id long, text string, lang string, source string, n_chars long, TEXT string, start long"
+    case = spark.conf.get("spark.sql.caseSensitive")
+    spark.conf.set("spark.sql.caseSensitive", "true")
+    try:
+        table = spark.createDataFrame([(*r, "other", 5) for r in rows], schema)
+        table.write.parquet(f"{tmp_path}/documents.parquet")
+        packed = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.set("spark.sql.caseSensitive", case)
+    want = {1, None} if len(rows) == 5 else set()
+    assert {r.doc_id for r in packed} == want
+    assert all(r.length > 0 and r.length & (r.length - 1) == 0 and r.length <= 1024 for r in packed)
+
+
 def test_all_queries_are_registered_without_a_session():
     code = "import __spark_entry__ as e; print(*sorted(k for k in e.queries() if k.startswith('op') or k == 'pipeline'))"
     done = subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True, timeout=120)

@@ -226,6 +226,14 @@ def test_stage_rejects_no_text_with_a_letter(spark):
     assert {r.doc_id for r in language.without_unknown(table).collect()} == {i for i in range(50) if i % 5 < 3}
 
 
+def test_stage_fills_a_missing_language(spark):
+    rows = [(i, ["aab abba baab", "xyx yxy yyxx"][i % 2], [["one", "two"][i % 2], None][i >= 60]) for i in range(80)]
+    rows.append((80, "aab aab", "kept"))
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r.lang for r in language.without_unknown(table).collect()}
+    assert got == {i: ["one", "two"][i % 2] for i in range(80)} | {80: "kept"}
+
+
 @pytest.mark.parametrize("lang, ids", [(None, range(6)), ("en", [None] * 6)])
 def test_stage_keeps_all_letters_with_nothing_to_learn_from(spark, lang, ids):
     texts = ["aab abba", "x" * 30_000, "日本", "123 !?", "", None]
