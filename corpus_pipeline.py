@@ -21,12 +21,16 @@ def detect_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Drop the documents in which no language is found: null and letterless texts, and no others.
 
     Every text with a letter stays, whatever its language and probability.
+    A document without a lang gets the one that the network finds in its text.
     """
     return language.without_unknown(pick(docs, **_DOCUMENT))
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines found in three documents or more stay in one of them; n_chars follows the text."""
+    """Lines found in three documents or more stay in one of them; n_chars follows the text.
+
+    No document goes; null texts become empty, and an empty table gives none.
+    """
     docs = pick(docs, **_DOCUMENT)
     kept = line_dedup.rewrite(docs)
     return kept.withColumn("n_chars", F.char_length("text").cast("long"))
@@ -38,7 +42,10 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of at most 1024 tokens, one power-of-two piece of a document each."""
+    """Sequences of at most 1024 tokens, one power-of-two piece of a document each.
+
+    Null texts count as empty ones: their end id alone.  An empty table gives no rows.
+    """
     return packing.pieces(docs, max_length=1024, end_id=0)
 
 
