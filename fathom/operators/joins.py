@@ -12,10 +12,12 @@ back to when the subquery side is too large to broadcast.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_KEY = "__either_key"
+_KEY, _PART, _TURN, _HIT, _ANY = (f"__either_{n}" for n in ("key", "part", "turn", "hit", "any"))
 
 
 def either_key_join(
@@ -38,30 +40,56 @@ def either_key_join(
     ``broadcast_right`` is for a right side whose size is bounded
     independently of the data volume (a dimension such as one row per
     nation): it keeps the left side from being shuffled onto a handful of
-    key values.  Otherwise the join strategy is left to Spark/AQE.
+    key values.  Otherwise there is one join, whose strategy is left to
+    Spark/AQE, and for ``"left"`` one exchange more, by the left row; its
+    columns must then be of types that can be compared (no maps).
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
     overlap = set(left.columns) & set(right.columns)
     if overlap:
         raise ValueError(f"either_key_join needs disjoint columns, shared: {sorted(overlap)}")
-    if broadcast_right:
-        right = F.broadcast(right)
     if how == "inner":
+        if broadcast_right:
+            right = F.broadcast(right)
         expanded = left.withColumn(_KEY, F.explode(F.array_distinct(F.array(*[F.col(k) for k in left_keys]))))
         return expanded.join(right, F.col(_KEY) == right[right_key], "inner").drop(_KEY)
-    # Keys that the right side does not have become NULL, so that a row
-    # without a match is left with no key and kept once by explode_outer.
-    known = right.select(F.col(right_key).alias(_KEY)).distinct()
+    own = _own_keys(left_keys)
     if broadcast_right:
-        known = F.broadcast(known)
-    found, names = left, [f"{_KEY}_{i}" for i in range(len(left_keys))]
-    for k, name in zip(left_keys, names):
-        own = known.withColumnRenamed(_KEY, name)
-        found = found.join(own, F.col(k) == F.col(name), "left")
-    keys = F.array_distinct(F.array_compact(F.array(*[F.col(n) for n in names])))
-    expanded = found.withColumn(_KEY, F.explode_outer(keys)).drop(*names)
-    return expanded.join(right, F.col(_KEY) == right[right_key], "left").drop(_KEY)
+        return _looked_up(left, right, own, right_key)
+    # Each row asks once for each of its keys.  Its answers meet again by the
+    # row itself: equal rows have equal answers, so they may meet together,
+    # and the number of the partition deals them out.  (That number, unlike a
+    # row id, is the same when a lost task runs again.)
+    asked = F.filter(F.array(*own), lambda k: k.isNotNull())
+    asking = left.withColumn(_PART, F.spark_partition_id()).select("*", F.posexplode_outer(asked).alias(_TURN, _KEY))
+    answered = asking.join(right.withColumn(_HIT, F.lit(True)), F.col(_KEY) == right[right_key], "left")
+    same_row = Window.partitionBy(_PART, *left.columns)
+    answered = answered.withColumn(_ANY, F.max(_HIT).over(same_row))
+    first_of_none = F.col(_ANY).isNull() & (F.coalesce(F.col(_TURN), F.lit(0)) == 0)
+    return answered.filter(F.col(_HIT) | first_of_none).drop(_PART, _TURN, _KEY, _HIT, _ANY)
+
+
+def _own_keys(names: list[str]) -> list[Column]:
+    """The keys of a row, NULL in place of one that an earlier column has."""
+    own = []
+    for i, name in enumerate(names):
+        repeated = [F.col(name).eqNullSafe(F.col(earlier)) for earlier in names[:i]]
+        own.append(F.when(~reduce(Column.__or__, repeated), F.col(name)) if repeated else F.col(name))
+    return own
+
+
+def _looked_up(left: DataFrame, right: DataFrame, own: list[Column], right_key: str) -> DataFrame:
+    """The left join to a bounded right side, as a lookup: no join and no shuffle of the left side.
+
+    The right rows by key are one value, computed once and shipped to every task.
+    """
+    by_key = right.filter(F.col(right_key).isNotNull()).groupBy(F.col(right_key).alias(_KEY)).agg(
+        F.collect_list(F.struct(*right.columns)).alias(_HIT)
+    )
+    table = by_key.agg(F.map_from_entries(F.collect_list(F.struct(_KEY, _HIT)))).scalar()
+    found = F.flatten(F.array_compact(F.array(*[F.try_element_at(table, k) for k in own])))
+    return left.select("*", F.explode_outer(found).alias(_HIT)).select(*left.columns, f"{_HIT}.*")
 
 
 def not_in(df: DataFrame, value: Column, sub: DataFrame, sub_col: str) -> DataFrame:

@@ -34,8 +34,9 @@ def _maybe(rng, domain, p_null=0.2):
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
+@pytest.mark.parametrize("bounded", [False, True])
 @pytest.mark.parametrize("how", ["inner", "left"])
-def test_either_key_join_matches_or_join(spark, seed, how):
+def test_either_key_join_matches_or_join(spark, seed, how, bounded):
     rng = random.Random(seed)
     con = duckdb.connect()
     keys = ["k1", "k2", "k3", "k4"]
@@ -44,7 +45,7 @@ def test_either_key_join_matches_or_join(spark, seed, how):
     right_rows = [(k, n) for n, k in enumerate(keys[:3])] + [("k1", 99)]  # duplicate right key
     left = _frame(spark, con, "l", left_rows, "id int, a string, b string")
     right = _frame(spark, con, "r", right_rows, "k string, v int")
-    got = either_key_join(left, right, ["a", "b"], "k", how).select("id", "a", "b", "k", "v")
+    got = either_key_join(left, right, ["a", "b"], "k", how, bounded).select("id", "a", "b", "k", "v")
     join = "JOIN" if how == "inner" else "LEFT JOIN"
     want = con.sql(f"SELECT l.id, l.a, l.b, r.k, r.v FROM l {join} r ON r.k = l.a OR r.k = l.b")
     problems, _, _ = compare_frames(got, want)
@@ -146,6 +147,34 @@ def test_hot_key_results_are_whole(spark):
     assert not problems, problems
 
 
+def test_left_either_key_join_of_equal_rows_and_null_right_keys(spark):
+    """A third of all rows are equal and match nothing: each stays once; NULL on the right matches no NULL."""
+    left = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("none")).otherwise(F.concat(F.lit("k"), F.col("id") % 50)).alias("a"),
+        F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.lit("k7")).cast("string").alias("b"),
+    ).repartition(6)
+    right = spark.createDataFrame([("k7", 1), ("k8", 2), ("k8", 3), (None, 4)], "k string, v int")
+    both = [either_key_join(left, right, ["a", "b"], "k", "left", bounded) for bounded in (False, True)]
+    counts = [{tuple(r[:4]): r.n for r in d.groupBy("a", "b", "k", "v").agg(F.count(F.lit(1)).alias("n")).collect()} for d in both]
+    assert counts[0] == counts[1]
+    assert counts[0][("none", None, None, None)] == 1000
+    assert sum(n for (a, _, k, _), n in counts[0].items() if k == "k7") == 2000
+    assert counts[0][("k8", "k7", "k8", 2)] == counts[0][("k8", "k7", "k8", 3)] == counts[0][("k8", "k7", "k7", 1)]
+
+
+def test_left_either_key_join_has_one_join(spark):
+    left = spark.createDataFrame([(1, "a", "b", "c")], "id int, x string, y string, z string")
+    right = spark.createDataFrame([("a", 1)], "k string, v int")
+    for bounded, joins in ((False, 1), (True, 0)):
+        got = either_key_join(left, right, ["x", "y", "z"], "k", "left", bounded)
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        rows = [line for line in plan.split("\n") if not line.lstrip(" :+-").startswith("Subquery")]
+        assert sum("Join " in line for line in rows) == joins
+        if bounded:
+            main = got._jdf.queryExecution().executedPlan().toString().split("Subquery")[0]
+            assert "Exchange" not in main
+
+
 def test_global_row_number_spreads_a_hot_ordering_value(spark):
     rows = [("hot" if i % 3 == 0 else f"k{i % 97:02d}", i) for i in range(6000)]
     df = spark.createDataFrame(rows, "g string, i int")
@@ -279,12 +308,12 @@ def test_either_key_join_three_keys_property(spark):
     right_rows = st.lists(st.tuples(st.sampled_from(["a", "b", "c", "e"]), st.integers(0, 3)), min_size=0, max_size=6)
 
     @settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
-    @given(left_rows, right_rows, st.sampled_from(["inner", "left"]))
-    def check(lrows, rrows, how):
+    @given(left_rows, right_rows, st.sampled_from(["inner", "left"]), st.booleans())
+    def check(lrows, rrows, how, bounded):
         con = duckdb.connect()
         left = _frame(spark, con, "l", lrows, "id int, a string, b string, c string")
         right = _frame(spark, con, "r", rrows, "k string, v int")
-        got = either_key_join(left, right, ["a", "b", "c"], "k", how).select("id", "a", "b", "c", "k", "v")
+        got = either_key_join(left, right, ["a", "b", "c"], "k", how, bounded).select("id", "a", "b", "c", "k", "v")
         join = "JOIN" if how == "inner" else "LEFT JOIN"
         want = con.sql(f"SELECT l.id, l.a, l.b, l.c, r.k, r.v FROM l {join} r ON r.k = l.a OR r.k = l.b OR r.k = l.c")
         problems, _, _ = compare_frames(got, want)
