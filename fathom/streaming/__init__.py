@@ -1,8 +1,9 @@
 """Structured Streaming versions of the ledger aggregations."""
 
-from fathom.streaming.ledger import cash_moves, daily_ledger, start_daily_ledger, table_stream
+from fathom.streaming.balance import advance, late_moves, start_running_balance
+from fathom.streaming.ledger import cash_moves, daily_ledger, dropped_as_late, start_daily_ledger, table_stream
 
-__all__ = ["cash_moves", "daily_ledger", "start_daily_ledger", "table_stream"]
-from fathom.streaming.balance import advance, start_running_balance  # noqa: E402
-
-__all__ += ["advance", "start_running_balance"]
+__all__ = [
+    "advance", "cash_moves", "daily_ledger", "dropped_as_late", "late_moves",
+    "start_daily_ledger", "start_running_balance", "table_stream",
+]

@@ -10,7 +10,9 @@ day with operations, the balance at the end of that day.  As a stream:
   behind the newest day seen); once a day is older it is final: it is
   emitted with the point's carried balance plus the running sum of the
   finished days, and folded into that balance;
-* late rows for already finished days are dropped, as a watermark would.
+* late rows for already finished days change no balance, as with a
+  watermark; they are kept apart, one folder a batch under ``late``, where
+  ``late_moves`` reads them.
 
 The state is tiny (open days per point and one balance per point) and is
 written per batch id under ``state`` next to the output, so a retried batch
@@ -33,6 +35,7 @@ MONEY = "decimal(38,2)"
 OPEN_SCHEMA = "point int, date date, rev decimal(38,2)"
 BALANCE_SCHEMA = "point int, balance decimal(38,2)"
 META_SCHEMA = "newest date, cut date"
+LATE_SCHEMA = "point int, ts timestamp, rev decimal(38,2)"
 
 
 def _read(spark: SparkSession, path: str | None, schema: str) -> DataFrame:
@@ -41,12 +44,29 @@ def _read(spark: SparkSession, path: str | None, schema: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def _meta(spark: SparkSession, prev_state: str | None):
+    """(newest day, cut) after the batch before; NULLs where there was none."""
+    rows = _read(spark, prev_state and f"{prev_state}/meta", META_SCHEMA).collect()
+    return (rows[0].newest, rows[0].cut) if rows else (None, None)
+
+
+def late(spark: SparkSession, moves: DataFrame, prev_state: str | None) -> DataFrame:
+    """The moves of a batch that ``advance`` leaves out: their day was finished before, or they have none."""
+    cut = _meta(spark, prev_state)[1]
+    undated = F.col("ts").isNull()
+    return moves.filter(undated if cut is None else undated | (F.to_date("ts") < F.lit(cut)))
+
+
+def late_moves(spark: SparkSession, sink: str) -> DataFrame:
+    """All moves kept apart as late so far: point, ts, rev and the batch they came with."""
+    return spark.read.schema(LATE_SCHEMA + ", batch long").parquet(f"{sink}/late")
+
+
 def advance(spark: SparkSession, moves: DataFrame, prev_state: str | None, late_days: int):
     """One step: (finished-day rows, new open days, new balances, new meta)."""
     opened = _read(spark, prev_state and f"{prev_state}/open", OPEN_SCHEMA)
     balances = _read(spark, prev_state and f"{prev_state}/balance", BALANCE_SCHEMA)
-    meta = _read(spark, prev_state and f"{prev_state}/meta", META_SCHEMA).collect()
-    old_newest, old_cut = (meta[0].newest, meta[0].cut) if meta else (None, None)
+    old_newest, old_cut = _meta(spark, prev_state)
 
     daily = moves.groupBy("point", F.to_date("ts").alias("date")).agg(F.sum("rev").cast(MONEY).alias("rev"))
     if old_cut is not None:
@@ -99,8 +119,8 @@ def start_running_balance(
     processing_time: str = "1 minute",
 ) -> StreamingQuery:
     """Stream end-of-day balances (point, day, date, balance) into Parquet under
-    ``sink``; state lives in ``sink``/_state.  Both paths must be on shared
-    storage on a cluster."""
+    ``sink``; state lives in ``sink``/_state, late moves in ``sink``/late.
+    Both paths must be on shared storage on a cluster."""
     state_root = f"{sink}/_state"
     moves = cash_moves(spark, root).select(
         "point", "ts", F.coalesce(F.col("inc"), -F.col("out")).alias("rev")
@@ -111,7 +131,7 @@ def start_running_balance(
         # committed, so the state to continue from is always N-1's.  A retried
         # batch rereads N-1 and overwrites its own files: idempotent.
         prev = f"{state_root}/batch={batch_id - 1}" if batch_id > 0 else None
-        # Several actions read this batch (newest day, four writes): keep it
+        # Several actions read this batch (newest day, five writes): keep it
         # for the duration of the step instead of re-reading the source.
         batch.persist()
         try:
@@ -120,6 +140,11 @@ def start_running_balance(
             still_open.write.mode("overwrite").parquet(f"{here}/open")
             balances.write.mode("overwrite").parquet(f"{here}/balance")
             meta.write.mode("overwrite").parquet(f"{here}/meta")
+            # Each column by the schema's type, so that all batches' files agree.
+            kept = late(batch.sparkSession, batch, prev).select(
+                F.col("point").cast("int"), "ts", F.col("rev").cast(MONEY)
+            )
+            kept.write.mode("overwrite").parquet(f"{sink}/late/batch={batch_id}")
             if emitted is not None:
                 emitted.write.mode("overwrite").parquet(f"{sink}/days/batch={batch_id}")
         finally:

@@ -80,6 +80,16 @@ def daily_ledger(moves: DataFrame, late: str = "2 days") -> DataFrame:
     )
 
 
+def dropped_as_late(query: StreamingQuery) -> int:
+    """How many (point, day) totals the watermark has dropped in the batches that ``query`` still reports.
+
+    Counted by Spark before a batch's rows meet the state, so a day's late
+    rows of one batch and task count once.  ``recentProgress`` holds the last
+    ``spark.sql.streaming.numRecentProgressUpdates`` batches.
+    """
+    return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
+
+
 def start_daily_ledger(
     spark: SparkSession,
     root: str,

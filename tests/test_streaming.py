@@ -86,3 +86,71 @@ def test_running_balance_steps_carry_state(spark):
     # newest day 01-08, two days of lateness: days before 01-06 are final;
     # the late 100.00 for the finished 01-01 is dropped; 01-06 stays open.
     assert {(r.point, r.day, r.balance) for r in emitted.collect()} == {(1, "05/01/2001", M("8.00"))}
+
+
+def _two_deliveries(spark, first, second):
+    """A data folder whose orders come as two files, and a function that delivers the second."""
+    root = tempfile.mkdtemp(prefix="fathom-late-")
+    for name in ("customer", "supplier"):
+        spark.read.parquet(f"{SF}/{name}.parquet").write.parquet(f"{root}/{name}.parquet")
+    spark.read.parquet(f"{SF}/lineitem.parquet").limit(0).write.parquet(f"{root}/lineitem.parquet")
+    orders = spark.read.parquet(f"{SF}/orders.parquet")
+    orders.filter(first).coalesce(1).write.parquet(f"{root}/orders.parquet")
+    return root, lambda: orders.filter(second).coalesce(1).write.mode("append").parquet(f"{root}/orders.parquet")
+
+
+def test_late_moves_are_kept_apart(spark):
+    """Moves of finished days that come with a second file change no balance and lose no row."""
+    from fathom.streaming import late_moves, start_running_balance
+
+    old = F.year("o_orderdate") < 1997
+    root, deliver = _two_deliveries(spark, ~old, old)
+    sink, checkpoint = f"{root}/out", f"{root}/ck"
+
+    def run_once():
+        start_running_balance(spark, root, sink, checkpoint, late_days=2, available_now=True).awaitTermination(300)
+        return {(r.point, r.day): r.balance for r in spark.read.parquet(f"{sink}/days").collect()}
+
+    before = run_once()
+    assert before and late_moves(spark, sink).count() == 0
+    deliver()
+    assert run_once() == before
+    orders = spark.read.parquet(f"{SF}/orders.parquet").filter(old & (F.col("o_orderstatus") == "F"))
+    points = spark.read.parquet(f"{SF}/customer.parquet").filter("c_nationkey != 3")
+    missed = orders.join(points, F.col("o_custkey") == F.col("c_custkey"))
+    want = missed.agg(F.count(F.lit(1)), F.sum(F.col("o_totalprice").cast("decimal(18,2)"))).first()
+    got = late_moves(spark, sink).agg(F.count(F.lit(1)), F.sum("rev"), F.min("batch"), F.max("batch")).first()
+    assert want[0] > 0 and tuple(got) == (want[0], want[1], 1, 1)
+
+
+def test_late_keeps_what_advance_leaves_out(spark):
+    from decimal import Decimal as M
+
+    from fathom.streaming.balance import advance, late
+
+    scratch = tempfile.mkdtemp(prefix="fathom-late-")
+    day = lambda d: dt.datetime(2001, 1, d, 9)
+    moves = lambda *rows: spark.createDataFrame(rows, "point int, ts timestamp, rev decimal(18,2)")
+    first = moves((1, day(1), M("1.00")), (1, day(9), M("2.00")), (1, None, M("4.00")))
+    assert [r.rev for r in late(spark, first, None).collect()] == [M("4.00")]
+    for name, df in zip(("open", "balance", "meta"), advance(spark, first, None, late_days=2)[1:]):
+        df.write.parquet(f"{scratch}/s0/{name}")
+    second = moves((1, day(6), M("8.00")), (1, day(7), M("16.00")), (None, day(1), None), (1, None, M("32.00")))
+    kept = late(spark, second, f"{scratch}/s0").collect()
+    assert {(r.point, r.ts, r.rev) for r in kept} == {(1, day(6), M("8.00")), (None, day(1), None), (1, None, M("32.00"))}
+
+
+def test_dropped_totals_of_the_ledger_are_counted(spark):
+    from fathom.streaming import dropped_as_late
+
+    old = F.year("o_orderdate") < 1997
+    root, deliver = _two_deliveries(spark, ~old, old)
+
+    def run_once():
+        q = start_daily_ledger(spark, root, f"{root}/out", f"{root}/ck", available_now=True)
+        q.awaitTermination(300)
+        return dropped_as_late(q)
+
+    assert run_once() == 0
+    deliver()
+    assert run_once() > 0
