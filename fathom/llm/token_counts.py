@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 from functools import cached_property
 
@@ -14,8 +15,10 @@ from fathom.llm.chunks import PIECES, by_bytes, default_path, distinct_chunks, t
 from fathom.llm.common import pick
 
 BLANK = "▁"
-#: Characters of a pre-token beyond which the library merges it (steps grow with the length).
+#: Characters of a pre-token beyond which its pairs wait by rank: reading all of it in every step costs its square.
 LONG = 4096
+#: Places below which a step by rank takes them singly.
+FEW = 64
 #: No pair.
 _NONE = np.iinfo(np.int32).max
 
@@ -171,6 +174,11 @@ class PieceMerger:
         group = np.cumsum(new) - 1
         known = syms >= 0
         syms, owner, group = syms[known], owner[known], group[known]
+        long = sizes[owner] > LONG
+        if long.any():
+            left, its = self._by_rank(syms[long], group[long])
+            np.add.at(result, owner[long][its], self._pieces(left))
+            syms, owner, group = syms[~long], owner[~long], group[~long]
         while len(syms):
             pair = np.full(len(syms), len(self.t_key) - 1, np.int64)
             inside = np.flatnonzero(group[1:] == group[:-1])
@@ -182,11 +190,7 @@ class PieceMerger:
             lengths = np.diff(heads, append=len(syms))
             if done.any():
                 gone = np.repeat(done, lengths)
-                last = syms[gone]
-                pieces = np.where(self.is_piece[last], 1, 0)
-                odd = np.flatnonzero(pieces == 0)
-                pieces[odd] = [len(self.names[s].encode()) for s in last[odd]]
-                np.add.at(result, owner[gone], pieces)
+                np.add.at(result, owner[gone], self._pieces(syms[gone]))
             hit = (rank == np.repeat(least, lengths)) & (rank != _NONE)
             hit = self._disjoint(np.flatnonzero(hit), group, rank)
             keep = ~np.repeat(done, lengths)
@@ -195,6 +199,105 @@ class PieceMerger:
             syms, owner, group = syms[keep], owner[keep], group[keep]
         return result
 
+    def _pieces(self, syms: np.ndarray) -> np.ndarray:
+        """How many pieces each symbol counts: one, or its bytes where it is none."""
+        pieces = np.where(self.is_piece[syms], 1, 0)
+        odd = np.flatnonzero(pieces == 0)
+        pieces[odd] = [len(self.names[s].encode()) for s in syms[odd]]
+        return pieces
+
+    @cached_property
+    def _pair(self) -> dict[int, tuple[int, int]]:
+        """Rank and joined symbol of each pair, for steps of a few places."""
+        used = self.t_key >= 0
+        return dict(zip(self.t_key[used].tolist(), zip(self.t_rank[used].tolist(), self.t_join[used].tolist())))
+
+    def _by_rank(self, syms: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The symbols that merging leaves, and where each starts; for long groups.
+
+        The same steps as in ``counts``, but places of pairs wait by rank and
+        symbols are linked to their neighbours, so that a step touches the
+        pairs of its rank only.  A step of few places, or of a rank whose
+        pairs are joined one at a time, takes them from the left.
+        """
+        n = len(syms)
+        syms = syms.astype(np.int64)
+        ends = np.append(group[1:] != group[:-1], True)
+        after = np.where(ends, -1, np.arange(1, n + 1))
+        before = np.where(np.append(True, ends[:-1]), -1, np.arange(-1, n - 1))
+        alive = np.ones(n, bool)
+        many: dict[int, list[np.ndarray]] = {}
+        few: dict[int, list[int]] = {}
+        ranks: list[int] = []
+
+        def announce(rank: int) -> None:
+            if rank not in many and rank not in few:
+                heapq.heappush(ranks, rank)
+
+        def slots(at: np.ndarray) -> np.ndarray:
+            """The slot of the pair that starts at each place."""
+            found = np.full(len(at), len(self.t_key) - 1, np.int64)
+            inside = np.flatnonzero(alive[at] & (after[at] >= 0))
+            found[inside] = self._pairs(syms[at[inside]], syms[after[at[inside]]])
+            return found
+
+        def wait(at: np.ndarray) -> None:
+            rank = self.t_rank[slots(at)]
+            at, rank = at[rank != _NONE], rank[rank != _NONE]
+            order = np.argsort(rank, kind="stable")
+            at, rank = at[order], rank[order]
+            heads = np.flatnonzero(np.diff(rank, prepend=-1))
+            for r, places in zip(rank[heads].tolist(), np.split(at, heads[1:])):
+                announce(r)
+                many.setdefault(r, []).append(places)
+
+        def pair(at: int) -> tuple[int, int] | None:
+            if at < 0 or not alive[at] or after[at] < 0:
+                return None
+            return self._pair.get(int(syms[at]) << 32 | int(syms[after[at]]))
+
+        wait(np.arange(n))
+        while ranks:
+            r = heapq.heappop(ranks)
+            places, queue = many.pop(r, []), few.pop(r, [])
+            if self.one_by_one[r] or sum(map(len, places)) + len(queue) < FEW:
+                for at in (at for some in places for at in some.tolist()):
+                    heapq.heappush(queue, at)
+                while queue and not (ranks and ranks[0] < r):
+                    at = heapq.heappop(queue)
+                    found = pair(at)
+                    if found is None or found[0] != r:
+                        continue
+                    gone = int(after[at])
+                    syms[at], alive[gone], after[at] = found[1], False, after[gone]
+                    if after[at] >= 0:
+                        before[after[at]] = at
+                    for next_at in (at, int(before[at])):
+                        new = pair(next_at)
+                        if new is not None and new[0] == r:
+                            heapq.heappush(queue, next_at)
+                        elif new is not None:
+                            announce(new[0])
+                            heapq.heappush(few.setdefault(new[0], []), next_at)
+                if queue:
+                    announce(r)
+                    few[r] = queue
+                continue
+            at = np.unique(np.concatenate([*places, np.array(queue, np.int64)]))
+            at = at[self.t_rank[slots(at)] == r]
+            # In a run of overlapping pairs every second one is joined.
+            run = np.maximum.accumulate(np.where(after[np.roll(at, 1)] != at, np.arange(len(at)), 0))
+            at = at[(np.arange(len(at)) - run) % 2 == 0]
+            gone = after[at]
+            syms[at] = self.t_join[slots(at)]
+            alive[gone] = False
+            after[at] = after[gone]
+            linked = after[at] >= 0
+            before[after[at[linked]]] = at[linked]
+            wait(np.unique(np.concatenate([at, before[at][before[at] >= 0]])))
+        left = np.flatnonzero(alive)
+        return syms[left], left
+
     def _disjoint(self, at: np.ndarray, group: np.ndarray, rank: np.ndarray) -> np.ndarray:
         """Of the pairs ``at`` those to join now: from left to right, none that shares a symbol with one before."""
         first = np.diff(group[at], prepend=-1) != 0
@@ -210,9 +313,7 @@ class PieceMerger:
         texts = pc.replace_substring(pc.fill_null(texts, ""), BLANK, " ")
         chunks, index, offsets = distinct_chunks(texts, PIECES)
         words = chunks.to_pylist()
-        counts = self.counts([BLANK + w.replace(" ", BLANK) if len(w) <= LONG else "" for w in words])
-        for i in [i for i, w in enumerate(words) if len(w) > LONG]:
-            counts[i] = len(self.library.encode(words[i], num_threads=1))
+        counts = self.counts([BLANK + w.replace(" ", BLANK) for w in words])
         per_text = np.add.reduceat(counts[index], offsets[:-1]) if len(texts) else np.zeros(0, np.int64)
         per_text[pc.equal(texts, "").to_numpy(zero_copy_only=False)] = 0
         return per_text

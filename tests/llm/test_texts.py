@@ -90,6 +90,30 @@ def test_pieces_equal_sentencepiece(merger):
     assert merger(pa.array(texts)).tolist() == want
 
 
+def test_long_pretokens_are_merged_by_rank(merger, monkeypatch):
+    """Long pre-tokens wait by rank: the counts are the library's, in time that doesn't grow with the square."""
+    rng = random.Random(5)
+    texts = [
+        "aaab" * 30_000, "x" * 30_001, "ab" * 10_000 + " word " + "ha" * 7000, "=-" * 5000 + "é😀" * 3000,
+        "".join(rng.choice("日本語の文章を長く書く") for _ in range(20_000)),
+        "".join(rng.choice(["theq", "uick", "brow", "nfox", "jump"]) for _ in range(20_000)), "0123456789" * 3000, "",
+    ]
+    monkeypatch.setattr(merger, "library", None)
+    got = merger(pa.array(texts)).tolist()
+    monkeypatch.undo()
+    assert got == [len(merger.library.encode(t)) for t in texts]
+
+
+def test_both_layouts_of_pretokens_agree(merger, monkeypatch):
+    monkeypatch.setattr(token_counts, "LONG", 5)
+    for seed in range(60):
+        rng = random.Random(seed)
+        letters = rng.choice(["ab", "abc", "etaoin", "01", "the ing", "日本語a"])
+        monkeypatch.setattr(token_counts, "FEW", rng.choice([1, 3, 64]))
+        texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 400))) for _ in range(6)]
+        assert merger(pa.array(texts)).tolist() == [len(merger.library.encode(t)) for t in texts]
+
+
 def test_token_counts_of_documents(spark, merger):
     docs = documents(spark)
     rows = token_counts.count_tokens(docs, limit=10).collect()
