@@ -250,7 +250,7 @@ def predict(docs: DataFrame, net: ByteGru | None, text: str = "text") -> DataFra
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = sent.value and ByteGru(*sent.value)
         for whole in batches:
-            for batch in by_bytes(whole, at):
+            for batch in by_bytes(whole, at, 8 << 20):
                 names, scores = label(batch.column(at), known)
                 yield pa.RecordBatch.from_arrays(
                     [*batch.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())],
@@ -265,15 +265,20 @@ def label(texts: pa.Array, net: ByteGru | None) -> tuple[list[str], np.ndarray]:
     """Language and score of each text."""
     if net is None:
         return [UNKNOWN] * len(texts), np.zeros(len(texts))
-    lists = [words_of(t.as_py()) for t in texts]
-    coded = pa.array([w for x in lists for w in x], pa.string()).dictionary_encode()
+    parts, sizes = [], []
+    for t in texts:
+        # Text by text, as a list of all words takes several times the texts' bytes.
+        parts.append(pa.array(words_of(t.as_py()), pa.string()))
+        sizes.append(len(parts[-1]))
+    coded = pa.chunked_array(parts, pa.string()).combine_chunks().dictionary_encode()
+    del parts
     words = coded.dictionary.to_pylist()
     known = np.array([has_letter(w) for w in words], bool)
     evidence = np.zeros((len(words) + 1, len(net.languages) + 1))
     evidence[:-1][known] = net.evidence([w for w in words if has_letter(w)])
     # An empty word ends every text, so that no text is without one.
     index = coded.indices.to_numpy()
-    ends = np.cumsum([len(x) for x in lists], dtype=np.int64)
+    ends = np.cumsum(sizes, dtype=np.int64)
     index = np.insert(index, ends, len(words))
     starts = np.concatenate([[0], ends[:-1] + np.arange(1, len(ends))]).astype(np.int64)
     pooled = np.add.reduceat(evidence[index], starts, axis=0)
