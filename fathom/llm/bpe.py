@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import base64
 import heapq
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -17,14 +17,20 @@ from fathom.llm.chunks import BYTE_LEVEL, by_bytes, default_path, distinct_chunk
 from fathom.llm.common import pick
 
 #: Words that a task remembers before it starts anew, and bytes of text handled at once.
-REMEMBERED, SLICE = 700_000, 8 << 20
+REMEMBERED, SLICE = 700_000, 4 << 20
 #: Chunks that begin with a blank of any kind (other control characters are none), or are empty.
 _BLANK_FIRST = r"^([\x09-\x0d\x1c-\x20\x{85}\p{Z}]|$)"
 #: A merge is stored as first id << 20 | rank, so ids must be below 2^20; NO_MERGE is above all merges.
 BITS = 20
 IDS, NO_MERGE = 1 << BITS, 1 << 44
-#: Words of more bytes are merged by a heap: each step of the fold reads the whole word.
+#: Where a place's rank begins, behind the id and the 10 bits of the first byte's number.
+RANK_AT = BITS + 10
+#: Pieces of more bytes are merged by a heap: each step of the fold reads the whole piece.
 LONG_WORD = 512
+#: Bytes of a token that are looked up where words are cut, and bits of the table's slots.
+GRAM, SLOT_BITS = 8, 22
+#: Bytes of words that are cut at once.
+BLOCK = 1 << 18
 
 
 @lru_cache(maxsize=4)
@@ -83,29 +89,46 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def merged(symbols: Column, path: str) -> Column:
-    """The ids of a word given as its bytes' ids: lowest rank first, leftmost of equals, until none is left."""
-    base, slot = (F.split(F.lit(x), ",") for x in rank_map(path))
-    base, slot = base.cast("array<int>"), slot.cast("array<long>")
+def merged(places: Column, path: str) -> Column:
+    """``places`` after all merges: lowest rank first, leftmost of equals, until none is left.
 
-    def rank(a: Column, b: Column) -> Column:
-        # The rank where the slot is the pair's, else a number of IDS or above; null behind the last symbol.
-        return F.get(slot, F.get(base, a) + b).bitwiseXOR(F.shiftleft(a.cast("long"), BITS))
+    A place is the rank of the symbol's pair with the next one (IDS: none),
+    its first byte's number in the piece (below 1024) and its id, by bits.  So
+    the least place is the next merge, whose rank is the new symbol's id, and
+    a step looks up two ranks: those on both sides of the new symbol.
+    """
+    bases, slots = (F.split(F.lit(x), ",") for x in rank_map(path))
+    long = lambda x: F.lit(x).cast("long")
+
+    def fold(slot: Column, base: Column) -> Column:
+        def symbol(place: Column) -> Column:
+            return place.bitwiseAND(long(IDS - 1))
+
+        def rank(a: Column, b: Column) -> Column:
+            # The rank where the slot is the pair's, else a number of IDS or above; null beside the ends.
+            found = F.get(slot, (F.get(base, a.cast("int")) + b).cast("int")).bitwiseXOR(F.shiftleft(a, BITS))
+            return F.shiftleft(F.least(found, long(IDS)), RANK_AT)
 
-    def step(word: Column, _: Column) -> Column:
-        def merge(ranks: Column) -> Column:
+        def step(word: Column, _: Column) -> Column:
             def found(least: Column) -> Column:
-                def put(at: Column) -> Column:
-                    put_at = lambda x, i: F.when(i < at, x).when(i == at, least.cast("int")).when(i > at + 1, x)
-                    return F.filter(F.transform(word, put_at), lambda x: x.isNotNull())
+                def put(before: Column) -> Column:
+                    new, left = F.shiftright(least, RANK_AT), F.get(word, before)
+                    at = least.bitwiseAND(long((1 << RANK_AT) - IDS)) + new
+                    at = rank(new, symbol(F.get(word, before + 3))) + at
+                    left = rank(symbol(left), new) + left.bitwiseAND(long((1 << RANK_AT) - 1))
+                    rest = F.slice(word, before + 4, F.lit(LONG_WORD))
+                    inside = F.flatten(F.array(F.slice(word, F.lit(1), before), F.array(left, at), rest))
+                    return F.when(before < 0, F.flatten(F.array(F.array(at), rest))).otherwise(inside)
 
-                return F.when(least < IDS, _let((F.array_position(ranks, least) - 1).cast("int"), put)).otherwise(word)
+                more = _let((F.array_position(word, least) - 2).cast("int"), put)
+                return F.when(least < IDS << RANK_AT, more).otherwise(word)
 
-            return _let(F.array_min(ranks), found)
+            return _let(F.array_min(word), found)
 
-        return _let(F.transform(word, lambda x, i: rank(x, F.get(word, i + 1))), merge)
+        return F.aggregate(F.sequence(F.lit(2), F.greatest(F.lit(2), F.size(places))), places, step)
 
-    return F.aggregate(F.sequence(F.lit(2), F.greatest(F.lit(2), F.size(symbols))), symbols, step)
+    # Each table stands once in the plan: every task reads it anew.
+    return _let(slots.cast("array<long>"), lambda slot: _let(bases.cast("array<int>"), lambda base: fold(slot, base)))
 
 
 def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -166,17 +189,79 @@ class Words:
         return coded.dictionary.to_pylist(), words, np.concatenate([[0], np.cumsum(of_chunk)])[offsets]
 
 
+class Cuts:
+    """Cuts words where no merge can reach across, so that their pieces are merged on their own.
+
+    A merge across a place makes a token that lies across it.  Where no
+    stretch of the word across a place is a token (of a token of over 8 bytes:
+    any 8 bytes in a row), both sides end as they would alone.  Stretches are
+    looked up by hash alone: one that is taken for a token by mistake only
+    leaves a place uncut.
+    """
+
+    def __init__(self, tokens: Iterable[bytes]):
+        tokens = list(tokens)
+        raw = np.frombuffer(b"".join(tokens), np.uint8)
+        sizes = np.array([len(t) for t in tokens], np.int64)
+        left, size = self._left(sizes), np.repeat(sizes, sizes)
+        self.known = np.zeros(1 << SLOT_BITS, bool)
+        for n, slots in self._grams(raw):
+            m = len(slots)
+            self.known[slots[(left[:m] >= n) & ((size[:m] == n) | (n == GRAM))]] = True
+
+    @staticmethod
+    def _left(sizes: np.ndarray) -> np.ndarray:
+        """How many bytes each byte's word has from there on."""
+        return np.repeat(np.cumsum(sizes), sizes) - np.arange(sizes.sum())
+
+    @staticmethod
+    def _grams(raw: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """(n, slots) for n from 2: the slot of the n bytes from each byte on."""
+        key = raw.astype(np.uint64)
+        for n in range(2, min(GRAM, len(raw)) + 1):
+            key = key[:-1] | raw[n - 1 :].astype(np.uint64) << np.uint64(8 * n - 8)
+            mixed = (key ^ key >> np.uint64(29) ^ np.uint64(n)) * np.uint64(0x9E3779B97F4A7C15)
+            yield n, (mixed >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+
+    def _cut(self, raw: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Whether a piece begins at each byte of the words."""
+        left = self._left(sizes)
+        # Across a place lie the stretches that begin before it less those that end at it or before.
+        across = np.zeros(len(raw) + 1, np.int32)
+        for n, slots in self._grams(raw):
+            at = np.flatnonzero(self.known[slots] & (left[: len(slots)] >= n))
+            across[at + 1] += 1
+            across[at + n] -= 1
+        return np.cumsum(across[:-1]) == 0
+
+    def __call__(self, words: list[str]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """(pieces, index, counts): distinct pieces, all words' pieces as indices, how many each word has."""
+        sizes = pc.binary_length(pa.array(words, pa.string())).to_numpy().astype(np.int64)
+        raw = np.frombuffer("".join(words).encode(), np.uint8)
+        begins = np.concatenate([[0], np.cumsum(sizes)])
+        # Some words at a time, as each byte takes many while stretches are looked up.
+        blocks = np.unique(np.append(np.searchsorted(begins, np.arange(0, len(raw), BLOCK)), len(sizes)))
+        cut = [self._cut(raw[begins[a] : begins[b]], sizes[a:b]) for a, b in zip(blocks[:-1], blocks[1:])]
+        cut = np.concatenate([np.zeros(0, bool), *cut])
+        ends = np.append(np.flatnonzero(cut), len(raw)).astype(np.int32)
+        pieces = pa.BinaryArray.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(raw)])
+        coded = pieces.dictionary_encode()
+        upto = np.concatenate([[0], np.cumsum(cut)])[begins]
+        return coded.dictionary.to_pylist(), coded.indices.to_numpy(), np.diff(upto)
+
+
 def encode(docs: DataFrame, path: str | None = None, pattern: str | None = None) -> DataFrame:
     """One row per document: doc_id, ids (unsigned 32-bit, little-endian), n_tokens, decoded (bytes).
 
     ids are those of ``tiktoken`` for the rank file: every match of the
     pattern on its own, no special tokens.  In one pass over the scan, without
-    a shuffle: a task names each distinct word of its documents ahead of them,
-    and the documents as numbers of words; Spark folds the merges over the
-    words' bytes (``merged``), and the task puts the documents together from
-    the words' ids.  Words that are tokens need no merge, and those of more
+    a shuffle: a task cuts the distinct words of its documents where no merge
+    can reach across (``Cuts``), names each distinct piece ahead of them, and
+    the documents as numbers of pieces; Spark folds the merges over the
+    pieces' bytes (``merged``), and the task puts the documents together from
+    the pieces' ids.  Words that are tokens need no merge, and pieces of more
     than 512 bytes take the same merges from a heap in the task
-    (``merge_long``), as the fold's time grows with the square of a word's
+    (``merge_long``), as the fold's time grows with the square of a piece's
     length.  ``decoded`` joins the ids' byte strings again.
 
     Null texts count as empty: no ids.  Null doc_ids and repeated rows are
@@ -189,60 +274,81 @@ def encode(docs: DataFrame, path: str | None = None, pattern: str | None = None)
     pattern = pattern or public_tokenizers.PATTERN
     spec = docs.sparkSession.sparkContext.broadcast(read_ranks(path))
     arrow = pa.schema([
-        ("doc_id", pa.int64()), ("words", pa.binary()), ("first", pa.bool_()), ("symbols", pa.list_(pa.int32())),
+        ("doc_id", pa.int64()), ("pieces", pa.binary()), ("first", pa.bool_()), ("places", pa.list_(pa.int64())),
         ("merged", pa.bool_()),
     ])
 
-    def name_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def name_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks, find, number = spec.value, Words(pattern), {}
-        byte_id = np.array([ranks[bytes((b,))] for b in range(256)], np.int32)
+        cuts = Cuts(ranks)
+        byte_id = np.array([ranks[bytes((b,))] for b in range(256)], np.int64)
+        pair_rank = np.full((256, 256), IDS, np.int64)
+        for t, rank in ranks.items():
+            if len(t) == 2:
+                pair_rank[t[0], t[1]] = rank
         # Bytes that are no text are no word either.
         tokens = {t.decode(): rank for t, rank in ranks.items() if t.decode(errors="ignore").encode() == t}
+
+        def places(pieces: list[bytes], sizes: np.ndarray) -> np.ndarray:
+            raw, ends = np.frombuffer(b"".join(pieces), np.uint8), np.cumsum(sizes)
+            rank = np.full(len(raw), IDS, np.int64)
+            rank[:-1] = pair_rank[raw[:-1], raw[1:]]
+            rank[ends - 1] = IDS
+            return rank << RANK_AT | (np.arange(len(raw)) - np.repeat(ends - sizes, sizes)) << BITS | byte_id[raw]
+
+        def named(batch: pa.RecordBatch, number: dict) -> tuple[pa.RecordBatch, pa.RecordBatch]:
+            first = len(number)
+            words, index, offsets = find(batch.column(1))
+            is_token = np.array([w in tokens for w in words], bool)
+            whole = [w for w in words if w in tokens]
+            pieces, of_words, counts = cuts([w for w in words if w not in tokens])
+            # Words that are tokens are named by their text, pieces by their bytes.
+            new_whole = [w for w in whole if w not in number]
+            new = [p for p in pieces if p not in number]
+            short, long = [p for p in new if len(p) <= LONG_WORD], [p for p in new if len(p) > LONG_WORD]
+            names = [*short, *new_whole, *long]
+            number.update(zip(names, range(first, first + len(names))))
+            # A word that is a token is its only place; pieces begin as their bytes, and long ones are done.
+            done = [merge_long(p, ranks) for p in long]
+            sizes = np.array([len(p) for p in short], np.int64)
+            flat = [places(short, sizes), np.array([tokens[w] for w in new_whole], np.int64), *[np.array(d, np.int64) for d in done]]
+            sizes = np.concatenate([sizes, np.ones(len(new_whole), np.int64), np.array([len(d) for d in done], np.int64)])
+            # The first of all pieces of this task, or after it forgot, says so.
+            pieces_named = pa.RecordBatch.from_arrays(
+                [pa.nulls(len(names), pa.int64()), pa.nulls(len(names), pa.binary()),
+                 pa.array(np.arange(first, first + len(names)) == 0),
+                 pa.ListArray.from_arrays(pa.array(np.cumsum([0, *sizes]), pa.int32()), pa.array(np.concatenate(flat))),
+                 pa.array(np.arange(len(names)) >= len(short))],
+                schema=arrow,
+            )
+            # The numbers of all words' pieces, those of tokens first, and where a word's begin.
+            numbers = np.concatenate([
+                np.array([number[w] for w in whole], "<i4"), np.array([number[p] for p in pieces], "<i4")[of_words],
+            ])
+            counts = np.concatenate([np.ones(len(whole), np.int64), counts])
+            place = np.empty(len(words), np.int64)
+            place[is_token], place[~is_token] = np.arange(len(whole)), np.arange(len(whole), len(words))
+            index = place[index]
+            known = numbers[ragged((np.cumsum(counts) - counts)[index], counts[index])]
+            ends = np.concatenate([[0], np.cumsum(counts[index])])[offsets].tolist()
+            return pieces_named, pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([known[a:b].tobytes() for a, b in zip(ends, ends[1:])], pa.binary()),
+                 pa.nulls(batch.num_rows, pa.bool_()), pa.nulls(batch.num_rows, pa.list_(pa.int64())),
+                 pa.nulls(batch.num_rows, pa.bool_())],
+                schema=arrow,
+            )
+
         for whole in batches:
             for batch in by_bytes(whole, 1, SLICE):
                 if len(number) > REMEMBERED:
                     number = {}
-                first = len(number)
-                words, index, offsets = find(batch.column(1))
-                new = [w for w in words if w not in number]
-                whole = [w for w in new if w in tokens]
-                other = [w for w in new if w not in tokens]
-                raw = pa.array(other, pa.binary())
-                sizes = pc.binary_length(raw).to_numpy()
-                if len(sizes) and sizes.max() > LONG_WORD:
-                    long = [other[i] for i in np.flatnonzero(sizes > LONG_WORD).tolist()]
-                    other = [w for w, n in zip(other, sizes.tolist()) if n <= LONG_WORD]
-                    sizes = sizes[sizes <= LONG_WORD]
-                else:
-                    long = []
-                number.update(zip(other + whole + long, range(first, first + len(new))))
-                # A word that is a token is its only symbol; others begin as their bytes, and long ones are done.
-                done = [merge_long(w.encode(), ranks) for w in long]
-                sizes = np.concatenate([sizes, np.ones(len(whole), np.int32), np.array([len(d) for d in done], np.int32)])
-                symbols = np.concatenate([
-                    byte_id[np.frombuffer("".join(other).encode(), np.uint8)],
-                    np.array([tokens[w] for w in whole], np.int32),
-                    *[np.array(d, np.int32) for d in done],
-                ])
-                # The first of all words of this task, or after it forgot, says so.
-                yield pa.RecordBatch.from_arrays(
-                    [pa.nulls(len(new), pa.int64()), pa.nulls(len(new), pa.binary()),
-                     pa.array(np.arange(first, first + len(new)) == 0),
-                     pa.ListArray.from_arrays(pa.array(np.cumsum([0, *sizes]), pa.int32()), pa.array(symbols)),
-                     pa.array(np.arange(len(new)) >= len(other))],
-                    schema=arrow,
-                )
-                known = np.array([number[w] for w in words], "<i4")[index]
-                ends = offsets.tolist()
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array([known[a:b].tobytes() for a, b in zip(ends, ends[1:])], pa.binary()),
-                     pa.nulls(batch.num_rows, pa.bool_()), pa.nulls(batch.num_rows, pa.list_(pa.int32())),
-                     pa.nulls(batch.num_rows, pa.bool_())],
-                    schema=arrow,
-                )
+                yield from named(batch, number)
 
     def put_together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = {rank: token for token, rank in spec.value.items()}
+        tokens = sorted((rank, token) for token, rank in spec.value.items())
+        bytes_of = np.zeros(tokens[-1][0] + 1, np.int64)
+        bytes_of[[rank for rank, _ in tokens]] = [len(token) for _, token in tokens]
+        raw = np.frombuffer(b"".join(token for _, token in tokens), np.uint8)
         flat, ends = np.zeros(0, np.int32), np.zeros(0, np.int64)
         for batch in batches:
             is_doc = batch.column(1).is_valid().to_numpy(zero_copy_only=False)
@@ -250,30 +356,40 @@ def encode(docs: DataFrame, path: str | None = None, pattern: str | None = None)
             for a, b in zip(turns[:-1].tolist(), turns[1:].tolist()):
                 rows = batch.slice(a, b - a)
                 if a < b and is_doc[a]:
-                    for part in by_bytes(rows, 1, SLICE):
-                        yield documents(part, flat, ends, tokens)
+                    for part in by_bytes(rows, 1, SLICE // 4):
+                        yield documents(part, flat, ends, raw, bytes_of)
                 elif a < b:
                     if rows.column(2)[0].as_py():
                         flat, ends = flat[:0], ends[:0]
                     ids = rows.column(3)
                     ends = np.concatenate([ends, len(flat) + np.cumsum(ids.value_lengths().to_numpy(), dtype=np.int64)])
-                    flat = np.concatenate([flat, ids.flatten().to_numpy()])
-
-    def documents(rows: pa.RecordBatch, flat: np.ndarray, ends: np.ndarray, tokens: dict) -> pa.RecordBatch:
-        out = []
-        for doc_id, packed in zip(rows.column(0).to_pylist(), rows.column(1)):
-            word = np.frombuffer(packed.as_buffer(), "<i4")
-            sizes = ends[word] - np.where(word > 0, ends[word - 1], 0)
-            ids = flat[ragged(ends[word] - sizes, sizes)]
-            out.append((doc_id, ids.astype("<u4").tobytes(), len(ids), b"".join([tokens[i] for i in ids.tolist()])))
-        kinds = [("doc_id", pa.int64()), ("ids", pa.binary()), ("n_tokens", pa.int64()), ("decoded", pa.binary())]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*out), kinds)], [n for n, _ in kinds])
+                    flat = np.concatenate([flat, (ids.flatten().to_numpy() & IDS - 1).astype(np.int32)])
+
+    def documents(rows: pa.RecordBatch, flat: np.ndarray, ends: np.ndarray, raw: np.ndarray, bytes_of: np.ndarray) -> pa.RecordBatch:
+        packed = rows.column(1)
+        piece = np.frombuffer(b"".join(packed.to_pylist()), "<i4")
+        of_rows = np.concatenate([[0], np.cumsum(pc.binary_length(packed).to_numpy() // 4, dtype=np.int64)])
+        sizes = ends[piece] - np.where(piece > 0, ends[piece - 1], 0)
+        ids = flat[ragged(ends[piece] - sizes, sizes)]
+        of_rows = np.concatenate([[0], np.cumsum(sizes)])[of_rows]
+        long = bytes_of[ids]
+        decoded = raw[ragged((np.cumsum(bytes_of) - bytes_of)[ids], long)]
+
+        def cells(upto: np.ndarray, values: np.ndarray) -> pa.Array:
+            buffers = [None, pa.py_buffer(upto.astype(np.int32)), pa.py_buffer(values)]
+            return pa.BinaryArray.from_buffers(pa.binary(), len(upto) - 1, buffers)
+
+        return pa.RecordBatch.from_arrays(
+            [rows.column(0), cells(4 * of_rows, ids.astype("<u4")), pa.array(np.diff(of_rows), pa.int64()),
+             cells(np.concatenate([[0], np.cumsum(long)])[of_rows], decoded)],
+            ["doc_id", "ids", "n_tokens", "decoded"],
+        )
 
     named = pick(docs, doc_id="long", text="string").mapInArrow(
-        name_words, "doc_id long, words binary, first boolean, symbols array<int>, merged boolean"
+        name_pieces, "doc_id long, pieces binary, first boolean, places array<long>, merged boolean"
     )
-    # Null for documents, whose symbols are null, too.
-    ids = F.when(F.col("merged"), F.col("symbols")).when(~F.col("merged"), merged(F.col("symbols"), path))
-    return named.select("doc_id", "words", "first", ids.alias("ids")).mapInArrow(
+    # Null for documents, whose places are null, too.
+    ids = F.when(F.col("merged"), F.col("places")).when(~F.col("merged"), merged(F.col("places"), path))
+    return named.select("doc_id", "pieces", "first", ids.alias("ids")).mapInArrow(
         put_together, "doc_id long, ids binary, n_tokens long, decoded binary"
     )

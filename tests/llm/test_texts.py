@@ -137,6 +137,28 @@ def test_long_words_equal_tiktoken(spark):
     assert got == {i: library.encode_ordinary(t) for i, t in enumerate(texts)}
 
 
+def test_words_are_cut_where_no_merge_reaches():
+    """Pieces merged on their own give the word's ids, and words of few tokens across a place are cut there."""
+    ranks = bpe.read_ranks(PATH("byte_bpe_multi_50k.tiktoken"))
+    cuts = bpe.Cuts(ranks)
+    rng = random.Random(8)
+    of = ["etaoin", "zqxj", "éßñaé", "日本語の", "thering", "0123456789", "\x00\x7f\x80 "]
+    words = ["".join(rng.choice(rng.choice(of)) for _ in range(rng.randint(1, 40))) for _ in range(3000)] + ["qx" * 300_000]
+    pieces, index, counts = cuts(words)
+    ends = np.concatenate([[0], np.cumsum(counts)])
+    assert len(pieces) == len(set(pieces)) < len(index) == ends[-1] and counts.min() == 1 and counts.max() > 1
+    for word, a, b in zip(words[:-1], ends, ends[1:]):
+        own = [pieces[i] for i in index[a:b]]
+        assert b"".join(own).decode() == word
+        assert [i for p in own for i in bpe.merge_long(p, ranks)] == bpe.merge_long(word.encode(), ranks)
+    pieces, index, counts = cuts([])
+    assert pieces == [] and len(index) == len(counts) == 0
+    # Tokens of over 8 bytes join across places where no shorter one lies.
+    few = {bytes((b,)): b for b in range(256)} | {b"abcdefghij": 256}
+    pieces, index, _ = bpe.Cuts(few)(["abcdefghijk", "abcabc"])
+    assert [pieces[i] for i in index] == [b"abcdefghij", b"k", *[bytes((b,)) for b in b"abcabc"]]
+
+
 def test_heap_merges_in_the_order_of_ranks():
     ranks = bpe.read_ranks(PATH("byte_bpe_multi_50k.tiktoken"))
     rng = random.Random(3)
