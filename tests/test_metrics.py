@@ -172,6 +172,17 @@ def test_pairs_within_groups(spark, block):
     assert len(got) == len(set(got)) and set(got) == want
 
 
+def test_pairs_come_in_runs_from_many_tasks(spark):
+    """Few rows that make many pairs aren't joined in one task, and one side's items come in runs (files stay small)."""
+    df = spark.createDataFrame([("x", i * 7919 % 300) for i in range(300)], "g string, i int")
+    met = pairs.pairs_within(df, ["g"], "i", "more", "less", 32)
+    rows = met.withColumn("task", F.spark_partition_id()).collect()
+    runs = [sum(a[c] != b[c] for a, b in zip(rows, rows[1:])) for c in ("more", "less")]
+    # Each of 300 items meets up to 10 blocks.
+    assert len(rows) == 300 * 299 // 2 and min(runs) <= 300 * 10
+    assert len({r.task for r in rows}) > 1
+
+
 # ------------------------------------------------------------------ dashboard tables
 def day(n):
     return dt.date(2024, 1, n)
