@@ -183,6 +183,27 @@ def test_pairs_come_in_runs_from_many_tasks(spark):
     assert len({r.task for r in rows}) > 1
 
 
+def shuffled_rows(node):
+    """Rows written by each shuffle that the last stage of a plan reads."""
+    if node.nodeName() == "ShuffleQueryStage":
+        return [node.shuffle().metrics().apply("shuffleRecordsWritten").value()]
+    if node.nodeName() in ("AdaptiveSparkPlan", "ResultQueryStage"):
+        return shuffled_rows(node.executedPlan() if node.nodeName() == "AdaptiveSparkPlan" else node.plan())
+    return [n for i in range(node.children().size()) for n in shuffled_rows(node.children().apply(i))]
+
+
+def test_pairs_shuffle_a_row_per_block_and_drop_no_pair(spark):
+    """Blocks meet as arrays: 300 items in 10 blocks are 55 rows on both sides, not some 1650, and no pair is compared."""
+    df = spark.createDataFrame([("x", f"{i * 7919 % 300:03d}") for i in range(300)], "g string, i string")
+    met = pairs.pairs_within(df, ["g"], "i", "more", "less", 32)
+    got = [(r.more, r.less) for r in met.collect()]
+    plan = met._jdf.queryExecution().executedPlan()
+    assert sorted(got) == sorted((f"{a:03d}", f"{b:03d}") for a in range(300) for b in range(a))
+    assert shuffled_rows(plan) == [55, 55]
+    top = plan.executedPlan().toString().split("Generate posexplode")[0]
+    assert "SortMergeJoin" in top and "Filter" not in top
+
+
 # ------------------------------------------------------------------ dashboard tables
 def day(n):
     return dt.date(2024, 1, n)
